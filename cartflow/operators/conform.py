@@ -63,6 +63,14 @@ def strict(rows: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def _always_fits(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether no value of the given type can fail the cast; spares the check."""
+    if given == wanted or (isinstance(wanted, T.StringType) and isinstance(given, T.AtomicType)):
+        return True
+    widths = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    return type(given) in widths and type(wanted) in widths[widths.index(type(given)) :]
+
+
 def check_mapping(docs: DataFrame, mapping: T.StructType) -> DataFrame:
     """Documents cast to ``mapping``, with the names of unfit fields in ``_unfit``.
 
@@ -75,8 +83,8 @@ def check_mapping(docs: DataFrame, mapping: T.StructType) -> DataFrame:
             casts.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
         source = F.col(field.name)
-        if docs.schema[field.name].dataType == field.dataType:
-            casts.append(source)
+        if _always_fits(docs.schema[field.name].dataType, field.dataType):
+            casts.append(source.cast(field.dataType).alias(field.name))
             continue
         value = source.try_cast(field.dataType)
         casts.append(value.alias(field.name))

@@ -1,6 +1,6 @@
 """Derived tables: enriched orders, product revenue, seller performance.
 
-Each function maps raw tables (a mapping from name to DataFrame) to one derived
+Each function maps raw tables by name to one derived
 table. Every many-side input is aggregated to its join key before it is joined,
 so no join multiplies rows, whatever the number of rows behind one key. Sums and
 counts use types wider than a single order needs; values are otherwise as declared.
@@ -8,14 +8,20 @@ counts use types wider than a single order needs; values are otherwise as declar
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.functions import rounded_mean, rounded_percent, whole_days
 
-Raw = Mapping[str, DataFrame]
+
+class Raw(Protocol):
+    """Raw tables by name."""
+
+    def __getitem__(self, name: str) -> DataFrame: ...
+
 
 ENRICHED_COLUMNS = (
     "order_id",
@@ -175,8 +181,8 @@ def seller_order_facts(raw: Raw) -> DataFrame:
     return sold.join(facts, "order_id")
 
 
-def _wide(name: str) -> Column:
-    return F.col(name).cast("decimal(20,0)")
+def _wide(value: Column | str) -> Column:
+    return (F.col(value) if isinstance(value, str) else value).cast("decimal(20,0)")
 
 
 def seller_performance(raw: Raw) -> DataFrame:
@@ -184,19 +190,21 @@ def seller_performance(raw: Raw) -> DataFrame:
 
     An order with several reviews counts each of its items once per review, in
     revenue, mean score and on-time deliveries alike, while the rate divides by
-    distinct orders. The pairs are counted by multiplying, never built.
+    distinct orders. The pairs are counted by multiplying, never built: orders of
+    a seller with the same reviews are summed first, so the wide products are taken
+    once per such group.
     """
-    pairs = F.coalesce(_wide("reviews"), F.lit(1).cast("decimal(20,0)"))
-    totals = (
-        seller_order_facts(raw)
-        .groupBy("seller_id")
-        .agg(
-            F.count("*").alias("total_orders"),
-            F.sum(F.col("revenue") * pairs).cast("decimal(38,2)").alias("total_revenue"),
-            F.sum(_wide("score_sum") * _wide("items")).alias("_score"),
-            F.sum(_wide("scored") * _wide("items")).alias("_scored"),
-            F.sum(F.when(F.col("on_time"), _wide("items") * pairs).otherwise(F.lit(0))).alias("_on_time"),
-        )
+    alike = seller_order_facts(raw).groupBy("seller_id", "on_time", "reviews", "scored", "score_sum")
+    profiles = alike.agg(
+        F.count("*").alias("orders"), F.sum("items").alias("items"), F.sum("revenue").alias("revenue")
+    )
+    pairs = F.coalesce(_wide("reviews"), _wide(F.lit(1)))
+    totals = profiles.groupBy("seller_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum(F.col("revenue") * pairs).cast("decimal(38,2)").alias("total_revenue"),
+        F.sum(_wide("score_sum") * _wide("items")).alias("_score"),
+        F.sum(_wide("scored") * _wide("items")).alias("_scored"),
+        F.sum(F.when(F.col("on_time"), _wide("items") * pairs).otherwise(F.lit(0))).alias("_on_time"),
     )
     return _with_seller(raw, totals)
 

@@ -107,7 +107,7 @@ ITEM_TEXT = (
     "CAST(seller_id AS VARCHAR) AS seller_id, shipping_limit_date, CAST(price AS DOUBLE) AS price, "
     "CAST(freight_value AS DOUBLE) AS freight_value"
 )
-COPIES = "(SELECT order_id AS ok, order_item_id AS oi, count(*) AS load_copies FROM order_item_rows GROUP BY 1, 2)"
+COPIES = "(SELECT order_id AS ok, order_item_id AS oi, count(*) AS load_copies FROM order_items GROUP BY 1, 2)"
 DELIVERED, ESTIMATED = "order_delivered_customer_date", "order_estimated_delivery_date"
 
 SQL = {
@@ -165,7 +165,7 @@ SQL = {
     "scan_orders_projection": """
         SELECT order_id, customer_id, order_status AS status, order_purchase_timestamp FROM shop_orders""",
     "csv_load_order_items": f"""
-        SELECT {ITEM_TEXT}, load_copies FROM order_items JOIN {COPIES} ON order_id = ok AND order_item_id = oi""",
+        SELECT {ITEM_TEXT}, load_copies FROM first_items JOIN {COPIES} ON order_id = ok AND order_item_id = oi""",
     "csv_load_multiline_text": """
         SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id AS VARCHAR) AS order_id,
                CAST(length(text) % 5 + 1 AS INTEGER) AS review_score, nullif(source, '') AS review_comment_title,
@@ -181,11 +181,11 @@ SQL = {
         SELECT product_category_name, min(product_category_name_english) AS product_category_name_english,
                count(*) AS load_copies
         FROM translation_rows WHERE product_category_name IS NOT NULL GROUP BY 1""",
-    "load_typed_order_items": f"SELECT {ITEM_TEXT} FROM order_item_rows",
+    "load_typed_order_items": f"SELECT {ITEM_TEXT} FROM order_items",
     "dedup_first_by_key": f"""
         SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, CAST(price AS DOUBLE) AS price,
                CAST(freight_value AS DOUBLE) AS freight_value, load_copies
-        FROM order_items JOIN {COPIES} ON order_id = ok AND order_item_id = oi""",
+        FROM first_items JOIN {COPIES} ON order_id = ok AND order_item_id = oi""",
     # filters
     "filter_not_null_keys": "SELECT order_id, customer_id FROM shop_orders WHERE customer_id IS NOT NULL",
     "filter_review_score_range": """

@@ -185,7 +185,7 @@ def scan_orders_projection(raw):
 def _item_files(spark: SparkSession, raw: StarViews) -> str:
     """Item rows as CSV files whose order is the one of the declared sort."""
     path = scratch_path(spark, "items-csv")
-    raw["order_item_rows"].orderBy("order_id", "order_item_id", *ITEM_ORDER).write.options(**CSV_OUT).csv(path)
+    raw["order_items"].orderBy("order_id", "order_item_id", *ITEM_ORDER).write.options(**CSV_OUT).csv(path)
     return path
 
 
@@ -207,7 +207,7 @@ def csv_load_multiline_text(spark, raw):
         F.col("text").alias("review_comment_message"),
     )
     rows.write.options(**CSV_OUT, quoteAll=True).csv(path)
-    loaded = load_table(spark, RAW_TABLES["order_reviews"], path, split_above=0)
+    loaded = load_table(spark, RAW_TABLES["order_reviews"], path)
     return loaded.select("review_id", "order_id", "review_score", "review_comment_title", "review_comment_message")
 
 
@@ -234,13 +234,13 @@ def load_translation_skip_null_key(raw):
 def load_typed_order_items(raw):
     """Item rows as text, cast back by the declared types."""
     spec = RAW_TABLES["order_items"]
-    rows = raw["order_item_rows"]
+    rows = raw["order_items"]
     return strict(by_name(rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]), spec), spec)
 
 
 @query
 def dedup_first_by_key(raw):
-    return first_per_key(raw["order_item_rows"], ["order_id", "order_item_id"], ITEM_ORDER)
+    return first_per_key(raw["order_items"], ["order_id", "order_item_id"], ITEM_ORDER)
 
 
 # --- filters ----------------------------------------------------------------------
@@ -411,22 +411,22 @@ def run_duration(raw):
 
 @query
 def upsert_orders_enriched(raw):
-    old = staging.orders_enriched(scenarios.first_run(raw))
-    new = staging.orders_enriched(scenarios.second_run(raw))
+    old = staging.orders_enriched(scenarios.FirstRun(raw))
+    new = staging.orders_enriched(scenarios.SecondRun(raw))
     return upsert(old, new, "order_id", staging.ENRICHED_UPDATES)
 
 
 @query
 def upsert_product_revenue(raw):
-    old = staging.product_revenue(scenarios.first_run(raw))
-    new = staging.product_revenue(scenarios.second_run(raw))
+    old = staging.product_revenue(scenarios.FirstRun(raw))
+    new = staging.product_revenue(scenarios.SecondRun(raw))
     return upsert(old, new, "product_id")
 
 
 @query
 def upsert_seller_performance(raw):
-    old = staging.seller_performance(scenarios.first_run(raw))
-    new = staging.seller_performance(scenarios.second_run(raw))
+    old = staging.seller_performance(scenarios.FirstRun(raw))
+    new = staging.seller_performance(scenarios.SecondRun(raw))
     return upsert(old, new, "seller_id", staging.SELLER_UPDATES)
 
 
@@ -453,7 +453,7 @@ def doc_sink_orders(spark, raw):
     """Two publications into one index: the second replaces whole documents."""
     path = scratch_path(spark, "orders-index")
     mapping = DOCUMENT_SCHEMAS["orders"]
-    for run in (scenarios.first_run(raw), scenarios.second_run(raw)):
+    for run in (scenarios.FirstRun(raw), scenarios.SecondRun(raw)):
         docs = documents.order_documents(staging.orders_enriched(run), iso_dates=False)
         upsert_documents(spark, docs, path, mapping, "order_id")
     return VersionedTable(spark, path).read().drop("order_id")
@@ -464,7 +464,7 @@ def stream_publish_orders(spark, raw):
     """The same as a stream: one staging version, a publication, another version, another one."""
     settings = Settings(csv_dir="", root=scratch_path(spark, "stream"))
     table = VersionedTable(spark, settings.staging("orders_enriched"))
-    for run in (scenarios.first_run(raw), scenarios.second_run(raw)):
+    for run in (scenarios.FirstRun(raw), scenarios.SecondRun(raw)):
         version = table.next_version()
         new = staging.orders_enriched(run).withColumn("row_version", F.lit(version).cast("bigint"))
         updates = [*staging.ENRICHED_UPDATES, "row_version"]

@@ -19,30 +19,42 @@ def _moment(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
 
-def first_run(raw: StarViews) -> dict[str, DataFrame]:
+class FirstRun:
     """Raw tables as an earlier run saw them: nothing delivered, other places."""
-    orders = raw["orders"].where(F.col("order_approved_at") < _moment(KNOWN_BEFORE))
-    return {
-        **{name: raw[name] for name in raw},
-        "orders": orders.withColumns(
-            {
-                "order_status": F.lit("created"),
-                "order_delivered_customer_date": F.lit(None).cast("timestamp_ntz"),
-            }
-        ),
-        "order_items": raw["order_items"].where(F.col("shipping_limit_date") < _moment(KNOWN_BEFORE)),
-        "customers": raw["customers"].withColumn("customer_city", F.concat(F.lit("old "), "customer_city")),
-        "sellers": raw["sellers"].withColumn("seller_city", F.concat(F.lit("old "), "seller_city")),
-    }
-
 
-def second_run(raw: StarViews) -> dict[str, DataFrame]:
+    def __init__(self, raw: StarViews) -> None:
+        self._raw = raw
+
+    def __getitem__(self, name: str) -> DataFrame:
+        rows = self._raw[name]
+        if name == "orders":
+            return rows.where(F.col("order_approved_at") < _moment(KNOWN_BEFORE)).withColumns(
+                {
+                    "order_status": F.lit("created"),
+                    "order_delivered_customer_date": F.lit(None).cast("timestamp_ntz"),
+                }
+            )
+        if name == "order_items":
+            return rows.where(F.col("shipping_limit_date") < _moment(KNOWN_BEFORE))
+        if name in ("customers", "sellers"):
+            city = f"{name[:-1]}_city"
+            return rows.withColumn(city, F.concat(F.lit("old "), city))
+        return rows
+
+
+class SecondRun:
     """Raw tables of a later run, whose source no longer delivers the oldest rows."""
-    return {
-        **{name: raw[name] for name in raw},
-        "orders": raw["orders"].where(F.col("order_approved_at") >= _moment(KEPT_SINCE)),
-        "order_items": raw["order_items"].where(F.col("shipping_limit_date") >= _moment(KEPT_SINCE)),
-    }
+
+    def __init__(self, raw: StarViews) -> None:
+        self._raw = raw
+
+    def __getitem__(self, name: str) -> DataFrame:
+        rows = self._raw[name]
+        if name == "orders":
+            return rows.where(F.col("order_approved_at") >= _moment(KEPT_SINCE))
+        if name == "order_items":
+            return rows.where(F.col("shipping_limit_date") >= _moment(KEPT_SINCE))
+        return rows
 
 
 def versioned(enriched: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 
 TEXT, FLAG, MOMENT = T.StringType(), T.BooleanType(), T.TimestampNTZType()
-SMALL, INT, LONG = T.ShortType(), T.IntegerType(), T.LongType()
+SMALL, INT, LONG, NUMBER = T.ShortType(), T.IntegerType(), T.LongType(), T.DoubleType()
 PRICE, TOTAL, DEGREES = T.DecimalType(10, 2), T.DecimalType(20, 2), T.DecimalType(10, 6)
 REVENUE = T.DecimalType(38, 2)
 

@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites of every column cost several gateway calls each while a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

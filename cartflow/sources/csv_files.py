@@ -1,9 +1,9 @@
 """CSV files as text rows, split over tasks even where fields hold line breaks.
 
-Spark cannot split a CSV file in ``multiLine`` mode, because a line break may lie
-inside quotes. Small files are read that way. A larger file is read line by line
-if no line leaves a quote open; otherwise its records are put together from lines
-by counting quotes per block, so no file has to pass through one task.
+A line break may lie inside quotes, so Spark reads a file of its ``multiLine`` mode
+in a single task, and turns ``\\r\\n`` into ``\\n`` there. Instead a first pass tells
+which files hold such line breaks. All others are read line by line. In those few,
+records are put together from lines by counting quotes per block.
 """
 
 from __future__ import annotations
@@ -18,25 +18,22 @@ from pyspark.sql import types as T
 #: Position of a row in its input: file, block start, row within the block.
 SEQUENCE = ("_seq_file", "_seq_block", "_seq_row")
 
-#: Size of one scan partition by default; smaller files make one task anyway.
-SPLIT_ABOVE = 128 * 1024 * 1024
-
 #: Longest text without the start of a record; an unclosed quote would exceed it.
 MAX_RECORD_CHARS = 16 * 1024 * 1024
 
 _FORMAT = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
 
 
-def list_files(spark: SparkSession, location: str) -> list[tuple[str, int]]:
-    """Path and size of every non-empty file of ``location`` (file, folder or glob)."""
+def list_files(spark: SparkSession, location: str) -> dict[str, str]:
+    """URI and path of every non-empty file of ``location`` (file, folder or glob), by name."""
     try:
-        found = spark.read.format("binaryFile").load(location).select("path", "length")
-        rows = found.where("length > 0").collect()  # one row per file, as any listing
+        found = spark.read.format("binaryFile").load(location).where("length > 0")
+        rows = found.select("_metadata.file_path", "path").collect()  # one row per file, as any listing
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return []
+            return {}
         raise
-    return sorted((r["path"], r["length"]) for r in rows)
+    return {r["file_path"]: r["path"] for r in sorted(rows)}
 
 
 def _sequence() -> list[Column]:
@@ -55,11 +52,9 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**_FORMAT, header=True, multiLine=True).csv(path).columns
 
 
-def _read_csv(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool) -> DataFrame:
+def _read_csv(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
     # enforceSchema=False: a file whose header differs fails instead of shifting columns.
-    reader = spark.read.schema(_strings(header)).options(
-        **_FORMAT, header=True, multiLine=multi_line, enforceSchema=False
-    )
+    reader = spark.read.schema(_strings(header)).options(**_FORMAT, header=True, enforceSchema=False)
     return reader.csv(paths).select("*", *_sequence())
 
 
@@ -69,10 +64,12 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.select("value", quotes.alias("quotes"), *_sequence())
 
 
-def files_with_open_lines(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files holding a line with an odd number of quotes."""
-    odd = _lines(spark, paths).groupBy("_seq_file").agg(F.max(F.col("quotes") % 2).alias("odd"))
-    return {r["_seq_file"] for r in odd.where("odd = 1").collect()}  # one row per file
+def files_with_broken_lines(spark: SparkSession, paths: list[str]) -> set[str]:
+    """URIs of the files with a line that leaves a quote open, or may quote a lone carriage return."""
+    quoted_return = (F.col("quotes") > 0) & F.col("value").rlike("\r.")
+    broken = F.bool_or((F.col("quotes") % 2 == 1) | quoted_return).alias("broken")
+    found = _lines(spark, paths).groupBy("_seq_file").agg(broken)
+    return {r["_seq_file"] for r in found.where("broken").collect()}  # one row per file
 
 
 def assemble_records(lines: DataFrame) -> DataFrame:
@@ -145,32 +142,20 @@ def _read_assembled(spark: SparkSession, paths: list[str], header: list[str]) ->
     return records.select(parsed.alias("_row"), *SEQUENCE).select("_row.*", *SEQUENCE)
 
 
-def read_rows(spark: SparkSession, location: str, split_above: int = SPLIT_ABOVE) -> DataFrame | None:
-    """All records of ``location`` as text columns plus their position; None without files.
-
-    Files of more than ``split_above`` bytes are split over tasks.
-    """
+def read_rows(spark: SparkSession, location: str) -> DataFrame | None:
+    """All records of ``location`` as text columns plus their position; None without files."""
     files = list_files(spark, location)
     if not files:
         return None
-    header = read_header(spark, files[0][0])
-    small = [path for path, size in files if size <= split_above]
-    large = [path for path, size in files if size > split_above]
-    parts = []
-    if small:
-        parts.append(_read_csv(spark, small, header, multi_line=True))
-    if large:
-        open_files = files_with_open_lines(spark, large)
-        plain = [p for p in large if p not in open_files]
-        broken = [p for p in large if p in open_files]
-        if plain:
-            parts.append(_read_csv(spark, plain, header, multi_line=False))
-        if broken:
-            for path in broken:
-                if read_header(spark, path) != header:
-                    raise ValueError(f"header of {path} differs from that of {files[0][0]}")
-            parts.append(_read_assembled(spark, broken, header))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows
+    first, *_ = files.values()
+    header = read_header(spark, first)
+    broken_files = files_with_broken_lines(spark, list(files.values()))
+    plain = [path for uri, path in files.items() if uri not in broken_files]
+    broken = [path for uri, path in files.items() if uri in broken_files]
+    for path in broken:
+        if read_header(spark, path) != header:
+            raise ValueError(f"header of {path} differs from that of {first}")
+    if not broken:
+        return _read_csv(spark, plain, header)
+    assembled = _read_assembled(spark, broken, header)
+    return assembled if not plain else _read_csv(spark, plain, header).unionByName(assembled)

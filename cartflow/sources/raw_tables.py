@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from cartflow.operators.conform import by_name, strict
 from cartflow.operators.dedup import COPIES, first_per_key
 from cartflow.schemas import TableSpec
-from cartflow.sources.csv_files import SEQUENCE, SPLIT_ABOVE, read_rows
+from cartflow.sources.csv_files import SEQUENCE, read_rows
 
 log = logging.getLogger(__name__)
 
@@ -27,12 +27,12 @@ def keep_first(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return first_per_key(rows, spec.key, SEQUENCE, columns=spec.columns)
 
 
-def load_table(spark: SparkSession, spec: TableSpec, location: str, split_above: int = SPLIT_ABOVE) -> DataFrame:
+def load_table(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame:
     """The table as loaded from ``location``, with ``load_copies`` read rows behind each row.
 
     Without any file the table is empty.
     """
-    rows = read_rows(spark, location, split_above)
+    rows = read_rows(spark, location)
     if rows is None:
         log.warning("no file %s: table %s is empty", location, spec.name)
         return spark.createDataFrame([], stored_schema(spec))
