@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +14,14 @@ from cartflow.operators.dedup import COPIES
 from cartflow.operators.sync_state import ROW_ID, unsynced, with_sync_flag
 from cartflow.operators.upsert import upsert
 from cartflow.plans import documents, runs, staging
-from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS, RAW_TABLES
+from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS, RAW_TABLES, TableSpec
 from cartflow.settings import Settings
 from cartflow.sources.documents import ensure_index, index_count, upsert_documents
 from cartflow.sources.raw_tables import load_table
 from cartflow.sources.versioned import VersionedTable
 
 ORDERS = "orders_enriched"
+LOAD_THREADS = 4
 
 
 def raw_tables(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
@@ -29,17 +32,26 @@ def raw_tables(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     }
 
 
+def _load_table(spark: SparkSession, settings: Settings, spec: TableSpec) -> int:
+    """Replace one raw table; returns the rows read for it."""
+    table = VersionedTable(spark, settings.raw(spec.name))
+    version = table.write(load_table(spark, spec, f"{settings.csv_dir}/{spec.files}"))
+    return table.read(version).agg(F.sum(COPIES).alias("n")).first()["n"] or 0
+
+
 def load(spark: SparkSession, settings: Settings, label: str = "manual") -> int:
     """Replace every raw table by its CSV files; returns the rows read.
 
-    Copies of a key count as read although only the first is kept.
+    Copies of a key count as read although only the first is kept. Tables load side
+    by side, so the many small ones do not queue behind the large ones. If one fails,
+    the rows of those before it are recorded.
     """
     with ledger.tracked_run(spark, settings, "load", label) as run:
-        for spec in RAW_TABLES.values():
-            table = VersionedTable(spark, settings.raw(spec.name))
-            version = table.write(load_table(spark, spec, f"{settings.csv_dir}/{spec.files}"))
-            read = table.read(version).agg(F.sum(COPIES).alias("n")).first()["n"]
-            run.rows += read or 0
+        with ThreadPoolExecutor(LOAD_THREADS) as pool:
+            task = inheritable_thread_target(spark)(_load_table)
+            loads = [pool.submit(task, spark, settings, spec) for spec in RAW_TABLES.values()]
+            for done in loads:
+                run.rows += done.result()
     return run.rows
 
 
