@@ -44,6 +44,7 @@ HEADLINE = (
     "doc_sink_orders",
     "mark_synced",
     "run_state",
+    "full_chain",
 )
 RUNS = 2
 

@@ -90,6 +90,10 @@ RUNS["text_documents"] = """
            o_orderdate AS order_purchase_timestamp
     FROM orders"""
 
+RUNS["short_customers"] = """
+    SELECT customer_id, customer_city, replace(customer_state, 'NATION_', '') AS customer_state FROM customers"""
+RUNS["loaded"] = _rename(VIEWS["enriched"], order_items="first_items", customers="short_customers")
+
 DELAY_RATE = (
     "CAST(count(*) AS BIGINT) AS total_orders, "
     "CAST(sum(CASE WHEN is_delayed THEN 1 ELSE 0 END) AS BIGINT) AS delayed_orders, "
@@ -307,6 +311,9 @@ SQL = {
     "unsynced_orders": f"SELECT order_id, total_payment, row_version FROM sync_rows WHERE {WAITING}",
     "count_unsynced": f"SELECT count(*) AS cnt FROM sync_rows WHERE {WAITING}",
     "mark_synced": f"SELECT order_id, total_payment, row_version, NOT {WAITING} AS synced_to_es FROM sync_rows",
+    "full_chain": f"""
+        SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+               order_approved_at, {DOCUMENT}, TRUE AS synced_to_es FROM loaded""",
     # runs and checks
     "run_state": """
         SELECT run_id, dag_id, run_type, status, rows_processed, started_at, finished_at, error_message

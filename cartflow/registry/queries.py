@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartflow import jobs
 from cartflow.functions import rounded_mean, rounded_ratio, whole_days, whole_seconds
 from cartflow.operators.conform import by_name, strict
 from cartflow.operators.dedup import first_per_key
@@ -15,6 +16,7 @@ from cartflow.operators.sync_state import unsynced, with_sync_flag
 from cartflow.operators.upsert import upsert
 from cartflow.plans import charts, documents, reports, runs, staging
 from cartflow.registry import scenarios
+from cartflow.registry.shop_files import CSV_OUT, item_rows, write_shop_files
 from cartflow.schemas import DOCUMENT_SCHEMAS, RAW_TABLES
 from cartflow.settings import Settings, scratch_path
 from cartflow.sources.documents import index_count, split_documents, upsert_documents
@@ -26,14 +28,6 @@ from cartflow.streaming.orders import publish_orders_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-CSV_OUT = {
-    "header": True,
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": False,
-    "ignoreTrailingWhiteSpace": False,
-}
-
 
 def comparable(rows: DataFrame) -> DataFrame:
     """Decimals as doubles and small ints as ints, as the comparison engine has them."""
@@ -183,9 +177,8 @@ def scan_orders_projection(raw):
 
 
 def _item_files(spark: SparkSession, raw: StarViews) -> str:
-    """Item rows as CSV files whose order is the one of the declared sort."""
     path = scratch_path(spark, "items-csv")
-    raw["order_items"].orderBy("order_id", "order_item_id", *ITEM_ORDER).write.options(**CSV_OUT).csv(path)
+    item_rows(raw).write.options(**CSV_OUT).csv(path)
     return path
 
 
@@ -519,6 +512,16 @@ def mark_synced(raw):
     return with_sync_flag(rows, scenarios.PUBLISHED_THROUGH, scenarios.rejected(rows))
 
 
+@with_spark
+def full_chain(spark, raw):
+    """CSV files loaded, transformed and published; the orders with their sync state."""
+    root = scratch_path(spark, "chain")
+    settings = Settings(csv_dir=f"{root}/csv", root=root)
+    write_shop_files(spark, raw, settings.csv_dir)
+    jobs.run_all(spark, settings)
+    return jobs.orders_table(spark, settings).select(*staging.ENRICHED_COLUMNS, "synced_to_es")
+
+
 # --- runs and checks ------------------------------------------------------------------
 
 

@@ -22,6 +22,7 @@ ACTIONS = {
     "doc_sink_orders",
     "stream_publish_orders",
     "index_count_orders",
+    "full_chain",
 }
 
 
