@@ -72,6 +72,16 @@ class VersionedTable:
         )
         return chosen
 
+    def expire(self, keep: int) -> None:
+        """Delete all but the last ``keep`` committed versions and what was started before them."""
+        committed = [v for v in self._started() if path_exists(self.spark, f"{self.folder(v)}/_SUCCESS")]
+        if keep < 1 or len(committed) <= keep:
+            return
+        for version in self._started():
+            if version < committed[keep - 1]:
+                target = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(version))
+                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def create(self, schema: T.StructType) -> None:
         """Commit an empty version unless the table has one."""
         if self.current() is None:

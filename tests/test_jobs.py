@@ -254,6 +254,17 @@ def test_uncommitted_versions_are_not_read(spark, tmp_path):
         table.write(spark.range(1), 3)
 
 
+def test_old_versions_expire(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for n in range(1, 4):
+        table.write(spark.range(n))
+    os.makedirs(f"{table.path}/v=9")  # started, not committed
+    table.expire(2)
+    assert sorted(os.listdir(table.path)) == ["v=2", "v=3", "v=9"]
+    assert table.read().count() == 3
+    assert table.next_version() == 10
+
+
 def test_stream_publishes_increments(spark, shop, tmp_path):
     checkpoint = str(tmp_path / "checkpoint")
 
