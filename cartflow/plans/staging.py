@@ -94,19 +94,21 @@ def orders_enriched(raw: Raw, columns: Sequence[str] = ENRICHED_COLUMNS) -> Data
     """One row per order with its customer, dates, payment, items and review score.
 
     Joins that only serve columns not asked for are left out: all of them are
-    left joins to a unique key, so they cannot change the other columns.
+    left joins to a unique key, so they cannot change the other columns. The customer
+    join comes first; the rows then stay partitioned by order for the other joins and
+    for a merge with older rows.
     """
     wanted = set(columns)
     rows = raw["orders"].where(F.col("order_id").isNotNull() & F.col("customer_id").isNotNull())
+    if wanted & {"customer_city", "customer_state"}:
+        customers = raw["customers"].select("customer_id", "customer_city", "customer_state")
+        rows = rows.join(customers, "customer_id", "left")
     if "total_payment" in wanted:
         rows = rows.join(payment_totals(raw["order_payments"]), "order_id", "left")
     if "item_count" in wanted:
         rows = rows.join(item_counts(raw["order_items"]), "order_id", "left")
     if "avg_review_score" in wanted:
         rows = rows.join(review_scores(raw["order_reviews"]), "order_id", "left")
-    if wanted & {"customer_city", "customer_state"}:
-        customers = raw["customers"].select("customer_id", "customer_city", "customer_state")
-        rows = rows.join(customers, "customer_id", "left")
     derived = {
         "delivery_days": lambda: whole_days(F.col(DELIVERED), F.col(PURCHASED)),
         "is_delayed": is_delayed,
@@ -137,17 +139,24 @@ def product_totals(items: DataFrame) -> DataFrame:
 
 
 def product_revenue(raw: Raw) -> DataFrame:
-    """Totals per product with its translated category; lookups run on the totals."""
-    products = raw["products"].select("product_id", "product_category_name")
+    """Totals per product with its translated category.
+
+    Category names are looked up for the products, which then meet the totals on the
+    product, so totals are shuffled no further, also not by a merge with older rows.
+    """
+    named = (
+        raw["products"]
+        .select("product_id", "product_category_name")
+        .join(raw["category_translation"], "product_category_name", "left")
+        .select("product_id", "product_category_name_english")
+    )
+    category = F.coalesce("product_category_name_english", F.lit(UNKNOWN_CATEGORY))
     return (
         product_totals(raw["order_items"])
-        .join(products, "product_id", "left")
-        .join(raw["category_translation"], "product_category_name", "left")
+        .join(named, "product_id", "left")
         .select(
             "product_id",
-            F.coalesce("product_category_name_english", F.lit(UNKNOWN_CATEGORY)).alias(
-                "product_category_name_english"
-            ),
+            category.alias("product_category_name_english"),
             "total_revenue",
             "total_orders",
             "avg_price",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import cartflow
 from cartflow.operators.dedup import first_per_key
+from cartflow.operators.upsert import upsert
 from cartflow.plans import reports, staging
 from cartflow.registry.queries import QUERIES
 from cartflow.sources.star import ITEM_ORDER, StarViews
@@ -75,23 +76,44 @@ def test_scans_read_only_what_is_needed(spark):
     assert set(scans(text)) == {"orders"} and "Join" not in text
 
 
-def test_order_joins_share_one_partitioning(spark, no_broadcast):
+def exchanges(text: str, key: str) -> int:
+    return len(re.findall(rf"Exchange hashpartitioning\({key}#\d+L?, \d+\)", text))
+
+
+def older(rows):
+    """Rows of an earlier version, as a merge reads them: in no partitioning of use."""
+    return rows.sparkSession.createDataFrame([], rows.schema)
+
+
+def test_order_joins_and_merge_share_one_partitioning(spark, no_broadcast):
     raw = StarViews(spark, SF_SMALL)
-    text = plan(staging.orders_enriched({**{n: raw[n] for n in raw}, "customers": raw["customers"].drop("n_name")}))
-    by_order = re.findall(r"Exchange hashpartitioning\(order_id#\d+L?, \d+\)", text)
+    rows = staging.orders_enriched(raw)
+    text = plan(rows)
     # Orders once, and one per aggregated side; each aggregate is partial before its shuffle.
-    assert len(by_order) == 4
+    assert exchanges(text, "order_id") == 4
     assert len(re.findall(r"functions=\[partial_", text)) == 3
-    # The customer join comes last, on its own key.
-    assert len(re.findall(r"Exchange hashpartitioning\(customer_id#", text)) == 2
+    assert exchanges(text, "customer_id") == 2
+    # The merge adds the shuffle of the older rows only.
+    assert exchanges(plan(upsert(older(rows), rows, "order_id", staging.ENRICHED_UPDATES)), "order_id") == 5
 
 
 def test_products_are_looked_up_after_grouping(spark, no_broadcast):
-    lines = plan(staging.product_revenue(StarViews(spark, SF_SMALL))).splitlines()
-    joins = [n for n, line in enumerate(lines) if "SortMergeJoin" in line]
-    scan = next(n for n, line in enumerate(lines) if "lineitem" in line)
+    rows = staging.product_revenue(StarViews(spark, SF_SMALL))
+    lines = plan(rows).splitlines()
+    first_join = next(n for n, line in enumerate(lines) if "SortMergeJoin" in line)
     grouped = [n for n, line in enumerate(lines) if "count(distinct order_id" in line]
-    assert max(joins) < min(grouped) < scan
+    scan = next(n for n, line in enumerate(lines) if "lineitem" in line)
+    assert first_join < min(grouped) < scan
+    assert not any("Join" in line for line in lines[min(grouped) : scan])
+    # Totals, products; the merge adds the older rows.
+    assert exchanges(plan(rows), "product_id") == 2
+    assert exchanges(plan(upsert(older(rows), rows, "product_id")), "product_id") == 3
+
+
+def test_seller_merge_adds_no_shuffle_of_the_totals(spark, no_broadcast):
+    rows = staging.seller_performance(StarViews(spark, SF_SMALL))
+    assert exchanges(plan(rows), "seller_id") == 2
+    assert exchanges(plan(upsert(older(rows), rows, "seller_id", staging.SELLER_UPDATES)), "seller_id") == 3
 
 
 def test_copies_of_a_key_meet_before_the_shuffle(spark):
