@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartflow.functions import iso_text
 from cartflow.sources.star import StarViews
 
 #: Orders known at the first run, and orders still delivered by the second run.
@@ -76,5 +77,5 @@ def text_documents(raw: StarViews) -> DataFrame:
         F.when(status == "P", F.lit("")).otherwise(F.col("o_totalprice").cast("decimal(10,2)").cast("string")).alias(
             "total_payment"
         ),
-        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("order_purchase_timestamp"),
+        iso_text(F.col("o_orderdate")).alias("order_purchase_timestamp"),
     )
