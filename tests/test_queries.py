@@ -7,8 +7,10 @@ from compare import oracle_connection, spark_rows, sql_rows, typed
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_points
+from cartflow.registry.oracle import oracle_sql
+from cartflow.registry.queries import QUERIES
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SQL = oracle_sql()
 MAY_BE_EMPTY = {"recent_failed_runs"}
 
 
@@ -30,6 +32,11 @@ def test_query(spark, connection, name):
     assert typed(found) == typed(expected)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark)
     assert rows.columns == ["month", "order_count", "total_revenue"]
