@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartflow.llm import jump_shards, quality, simhash
+from cartflow.llm import byte_bpe, decontaminate, jump_shards, quality, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_sharding": jump_shards.op4_sharding,
+    "op6_decontamination": decontaminate.op6_decontamination,
+    "op7_substring_dedup": repeats.op7_substring_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_decontamination": decontaminate.oracle_sql(),
+    "op7_substring_dedup": repeats.oracle_sql(),
     "op10_quality_rules": quality.oracle_sql(),
 }
