@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartflow.llm import byte_bpe, decontaminate, jump_shards, quality, repeats, simhash
+from cartflow.llm import byte_bpe, credentials, decontaminate, identifiers, jump_shards, quality, repeats, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_sharding": jump_shards.op4_sharding,
+    "op5_secret_scan": credentials.op5_secret_scan,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_substring_dedup": repeats.op7_substring_dedup,
+    "op8_pii": identifiers.op8_pii,
     "op9_simhash": simhash.op9_simhash,
     "op10_quality_rules": quality.op10_quality_rules,
 }
