@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartflow.llm import byte_bpe, credentials, decontaminate, identifiers, jump_shards, quality, repeats, simhash
+from cartflow.llm import byte_bpe, credentials, decontaminate, identifiers, jump_shards, quality, repeats, simhash, url_lists, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.op1_warc,
+    "op2_url_filters": url_lists.op2_url_filters,
     "op3_byte_bpe": byte_bpe.op3_byte_bpe,
     "op4_sharding": jump_shards.op4_sharding,
     "op5_secret_scan": credentials.op5_secret_scan,
@@ -20,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": warc.oracle_sql(),
+    "op2_url_filters": url_lists.oracle_sql(),
     "op6_decontamination": decontaminate.oracle_sql(),
     "op7_substring_dedup": repeats.oracle_sql(),
     "op10_quality_rules": quality.oracle_sql(),

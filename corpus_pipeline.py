@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartflow.llm import quality, simhash
+from cartflow.llm import byte_bpe, decontaminate, identifiers, quality, simhash
 from cartflow.llm.common import materialize, table
 
 
@@ -24,9 +25,33 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_of_each(spark, docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of any benchmark item."""
+    return decontaminate.clean_rows(spark, docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal identifiers in their texts replaced by the names of their kinds."""
+    named = {"text": identifiers.redacted_text(F.col("text"))}
+    redacted = docs.select(*[named.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    if "n_chars" not in docs.columns:
+        return redacted
+    length = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return redacted.select(*[length.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the digests that show their exact decoding."""
+    rows = byte_bpe.tokenized(spark, docs, "doc_id")
+    return byte_bpe.digests(rows, "doc_id", "ids")
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii_redaction", pii_redaction),
+    ("byte_level_bpe", byte_level_bpe),
 ]
 
 #: The last stage's token ids have no SQL form; tests compare the pipeline with a brute-force version.
