@@ -137,10 +137,10 @@ _SPELLED_HINT = re.compile(rf"\b(?:{_word_of(list(_SPELLED))})\b{_GAP}{_DIGIT}",
 _SPELLED_PART = re.compile(rf"plus[\x20-]{{1,2}}|{_word_of(list(_SPELLED))}|[\x20.,-]+", re.IGNORECASE)
 #: Bracketed signs, as "(at)" or "[.]", with the blanks around them.
 _BRACKETED = re.compile(r"\x20?[(\[{<]\x20?(at|dot|@|\.)\x20?[)\]}>]\x20?", re.IGNORECASE)
-#: Bare words count only as a whole address: name at label dot label, or number dot number three times.
+#: Bare words count only as a whole address: name at label dot label (not the word dot itself), or number dot number three times.
 _BARE = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20at\x20|\x20?@\x20?)[A-Za-z0-9-]{1,63}"
-    r"(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]{1,63}){0,8}\x20dot\x20[A-Za-z]{2,24}(?![A-Za-z0-9])"
+    r"(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]{1,63}){0,8}\x20dot\x20(?!dot\b)[A-Za-z]{2,24}(?![A-Za-z0-9])"
     r"|(?<![0-9])[0-9]{1,3}(?:(?:\x20dot\x20|\.)[0-9]{1,3}){3}(?![0-9])",
     re.IGNORECASE,
 )

@@ -151,31 +151,30 @@ def near_duplicates(
     distance: int = DISTANCE,
     blocks: int = BLOCKS,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)``, a row for each row of ``docs``."""
+    """``(doc_id, fp, component_id, label)``, a row for each row of ``docs``.
+
+    Components of repeated ids may have the same ``component_id``; their ``label``, a fingerprint, tells them apart.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp"))
     rows = materialize(spark, rows, "simhash-rows")
     classes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
     labels = classes.join(link_components(spark, classes, distance, blocks), "fp")
     names = labels.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    named = labels.select("fp", "label").join(names, "label").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = labels.select("fp", "label").join(names, "label").select("fp", "component_id", "label")
+    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "label")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The row with the smallest id of each component, whole and with the columns it came with.
+    """One row of each component, whole and with the columns it came with: that of the smallest id, NULL last.
 
-    Equal rows of that id and fingerprint count as one; a component without ids keeps one row of each
-    fingerprint. Only the keys of survivors are joined with the texts.
+    Of several texts of that id in the component the smallest fingerprint stays, of equal fingerprints any row.
+    Only the keys of survivors are joined with the texts.
     """
-    found = near_duplicates(spark, docs)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fp")
-    # Of one id with several fingerprints in a component, the smallest stays.
+    found = near_duplicates(spark, docs).groupBy("label", "doc_id", "fp").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("first")
     stay = materialize(
         spark,
-        found.join(stay.distinct(), ["doc_id", "fp"], "left_semi")
-        .unionByName(found.filter("doc_id IS NULL AND component_id IS NULL"))
-        .groupBy("doc_id", "component_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("own"))
-        .agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")),
+        found.groupBy("label").agg(first).select("first.doc_id", "first.fp", "first.copies"),
         "simhash-stay",
     )
     kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")

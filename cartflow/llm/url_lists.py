@@ -67,12 +67,12 @@ def judged(captures: DataFrame, intervals: DataFrame, block_days: int = BLOCK_DA
     """``captures`` (with ``host``, ``segment``, ``day``) and ``n_block``, ``n_allow``, ``entry_length``, ``verdict``."""
     block = F.floor(F.col("day") / F.lit(block_days))
     probes = captures.select("host", "segment", "day").filter("host <> '' AND day IS NOT NULL").distinct()
-    # The last day of any capture bounds open intervals: a table of one row.
-    last = probes.agg(F.max("day").alias("last_day"), F.min("day").alias("first_day"))
+    # Open intervals end with the last day of any capture.
+    first_day, last_day = probes.agg(F.min("day"), F.max("day")).first()
+    first_day, last_day = F.lit(first_day).cast("int"), F.lit(last_day).cast("int")
     bounded = (
-        intervals.crossJoin(F.broadcast(last))
-        .withColumn("a", F.greatest("from_day", "first_day"))
-        .withColumn("b", F.least(F.coalesce(F.col("to_day") - 1, "last_day"), "last_day"))
+        intervals.withColumn("a", F.when(F.col("from_day") < first_day, first_day).otherwise(F.col("from_day")))
+        .withColumn("b", F.when(F.col("to_day") <= last_day, F.col("to_day") - 1).otherwise(last_day))
         .filter("a <= b")
     )
     spread = bounded.select(

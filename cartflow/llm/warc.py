@@ -363,7 +363,7 @@ def write_archive(
 
 def read_archive(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
     """The page records of an archive, all digests checked; ``payload`` is NULL for revisits and without ``payloads``."""
-    files = spark.read.parquet(f"{root}/manifest")
+    files = spark.read.schema(FILES).parquet(f"{root}/manifest")
     return files.select("name", "records").repartition("name").mapInArrow(_reader(root, payloads), RECORDS)
 
 
@@ -382,8 +382,8 @@ judged AS (
          row_number() OVER (PARTITION BY h, page_id) AS copy
   FROM page)
 SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest,
-       CASE WHEN strlen(h) >= {REVISIT_BYTES} AND (page_id <> owner OR copy > 1) THEN 'revisit' ELSE 'response' END
+       CASE WHEN strlen(h) >= {REVISIT_BYTES} AND (page_id IS DISTINCT FROM owner OR copy > 1) THEN 'revisit' ELSE 'response' END
          AS record_type,
-       CASE WHEN strlen(h) >= {REVISIT_BYTES} AND (page_id <> owner OR copy > 1) THEN owner END AS refers_to
+       CASE WHEN strlen(h) >= {REVISIT_BYTES} AND (page_id IS DISTINCT FROM owner OR copy > 1) THEN owner END AS refers_to
 FROM judged
 """
