@@ -32,13 +32,20 @@ def layout(*columns: tuple[str, T.DataType]) -> T.StructType:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A raw table and the CSV files it is loaded from."""
+    """A raw table and the CSV file (or folder of part files) it is loaded from.
+
+    ``line_breaks`` tells whether quoted fields may hold line breaks.
+    """
 
     name: str
-    files: str
+    file: str
     fields: tuple[Field, ...]
     key: tuple[str, ...]
     drop_null_keys: bool = False
+    line_breaks: bool = False
+
+    def file_name(self, prefix: str) -> str:
+        return self.file.format(prefix=prefix)
 
     @property
     def columns(self) -> list[str]:
@@ -75,7 +82,7 @@ RAW_TABLES = {
     for spec in (
         TableSpec(
             "customers",
-            "*_customers_dataset.csv",
+            "{prefix}_customers_dataset.csv",
             (
                 text("customer_id", 50),
                 text("customer_unique_id", 50),
@@ -87,7 +94,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "sellers",
-            "*_sellers_dataset.csv",
+            "{prefix}_sellers_dataset.csv",
             (
                 text("seller_id", 50),
                 text("seller_zip_code_prefix", 10),
@@ -98,7 +105,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "products",
-            "*_products_dataset.csv",
+            "{prefix}_products_dataset.csv",
             (
                 text("product_id", 50),
                 text("product_category_name", 100),
@@ -124,7 +131,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "orders",
-            "*_orders_dataset.csv",
+            "{prefix}_orders_dataset.csv",
             (
                 text("order_id", 50),
                 text("customer_id", 50),
@@ -139,7 +146,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "order_items",
-            "*_order_items_dataset.csv",
+            "{prefix}_order_items_dataset.csv",
             (
                 text("order_id", 50),
                 whole("order_item_id"),
@@ -153,7 +160,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "order_payments",
-            "*_order_payments_dataset.csv",
+            "{prefix}_order_payments_dataset.csv",
             (
                 text("order_id", 50),
                 whole("payment_sequential"),
@@ -165,7 +172,7 @@ RAW_TABLES = {
         ),
         TableSpec(
             "order_reviews",
-            "*_order_reviews_dataset.csv",
+            "{prefix}_order_reviews_dataset.csv",
             (
                 text("review_id", 50),
                 text("order_id", 50),
@@ -176,10 +183,11 @@ RAW_TABLES = {
                 moment("review_answer_timestamp"),
             ),
             ("review_id", "order_id"),
+            line_breaks=True,
         ),
         TableSpec(
             "geolocation",
-            "*_geolocation_dataset.csv",
+            "{prefix}_geolocation_dataset.csv",
             (
                 text("geolocation_zip_code_prefix", 10),
                 degrees("geolocation_lat"),

@@ -32,7 +32,7 @@ def load_table(spark: SparkSession, spec: TableSpec, location: str) -> DataFrame
 
     Without any file the table is empty.
     """
-    rows = read_rows(spark, location)
+    rows = read_rows(spark, location, spec.line_breaks)
     if rows is None:
         log.warning("no file %s: table %s is empty", location, spec.name)
         return spark.createDataFrame([], stored_schema(spec))

@@ -3,14 +3,16 @@ from __future__ import annotations
 import csv
 import io
 import random
+from contextlib import contextmanager
 from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from cartflow import jobs
 from cartflow.schemas import RAW_TABLES
-from cartflow.sources import csv_files
+from cartflow.sources import raw_tables
 from cartflow.sources.csv_files import read_rows
 from cartflow.sources.raw_tables import load_table
 
@@ -24,12 +26,11 @@ def load(spark, tmp_path, table, text, encoding="utf-8"):
 
 
 
-@pytest.fixture(params=["as found", "all put together"])
+@pytest.fixture(params=["as declared", "all put together"])
 def reading(request, monkeypatch):
-    """Each file read as it would be, and with all records put together from lines."""
+    """Tables read as they declare, and with all records put together from lines."""
     if request.param == "all put together":
-        everything = type("Everything", (), {"__contains__": lambda self, uri: True})()
-        monkeypatch.setattr(csv_files, "files_with_broken_lines", lambda spark, paths: everything)
+        monkeypatch.setattr(raw_tables, "read_rows", lambda spark, location, breaks: read_rows(spark, location, True))
 
 
 @pytest.mark.usefixtures("reading")
@@ -186,10 +187,7 @@ def test_split_files_equal_the_csv_module(spark, tmp_path, seed):
         for key, text in csv.reader(io.StringIO(out.getvalue())):
             expected[key] = text
     del expected["review_id"]
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "257")
-    spark.conf.set("spark.sql.files.openCostInBytes", "16")
-    try:
+    with splits(spark, 257):
         rows = read_rows(spark, str(tmp_path))
         assert rows.select("_seq_block").distinct().count() > 5
         found = rows.groupBy("review_id").agg(
@@ -197,41 +195,146 @@ def test_split_files_equal_the_csv_module(spark, tmp_path, seed):
         )
         found = {r["review_id"]: (r["texts"], r["n"]) for r in found.collect()}
         order = [r["review_id"] for r in rows.orderBy("_seq_file", "_seq_block", "_seq_row").collect()]
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-        spark.conf.unset("spark.sql.files.openCostInBytes")
     assert found == {key: ([text], 2) for key, text in expected.items()}
     assert order == [key for key, _ in records] * 2
 
 
-def test_files_with_broken_lines(spark, tmp_path):
-    texts = {
-        "plain": 'a,b\n1,"x ""y"""\n',
-        "windows": 'a,b\r\n1,"x"\r\n',
-        "newline": 'a,b\n1,"x\ny"\n',
-        "return": 'a,b\n1,"x\ry"\n',
-    }
-    for name, text in texts.items():
-        (tmp_path / f"{name} é.csv").write_bytes(text.encode())
-    paths = csv_files.list_files(spark, str(tmp_path))
-    assert len(paths) == 4
-    found = csv_files.files_with_broken_lines(spark, list(paths.values()))
-    assert {p.rsplit("/", 1)[1][:6] for p in found} == {"newlin", "return"}
-    assert found < set(paths)
-    rows = read_rows(spark, str(tmp_path))
-    assert sorted(r["b"] for r in rows.collect()) == ["x", "x\ny", "x\ry", 'x "y"']
-
-
-def test_unclosed_quote_fails(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("cartflow.sources.csv_files.MAX_RECORD_CHARS", 100)
-    text = 'review_id,text\n1,"open\n' + "x\n" * 1000
-    (tmp_path / "a.csv").write_text(text)
+@contextmanager
+def splits(spark, size):
+    """Files cut into blocks of ``size`` bytes."""
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
     spark.conf.set("spark.sql.files.openCostInBytes", "16")
     try:
-        with pytest.raises(Exception, match="unclosed quote"):
-            read_rows(spark, str(tmp_path)).collect()
+        yield
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def by_csv_module(text):
+    """Rows of a file by the csv module, as dictionaries; empty fields are None."""
+    return [
+        {k: v or None for k, v in row.items() if k is not None}
+        for row in csv.DictReader(io.StringIO(text, newline=""))
+    ]
+
+
+def spoiled_file(rng, line_end):
+    """Lines of fields with stray, doubled and closing quotes; the last field closes whatever is open."""
+    pieces = ['"', '""', ",", "a", "b c", " ", '5" x', '"q"', '"x""y"', '"m\nn"', '"\n\n, z"', '"c"d', "é", '"r\r\ns"', "   "]
+    lines = ["k,v,w"]
+    for n in range(300):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randrange(5)))
+        lines.append(f"{n},{value}" if rng.random() < 0.9 else rng.choice(["", "  ", ",,"]))
+    text = line_end.join(lines) + line_end
+    for tail in ("", '"' + line_end):
+        rows = by_csv_module(text + tail)
+        # A file that ends inside quotes has its last record run to the end.
+        if not ends_open(text + tail):
+            return text + tail, rows
+    raise AssertionError
+
+
+def ends_open(text):
+    """Character by character: whether the file ends inside a quoted field."""
+    state = "start"
+    for i, c in enumerate(text):
+        if state == "quoted":
+            state = "quote" if c == '"' else state
+        elif state == "quote" and c == '"':
+            state = "quoted"
+        elif c in ",\n" or (c == "\r" and text[i + 1 : i + 2] == "\n"):
+            state = "start"
+        elif state == "start" and c == '"':
+            state = "quoted"
+        else:
+            state = "field"
+    return state == "quoted"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_stray_quotes_equal_the_csv_module(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    text, expected = spoiled_file(rng, "\r\n" if seed % 3 == 2 else "\n")
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8", newline="")
+    with splits(spark, rng.choice([97, 313, 1000, 1 << 20])):
+        rows = read_rows(spark, str(tmp_path)).orderBy("_seq_file", "_seq_block", "_seq_row").collect()
+    found = [{c: r[c] or None for c in ("k", "v", "w")} for r in rows]
+    assert found == [{c: row.get(c) for c in ("k", "v", "w")} for row in expected]
+
+
+def test_literal_quotes_lose_no_rows(spark, tmp_path):
+    text = f'{REVIEW_HEADER}\nr1,o1,5,tv 5" wide,ok\nr2,o2,4,plain,fine\nr3,o3,3,x,y 7"\nr4,o4,2,"a ""b""\n",z\n'
+    rows = load(spark, tmp_path, "order_reviews", text).orderBy("review_id").collect()
+    assert [r["review_comment_title"] for r in rows] == ['tv 5" wide', "plain", "x", 'a "b"\n']
+    assert [r["review_comment_message"] for r in rows] == ["ok", "fine", 'y 7"', "z"]
+
+
+def test_last_of_equal_headers_counts(spark, tmp_path):
+    text = "review_id,order_id,review_score,review_score\nr,o,1,2\n"
+    assert load(spark, tmp_path, "order_reviews", text).first()["review_score"] == 2
+
+
+def test_blank_lines_within_texts_and_between_records(spark, tmp_path):
+    text = f'{REVIEW_HEADER}\n\nr1,o1,5,t,"a\n\n  \nb"\n\n'
+    rows = load(spark, tmp_path, "order_reviews", text).collect()
+    assert [r["review_comment_message"] for r in rows] == ["a\n\n  \nb"]
+    with pytest.raises(Exception, match="must not be empty"):  # a record with one blank field
+        load(spark, tmp_path, "order_reviews", f"{REVIEW_HEADER}\n  \n").collect()
+
+
+@pytest.mark.parametrize("size", [8 << 20, 128 << 20])
+def test_long_texts_load_at_any_split_size(spark, tmp_path, size):
+    body = "some words, and more\n" * 1_000_000  # 21 MB in one field
+    text = f'{REVIEW_HEADER}\nr1,o1,5,t,"{body}"\nr2,o2,4,t,x\n'
+    with splits(spark, size):
+        rows = load(spark, tmp_path, "order_reviews", text)
+        lengths = rows.select("review_id", F.length("review_comment_message").alias("n")).orderBy("review_id")
+        assert [tuple(r) for r in lengths.collect()] == [("r1", len(body)), ("r2", 1)]
+
+
+@pytest.mark.parametrize("size", [300, 1 << 20])
+def test_unclosed_quote_fails_at_any_size(spark, tmp_path, size):
+    (tmp_path / "a.csv").write_text('review_id,text\n1,"open\n' + "x\n" * 100)
+    with splits(spark, size), pytest.raises(Exception, match="unclosed quote"):
+        read_rows(spark, str(tmp_path)).collect()
+
+
+def test_line_breaks_that_are_not_declared_fail(spark, tmp_path):
+    with pytest.raises(Exception, match="line break in quotes"):
+        load(spark, tmp_path, "sellers", 'seller_id,seller_city\na,"x\ny"\n').collect()
+
+
+@pytest.mark.parametrize("breaks", [True, False])
+def test_other_headers_fail(spark, tmp_path, breaks):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception):
+        read_rows(spark, str(tmp_path), breaks).collect()
+
+
+@pytest.mark.parametrize("breaks", [True, False])
+def test_jobs_do_not_grow_with_files(spark, tmp_path, breaks):
+    def jobs_for(files):
+        folder = tmp_path / f"{files}"
+        folder.mkdir()
+        for i in range(files):
+            (folder / f"{i:03}.csv").write_text(f'k,v\n{i},"x{chr(10) if breaks else " "}y"\n')
+        tracker, group = spark.sparkContext.statusTracker(), f"{breaks}-{files}"
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            assert read_rows(spark, str(folder), breaks).count() == files
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs_for(20) <= jobs_for(3) + 2  # tasks are put together in other ways
+
+
+def test_only_the_exact_file_is_loaded(spark, settings):
+    for name in ("shop_orders_dataset.csv", "old_orders_dataset.csv"):
+        with open(f"{settings.csv_dir}/{name}", "w") as out:
+            out.write(f"order_id\n{name}\n")
+    jobs.load(spark, settings)
+    assert [r["order_id"] for r in jobs.raw_tables(spark, settings)["orders"].collect()] == ["shop_orders_dataset.csv"]
