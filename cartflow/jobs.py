@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -12,18 +12,23 @@ from pyspark.sql import functions as F
 from cartflow import ledger
 from cartflow.operators.dedup import COPIES
 from cartflow.operators.sync_state import ROW_ID, unsynced, with_sync_flag
-from cartflow.operators.upsert import upsert
 from cartflow.plans import documents, runs, staging
 from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS, RAW_TABLES, TableSpec
 from cartflow.settings import Settings
-from cartflow.sources.documents import ensure_index, index_count, upsert_documents
+from cartflow.sources.documents import ensure_index, index_count, index_table, upsert_documents
+from cartflow.sources.keyed import KeyedTable
 from cartflow.sources.raw_tables import load_table
 from cartflow.sources.versioned import VersionedTable
 
 ORDERS = "orders_enriched"
+STAGING_KEYS = {ORDERS: "order_id", "product_revenue": "product_id", "seller_performance": "seller_id"}
 LOAD_THREADS = 4
 
 
+def staging_table(spark: SparkSession, settings: Settings, name: str) -> KeyedTable:
+    return KeyedTable(spark, settings.staging(name), STAGING_KEYS[name], settings.buckets, settings.keep)
+
+
 def raw_tables(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     """The loaded raw tables."""
     return {
@@ -35,7 +40,8 @@ def raw_tables(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
 def _load_table(spark: SparkSession, settings: Settings, spec: TableSpec) -> int:
     """Replace one raw table; returns the rows read for it."""
     table = VersionedTable(spark, settings.raw(spec.name))
-    version = table.write(load_table(spark, spec, f"{settings.csv_dir}/{spec.files}"))
+    version = table.write(load_table(spark, spec, f"{settings.csv_dir}/{spec.file_name(settings.prefix)}"))
+    table.expire(settings.keep)
     return table.read(version).agg(F.sum(COPIES).alias("n")).first()["n"] or 0
 
 
@@ -43,15 +49,20 @@ def load(spark: SparkSession, settings: Settings, label: str = "manual") -> int:
     """Replace every raw table by its CSV files; returns the rows read.
 
     Copies of a key count as read although only the first is kept. Tables load side
-    by side, so the many small ones do not queue behind the large ones. If one fails,
-    the rows of those before it are recorded.
+    by side, so the many small ones do not queue behind the large ones. If one fails, tables
+    not yet begun are left as they are, and the rows of all that were replaced are recorded.
     """
     with ledger.tracked_run(spark, settings, "load", label) as run:
         with ThreadPoolExecutor(LOAD_THREADS) as pool:
             task = inheritable_thread_target(spark)(_load_table)
             loads = [pool.submit(task, spark, settings, spec) for spec in RAW_TABLES.values()]
-            for done in loads:
-                run.rows += done.result()
+            wait(loads, return_when=FIRST_EXCEPTION)
+            for waiting in loads:
+                waiting.cancel()
+        ended = [task for task in loads if not task.cancelled()]
+        run.rows += sum(task.result() for task in ended if task.exception() is None)
+        for task in ended:
+            task.result()
     return run.rows
 
 
@@ -59,7 +70,6 @@ def _upsert_staging(
     spark: SparkSession,
     settings: Settings,
     name: str,
-    key: str,
     rows: DataFrame,
     update_columns: Collection[str] | None = None,
 ) -> int:
@@ -67,15 +77,16 @@ def _upsert_staging(
 
     Every row written gets the new version, so unchanged rows are published again.
     """
-    table = VersionedTable(spark, settings.staging(name))
-    old, version = table.read_or_none(), table.next_version()
+    table = staging_table(spark, settings, name)
+    version = table.next_version()
+    now = F.lit(settings.clock()).cast("timestamp") if settings.clock else F.current_timestamp()
     stamped = rows.withColumns(
-        {"updated_at": F.current_timestamp(), "row_version": F.lit(version).cast("bigint")}
+        {"updated_at": now, "row_version": F.lit(version).cast("bigint")}
     )
     if update_columns is not None:
         update_columns = [*update_columns, "updated_at", "row_version"]
-    table.write(upsert(old, stamped, key, update_columns), version)
-    return table.read(version).where(F.col("row_version") == version).count()
+    table.merge(stamped, version, update_columns)
+    return table.written(version).where(F.col("row_version") == version).count()
 
 
 def transform(spark: SparkSession, settings: Settings, label: str = "manual") -> int:
@@ -83,16 +94,15 @@ def transform(spark: SparkSession, settings: Settings, label: str = "manual") ->
     with ledger.tracked_run(spark, settings, "transform", label) as run:
         raw = raw_tables(spark, settings)
         run.rows += _upsert_staging(
-            spark, settings, ORDERS, "order_id", staging.orders_enriched(raw), staging.ENRICHED_UPDATES
+            spark, settings, ORDERS, staging.orders_enriched(raw), staging.ENRICHED_UPDATES
         )
         run.rows += _upsert_staging(
-            spark, settings, "product_revenue", "product_id", staging.product_revenue(raw)
+            spark, settings, "product_revenue", staging.product_revenue(raw)
         )
         run.rows += _upsert_staging(
             spark,
             settings,
             "seller_performance",
-            "seller_id",
             staging.seller_performance(raw),
             staging.SELLER_UPDATES,
         )
@@ -108,21 +118,27 @@ def _published(spark: SparkSession, settings: Settings) -> tuple[int | None, Dat
 
 def orders_table(spark: SparkSession, settings: Settings) -> DataFrame:
     """Enriched orders with ``synced_to_es``."""
-    rows = VersionedTable(spark, settings.staging(ORDERS)).read()
+    rows = staging_table(spark, settings, ORDERS).read()
     return with_sync_flag(rows, *_published(spark, settings))
 
 
 def unsynced_orders(spark: SparkSession, settings: Settings) -> DataFrame:
-    rows = VersionedTable(spark, settings.staging(ORDERS)).read()
-    return unsynced(rows, *_published(spark, settings))
-
-
-def _publish_orders(spark: SparkSession, settings: Settings) -> int:
-    table = VersionedTable(spark, settings.staging(ORDERS))
-    version = table.current()
+    """Orders that wait: of buckets written since the last publication, and rejected ones."""
+    table = staging_table(spark, settings, ORDERS)
+    through, rejected = _published(spark, settings)
+    waiting = unsynced(table.read(since=through), through, None)
+    if rejected is None or rejected.isEmpty():
+        return waiting
+    return waiting.unionByName(unsynced(table.read(), through, rejected).where(F.col("row_version") <= through))
+
+
+def publish_orders(spark: SparkSession, settings: Settings) -> int:
+    """Publish all waiting orders and mark them; the batch job and the stream share this and its state."""
+    version = staging_table(spark, settings, ORDERS).current()
     if version is None:
         return 0
-    pending = unsynced(table.read(version), *_published(spark, settings))
+    ensure_index(spark, settings.index("orders"), DOCUMENT_SCHEMAS["orders"], settings.buckets, settings.keep)
+    pending = unsynced_orders(spark, settings)
     if pending.isEmpty():
         return 0
     result = upsert_documents(
@@ -131,23 +147,33 @@ def _publish_orders(spark: SparkSession, settings: Settings) -> int:
         settings.index("orders"),
         DOCUMENT_SCHEMAS["orders"],
         DOCUMENT_KEYS["orders"],
+        buckets=settings.buckets,
+        keep=settings.keep,
     )
     # Marked only after the documents are committed: a crash in between publishes
     # the same documents again, which leaves the index unchanged.
     failed = result.rejects.select(F.col("_id").alias("order_id"))
     rejected = pending.select(*ROW_ID).join(failed, "order_id", "left_semi")
-    VersionedTable(spark, settings.sync_state("orders_rejected")).write(rejected)
     marker = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
-    VersionedTable(spark, settings.sync_state("orders_through")).write(marker)
+    for name, rows in (("orders_rejected", rejected), ("orders_through", marker)):
+        state = VersionedTable(spark, settings.sync_state(name))
+        state.write(rows)
+        state.expire(settings.keep)
     return result.indexed
 
 
 def _publish_all(spark: SparkSession, settings: Settings, kind: str, name: str, shape) -> int:
-    rows = VersionedTable(spark, settings.staging(name)).read_or_none()
+    rows = staging_table(spark, settings, name).read_or_none()
     if rows is None or rows.isEmpty():
         return 0
     result = upsert_documents(
-        spark, shape(rows), settings.index(kind), DOCUMENT_SCHEMAS[kind], DOCUMENT_KEYS[kind]
+        spark,
+        shape(rows),
+        settings.index(kind),
+        DOCUMENT_SCHEMAS[kind],
+        DOCUMENT_KEYS[kind],
+        buckets=settings.buckets,
+        keep=settings.keep,
     )
     return result.indexed
 
@@ -155,9 +181,9 @@ def _publish_all(spark: SparkSession, settings: Settings, kind: str, name: str,
 def publish(spark: SparkSession, settings: Settings, label: str = "manual") -> int:
     """Publish unsynced orders and all products and sellers; returns documents written."""
     for kind, mapping in DOCUMENT_SCHEMAS.items():
-        ensure_index(spark, settings.index(kind), mapping)
+        ensure_index(spark, settings.index(kind), mapping, settings.buckets, settings.keep)
     with ledger.tracked_run(spark, settings, "sync", label) as run:
-        run.rows += _publish_orders(spark, settings)
+        run.rows += publish_orders(spark, settings)
         run.rows += _publish_all(
             spark, settings, "products", "product_revenue", documents.product_documents
         )
@@ -169,7 +195,7 @@ def publish(spark: SparkSession, settings: Settings, label: str = "manual") -> i
 
 def publish_if_needed(spark: SparkSession, settings: Settings, label: str = "scheduled") -> dict[str, object]:
     """Publish only if some order is unsynced; otherwise products and sellers wait too."""
-    if VersionedTable(spark, settings.staging(ORDERS)).current() is None:
+    if staging_table(spark, settings, ORDERS).current() is None:
         waiting = 0
     else:
         waiting = unsynced_orders(spark, settings).count()
@@ -191,7 +217,7 @@ def health(spark: SparkSession, settings: Settings) -> DataFrame:
     """Check rows for the data under ``settings.root``."""
     empty = spark.range(0)
     orders = VersionedTable(spark, settings.raw("orders")).read_or_none()
-    docs = VersionedTable(spark, settings.index("orders")).read_or_none()
+    docs = index_table(spark, settings.index("orders")).read_or_none()
     return runs.health_checks(
         empty if orders is None else orders,
         empty if docs is None else docs,
@@ -215,9 +241,11 @@ __all__ = [
     "orders_table",
     "publish",
     "publish_if_needed",
+    "publish_orders",
     "raw_tables",
     "require_healthy",
     "run_all",
+    "staging_table",
     "transform",
     "unsynced_orders",
 ]

@@ -1,4 +1,8 @@
-"""Run ledger: an append-only table of start and finish events."""
+"""Run ledger: a table of start and finish events.
+
+It holds a few rows for each run, so every event writes it anew as one small file and drops old versions; the
+number of files does not grow with the runs.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 from cartflow.plans.runs import run_state
 from cartflow.schemas import RUN_EVENTS
 from cartflow.settings import Settings
-from cartflow.sources.versioned import path_exists
+from cartflow.sources.versioned import VersionedTable
 
 
 @dataclass
@@ -24,14 +28,13 @@ class Run:
     rows: int = 0
 
 
-def _path(settings: Settings) -> str:
-    return settings.staging("run_events")
+def _table(spark: SparkSession, settings: Settings) -> VersionedTable:
+    return VersionedTable(spark, settings.staging("run_events"))
 
 
 def events(spark: SparkSession, settings: Settings) -> DataFrame:
-    if not path_exists(spark, _path(settings)):
-        return spark.createDataFrame([], RUN_EVENTS)
-    return spark.read.schema(RUN_EVENTS).parquet(_path(settings))
+    found = _table(spark, settings).read_or_none()
+    return spark.createDataFrame([], RUN_EVENTS) if found is None else found
 
 
 def runs(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -40,11 +43,13 @@ def runs(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def _append(spark: SparkSession, settings: Settings, *event: object) -> None:
-    spark.createDataFrame([event], RUN_EVENTS).coalesce(1).write.mode("append").parquet(_path(settings))
+    table = _table(spark, settings)
+    table.write(events(spark, settings).unionByName(spark.createDataFrame([event], RUN_EVENTS)).coalesce(1))
+    table.expire(settings.keep)
 
 
-def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+def _now(settings: Settings) -> datetime:
+    return settings.clock() if settings.clock else datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 @contextmanager
@@ -55,10 +60,10 @@ def tracked_run(spark: SparkSession, settings: Settings, run_type: str, label: s
     """
     last = events(spark, settings).agg(F.max("run_id").alias("id")).first()["id"]
     run = Run((last or 0) + 1)
-    _append(spark, settings, run.run_id, label, run_type, 0, "running", 0, _now(), None)
+    _append(spark, settings, run.run_id, label, run_type, 0, "running", 0, _now(settings), None)
     try:
         yield run
     except Exception as error:
-        _append(spark, settings, run.run_id, label, run_type, 1, "failed", run.rows, _now(), str(error))
+        _append(spark, settings, run.run_id, label, run_type, 1, "failed", run.rows, _now(settings), str(error))
         raise
-    _append(spark, settings, run.run_id, label, run_type, 1, "success", run.rows, _now(), None)
+    _append(spark, settings, run.run_id, label, run_type, 1, "success", run.rows, _now(settings), None)

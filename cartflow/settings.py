@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +33,14 @@ class Settings:
     indices: dict[str, str] = field(
         default_factory=lambda: {"orders": "orders", "products": "products", "sellers": "sellers"}
     )
+    #: What file names start with; only these exact names are loaded.
+    prefix: str = "shop"
+    #: Buckets of a new keyed table: what one changed key rewrites is the table's size divided by them.
+    buckets: int = 16
+    #: What time it is, for recorded times; the clock of the machines if not given.
+    clock: Callable[[], datetime] | None = None
+    #: Committed versions that stay readable; older ones are dropped after each commit.
+    keep: int = 3
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Settings:
@@ -42,6 +53,9 @@ class Settings:
                 "products": env.get("CARTFLOW_INDEX_PRODUCTS", "products"),
                 "sellers": env.get("CARTFLOW_INDEX_SELLERS", "sellers"),
             },
+            prefix=env.get("CARTFLOW_CSV_PREFIX", "shop"),
+            buckets=int(env.get("CARTFLOW_BUCKETS", "16")),
+            keep=int(env.get("CARTFLOW_KEEP_VERSIONS", "3")),
         )
 
     def raw(self, table: str) -> str:
@@ -81,7 +95,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        # local-cluster has executors of its own, which do not share the driver's folders.
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         shared = tempfile.mkdtemp(prefix="cartflow-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartflow.operators.conform import check_mapping
-from cartflow.operators.dedup import last_per_key
-from cartflow.operators.upsert import upsert
+from cartflow.operators.dedup import last_per_key, unique_per_key
+from cartflow.settings import scratch_path
+from cartflow.sources.keyed import BUCKETS, KEEP, KeyedTable
 from cartflow.sources.versioned import VersionedTable
 
 
@@ -30,9 +31,15 @@ def index_schema(mapping: T.StructType) -> T.StructType:
     )
 
 
-def ensure_index(spark: SparkSession, path: str, mapping: T.StructType) -> VersionedTable:
+def index_table(spark: SparkSession, path: str, buckets: int = BUCKETS, keep: int = KEEP) -> KeyedTable:
+    return KeyedTable(spark, path, "_id", buckets, keep)
+
+
+def ensure_index(
+    spark: SparkSession, path: str, mapping: T.StructType, buckets: int = BUCKETS, keep: int = KEEP
+) -> KeyedTable:
     """The index at ``path``, created empty if it does not exist."""
-    index = VersionedTable(spark, path)
+    index = index_table(spark, path, buckets, keep)
     index.create(index_schema(mapping))
     return index
 
@@ -40,11 +47,16 @@ def ensure_index(spark: SparkSession, path: str, mapping: T.StructType) -> Versi
 def index_count(spark: SparkSession, path: str) -> int:
     """Documents in the index; 0 if there is none or it cannot be read."""
     try:
-        return VersionedTable(spark, path).read().count()
+        return index_table(spark, path).read().count()
     except Exception:
         return 0
 
 
+def pending_rejects(spark: SparkSession, path: str) -> DataFrame | None:
+    """Documents rejected by any publication and not accepted since; None if there never was one."""
+    return VersionedTable(spark, f"{path}_rejects").read_or_none()
+
+
 def split_documents(docs: DataFrame, mapping: T.StructType, key: str | None) -> tuple[DataFrame, DataFrame]:
     """Fit documents with their ``_id`` (NULL if they bring none), and the rejects."""
     checked = check_mapping(docs, mapping)
@@ -56,18 +68,6 @@ def split_documents(docs: DataFrame, mapping: T.StructType, key: str | None) ->
     return good, bad
 
 
-def merge_documents(old: DataFrame | None, good: DataFrame, version: int) -> DataFrame:
-    """The index after writing ``good``; documents without an id get a random one.
-
-    Random ids are made after the merge, in the writing tasks, so no shuffle
-    depends on them.
-    """
-    stamped = good.withColumn("_version", F.lit(version).cast("bigint"))
-    keyed = upsert(old, stamped.where(F.col("_id").isNotNull()), "_id")
-    loose = stamped.where(F.col("_id").isNull()).withColumn("_id", F.uuid())
-    return keyed.unionByName(loose)
-
-
 def upsert_documents(
     spark: SparkSession,
     docs: DataFrame,
@@ -75,23 +75,42 @@ def upsert_documents(
     mapping: T.StructType,
     key: str | None,
     order: Sequence[str] | None = None,
+    buckets: int = BUCKETS,
+    keep: int = KEEP,
 ) -> PublishResult:
     """Write ``docs`` into the index at ``path``; unfit ones go to its rejects table.
 
-    Ids must be unique within ``docs`` unless ``order`` tells which copy is last.
-    Writing the same documents again leaves the index as it is.
+    Of several documents with one id the last in ``order`` wins; without an order such ids fail the publication
+    before anything is committed. Documents without an id get a random one. Writing the same documents again
+    leaves the index as it is. The rejects table keeps the rejects of earlier publications until their ids are accepted.
     """
     if order is not None:
         if key is None:
             raise ValueError("an order needs a key")
         keyless = docs.where(F.col(key).isNull())
         docs = last_per_key(docs.where(F.col(key).isNotNull()), [key], order).unionByName(keyless)
-    index = VersionedTable(spark, path)
+    index = index_table(spark, path, buckets, keep)
     rejects = VersionedTable(spark, f"{path}_rejects")
     good, bad = split_documents(docs, mapping, key)
-    old = index.read_or_none()
     version = index.next_version()
-    index.write(merge_documents(old, good, version), version)
-    rejected = rejects.read(rejects.write(bad))
-    indexed = index.read(version).where(F.col("_version") == version).count()
-    return PublishResult(indexed, rejected.count(), rejected)
+    stamped = good.withColumn("_version", F.lit(version).cast("bigint"))
+    keyed = stamped.where(F.col("_id").isNotNull())
+    if order is None:
+        keyed = unique_per_key(keyed, "_id", f"{path}: several documents with the id ")
+    loose = stamped.where(F.col("_id").isNull())
+    if not loose.isEmpty():
+        # Random ids are written down first, so that no retried task makes others.
+        kept = scratch_path(spark, "random-ids")
+        loose.withColumn("_id", F.uuid()).write.parquet(kept)
+        keyed = keyed.unionByName(spark.read.schema(keyed.schema).parquet(kept))
+    index.merge(keyed, version)
+    earlier = rejects.read_or_none()
+    if earlier is not None:
+        seen = good.select("_id").unionByName(bad.select("_id")).where(F.col("_id").isNotNull())
+        bad_now = bad.unionByName(earlier.join(seen.distinct(), "_id", "left_anti"))
+    else:
+        bad_now = bad
+    rejects.write(bad_now)
+    rejects.expire(keep)
+    indexed = index.written(version).where(F.col("_version") == version).count()
+    return PublishResult(indexed, bad.count(), bad)

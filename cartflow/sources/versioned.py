@@ -29,6 +29,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(target))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class VersionedTable:
     """One table under ``path``; the writer of a table must be the only one."""
 
@@ -49,6 +54,10 @@ class VersionedTable:
                 return version
         return None
 
+    def committed(self) -> list[int]:
+        """All committed versions, the newest first."""
+        return [v for v in self._started() if path_exists(self.spark, f"{self.folder(v)}/_SUCCESS")]
+
     def next_version(self) -> int:
         """A number above every version ever started, failed ones included."""
         return max(self._started(), default=0) + 1
@@ -74,13 +83,12 @@ class VersionedTable:
 
     def expire(self, keep: int) -> None:
         """Delete all but the last ``keep`` committed versions and what was started before them."""
-        committed = [v for v in self._started() if path_exists(self.spark, f"{self.folder(v)}/_SUCCESS")]
+        committed = self.committed()
         if keep < 1 or len(committed) <= keep:
             return
         for version in self._started():
             if version < committed[keep - 1]:
-                target = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder(version))
-                target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+                delete_path(self.spark, self.folder(version))
 
     def create(self, schema: T.StructType) -> None:
         """Commit an empty version unless the table has one."""

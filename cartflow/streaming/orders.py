@@ -1,50 +1,40 @@
-"""The order publication as a stream over new staging versions."""
+"""The order publication as a stream over committed staging versions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cartflow.operators.dedup import last_per_key
-from cartflow.plans.documents import order_documents
-from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS
+from cartflow import jobs
 from cartflow.settings import Settings
-from cartflow.sources.documents import ensure_index, upsert_documents
-from cartflow.sources.versioned import VersionedTable
 
 
-def changed_orders(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Stream of the rows each staging version wrote.
+def committed_versions(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Stream of the manifests of the staging table: a few rows for each committed version.
 
-    A version also holds rows carried over from older ones; they are skipped.
+    A manifest is written after the rows of its version, so a version that failed or is being written is not
+    seen. Rows themselves are not streamed; what a version changed is read from the buckets it wrote.
     """
-    table = VersionedTable(spark, settings.staging("orders_enriched"))
-    schema = table.read().schema
-    written_in = F.regexp_extract(F.col("_metadata.file_path"), r"/v=(\d+)/", 1).cast("bigint")
-    rows = spark.readStream.schema(schema).parquet(f"{table.path}/v=*")
-    return rows.where(F.col("row_version") == written_in)
+    manifest = jobs.staging_table(spark, settings, jobs.ORDERS).manifest
+    stream = spark.readStream.schema(manifest.read().schema)
+    # Versions may expire before they are seen; a later one covers their rows.
+    return stream.option("ignoreMissingFiles", "true").parquet(f"{manifest.path}/v=*")
 
 
 def publish_orders_stream(spark: SparkSession, settings: Settings, checkpoint: str) -> StreamingQuery:
-    """Publish what has arrived since the last call, then stop.
+    """Publish what has been committed since the last call, then stop.
 
-    Progress lies in ``checkpoint``. A batch repeated after a crash writes the same
-    documents under the same ids. If a batch holds several versions of an order,
-    the newest is published; no state is kept between batches.
+    Progress of the stream lies in ``checkpoint``; which orders wait lies in the sync state, which the batch
+    publication shares. So neither publishes again what the other has published, rejected orders are tried
+    again with each batch, and a batch repeated after a crash finds nothing or writes the same documents.
     """
-    mapping, key = DOCUMENT_SCHEMAS["orders"], DOCUMENT_KEYS["orders"]
-    index = settings.index("orders")
-    ensure_index(spark, index, mapping)
 
     def write(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        newest = last_per_key(batch, ["order_id"], ["row_version"])
-        upsert_documents(batch.sparkSession, order_documents(newest, iso_dates=False), index, mapping, key)
+        if not batch.isEmpty():
+            jobs.publish_orders(batch.sparkSession, settings)
 
     return (
-        changed_orders(spark, settings)
+        committed_versions(spark, settings)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import os
 
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 from cartflow import jobs, ledger
 from cartflow.schemas import DOCUMENT_SCHEMAS, RAW_TABLES
 from cartflow.settings import Settings, scratch_path
-from cartflow.sources.documents import index_count, upsert_documents
+from cartflow.sources.documents import index_count, index_table, pending_rejects, upsert_documents
+from cartflow.sources.keyed import BUCKET, KeyedTable, read_pattern
 from cartflow.sources.versioned import VersionedTable
 from cartflow.streaming.orders import publish_orders_stream
 
@@ -53,7 +55,7 @@ def orders(spark, settings):
 
 
 def documents(spark, settings, kind):
-    return {r["_id"]: r for r in VersionedTable(spark, settings.index(kind)).read().collect()}
+    return {r["_id"]: r for r in index_table(spark, settings.index(kind)).read().collect()}
 
 
 def test_full_chain_and_reruns(spark, shop):
@@ -138,8 +140,11 @@ def test_failed_load_is_recorded_and_keeps_the_old_table(spark, shop):
     runs = {r["run_id"]: r for r in ledger.runs(spark, shop).collect()}
     assert (runs[1]["status"], runs[1]["rows_processed"], runs[1]["error_message"]) == ("success", ROWS_READ, None)
     failed = runs[2]
-    # Tables before the bad one are loaded and counted.
-    assert (failed["status"], failed["dag_id"], failed["rows_processed"]) == ("failed", "nightly", 2 + 1 + 2 + 1 + 3)
+    # Every table that was replaced is counted, and no other.
+    replaced = [t for t in (VersionedTable(spark, shop.raw(n)) for n in RAW_TABLES) if t.current() == 2]
+    rows = sum(t.read().agg(F.sum("load_copies")).first()[0] or 0 for t in replaced)
+    assert (failed["status"], failed["dag_id"], failed["rows_processed"]) == ("failed", "nightly", rows)
+    assert 2 <= len(replaced) < len(RAW_TABLES)
     assert "not a valid int" in failed["error_message"]
     assert failed["finished_at"] >= failed["started_at"]
     assert VersionedTable(spark, shop.raw("order_items")).read().count() == 3
@@ -216,7 +221,7 @@ def test_documents_without_id_and_last_write_wins(spark, tmp_path):
     )
     result = upsert_documents(spark, docs, path, mapping, "product_id", order=["n"])
     assert (result.indexed, result.errors) == (3, 0)
-    rows = VersionedTable(spark, path).read().collect()
+    rows = index_table(spark, path).read().collect()
     assert sorted(r["category"] for r in rows) == ["loose", "loose", "new"]
     assert len({r["_id"] for r in rows}) == 3
     # Documents without the field altogether are always added.
@@ -229,7 +234,7 @@ def test_whole_documents_are_replaced(spark, tmp_path):
     first = spark.createDataFrame([("p", "a", 5)], "product_id string, category string, total_orders bigint")
     upsert_documents(spark, first, path, mapping, "product_id")
     upsert_documents(spark, first.drop("total_orders"), path, mapping, "product_id")
-    assert VersionedTable(spark, path).read().first()["total_orders"] is None
+    assert index_table(spark, path).read().first()["total_orders"] is None
 
 
 def test_rejects_name_their_fields(spark, tmp_path):
@@ -271,7 +276,7 @@ def test_stream_publishes_increments(spark, shop, tmp_path):
     def run():
         query = publish_orders_stream(spark, shop, checkpoint)
         query.awaitTermination()
-        return VersionedTable(spark, shop.index("orders")).current()
+        return index_table(spark, shop.index("orders")).current()
 
     jobs.load(spark, shop)
     jobs.transform(spark, shop)
@@ -299,6 +304,125 @@ def test_stream_publishes_increments(spark, shop, tmp_path):
     }
 
 
+def test_stream_sees_committed_versions_only_and_shares_the_state(spark, shop, tmp_path, monkeypatch):
+    def run():
+        publish_orders_stream(spark, shop, str(tmp_path / "checkpoint")).awaitTermination()
+        return {k: r["order_status"] for k, r in documents(spark, shop, "orders").items()}
+
+    jobs.load(spark, shop)
+    jobs.transform(spark, shop)
+    assert run() == {"o1": "delivered", "o2": "shipped"}
+    assert jobs.publish_if_needed(spark, shop)["status"] == "skipped"  # the stream has marked them
+
+    # A version whose rows are there but whose manifest is not.
+    table = jobs.staging_table(spark, shop, jobs.ORDERS)
+    commit = KeyedTable._commit
+    monkeypatch.setattr(KeyedTable, "_commit", lambda *_: None)
+    table.merge(table.read().withColumns({"order_status": F.lit("lost"), "row_version": F.lit(2).cast("bigint")}))
+    monkeypatch.setattr(KeyedTable, "_commit", commit)
+    assert table.current() == 1 and table.next_version() == 3
+    assert run() == {"o1": "delivered", "o2": "shipped"}
+    assert jobs.unsynced_orders(spark, shop).count() == 0
+
+    # A document rejected in one batch is tried again in the next.
+    shape = jobs.documents.order_documents
+
+    def spoiled(rows, iso_dates=True):
+        bad = F.when(F.col("order_id") == "o2", "many").otherwise(F.col("item_count").cast("string"))
+        return shape(rows, iso_dates).withColumn("item_count", bad)
+
+    put(shop, orders="order_id,customer_id,order_status\no2,c2,returned\no3,c1,created\n")
+    jobs.load(spark, shop)
+    jobs.transform(spark, shop)
+    monkeypatch.setattr(jobs.documents, "order_documents", spoiled)
+    assert run() == {"o1": "delivered", "o2": "shipped", "o3": "created"}
+    assert [r["_id"] for r in pending_rejects(spark, shop.index("orders")).collect()] == ["o2"]
+    monkeypatch.setattr(jobs.documents, "order_documents", shape)
+    put(shop, orders="order_id,customer_id,order_status\no4,c1,created\n")
+    jobs.load(spark, shop)
+    jobs.transform(spark, shop)
+    assert run() == {"o1": "delivered", "o2": "returned", "o3": "created", "o4": "created"}
+    assert pending_rejects(spark, shop.index("orders")).count() == 0
+    assert jobs.unsynced_orders(spark, shop).count() == 0
+
+
+def files(path):
+    return {str(p.relative_to(path)) for p in path.rglob("*.parquet") if "manifest" not in str(p)}
+
+
+def test_a_changed_key_rewrites_one_bucket(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", buckets=8)
+    rows = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit("old").alias("v"))
+    table.merge(rows)
+    assert {p["version"] for p in table.places() if p["bucket"] >= 0} == {1}
+    table.merge(spark.createDataFrame([("7", "new")], "k string, v string"))
+    assert sorted(p["version"] for p in table.places() if p["bucket"] >= 0) == [1] * 7 + [2]
+    assert len([f for f in files(tmp_path / "t") if "/_v=2/" in f]) == 1
+    assert table.written(2).count() < 200
+    assert table.read(since=1).where("v = 'new'").count() == 1
+    found = {r["k"]: r["v"] for r in table.read().collect()}
+    assert len(found) == 200 and [k for k, v in found.items() if v == "new"] == ["7"]
+    assert {r["v"] for r in table.read(1).collect()} == {"old"}
+    # The bucket count is kept by the table.
+    assert KeyedTable(spark, table.path, "k", buckets=3).merge(rows.limit(0)) == 3
+    assert table.read().count() == 200
+
+
+def test_unused_buckets_expire(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", buckets=2, keep=2)
+    for n in range(5):
+        table.merge(spark.createDataFrame([("a", n)], "k string, n int"))
+    folders = sorted(p.name for p in (tmp_path / "t" / "data").iterdir())
+    assert folders == ["_v=4", "_v=5"]
+    assert table.read().first()["n"] == 4 and table.read(4).first()["n"] == 3
+    assert {p.name for p in (tmp_path / "t" / "data" / "_v=5").iterdir() if p.name.startswith(BUCKET)} != set()
+
+
+def test_tables_expire_with_each_commit(spark, shop):
+    shop = dataclasses.replace(shop, keep=1)
+    for _ in range(2):
+        jobs.run_all(spark, shop)
+    for path in (shop.raw("orders"), shop.staging("run_events"), shop.sync_state("orders_through")):
+        assert len(VersionedTable(spark, path).committed()) == shop.keep
+    assert len(jobs.staging_table(spark, shop, jobs.ORDERS).manifest.committed()) == shop.keep
+
+
+def test_repeated_ids_need_an_order(spark, tmp_path):
+    docs = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", "c")], "product_id string, category string")
+    path = str(tmp_path / "i")
+    with pytest.raises(Exception, match="several documents with the id p"):
+        upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS["products"], "product_id")
+    assert index_count(spark, path) == 0
+    assert upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS["products"], "product_id", order=["category"]).indexed == 2
+    assert {r["category"] for r in index_table(spark, path).read().collect()} == {"b", "c"}
+
+
+def test_rejects_stay_until_they_are_accepted(spark, tmp_path):
+    path, mapping = str(tmp_path / "i"), DOCUMENT_SCHEMAS["products"]
+
+    def publish(*rows):
+        docs = spark.createDataFrame(list(rows), "product_id string, total_orders string")
+        upsert_documents(spark, docs, path, mapping, "product_id")
+        return sorted(r["_id"] for r in pending_rejects(spark, path).collect())
+
+    assert publish(("a", "x"), ("b", "y"), ("c", "1")) == ["a", "b"]
+    assert publish(("d", "2")) == ["a", "b"]
+    assert publish(("a", "3"), ("b", "z")) == ["b"]
+
+
+def test_indices_are_read_by_pattern(spark, tmp_path):
+    mapping = DOCUMENT_SCHEMAS["products"]
+    for name in ("shop_products_1", "shop_products_2", "shop_sellers"):
+        docs = spark.createDataFrame([(name, "c")], "product_id string, category string")
+        upsert_documents(spark, docs, f"{tmp_path}/{name}", mapping, "product_id")
+    found = read_pattern(spark, str(tmp_path), "shop_products*", "_id")
+    assert sorted((r["_index"], r["_id"]) for r in found.collect()) == [
+        ("shop_products_1", "shop_products_1"),
+        ("shop_products_2", "shop_products_2"),
+    ]
+    assert read_pattern(spark, str(tmp_path), "none*", "_id") is None
+
+
 def test_settings_from_environment():
     found = Settings.from_env({"CARTFLOW_CSV_DIR": "/c", "CARTFLOW_ROOT": "/r", "CARTFLOW_INDEX_ORDERS": "o"})
     assert found.index("orders") == "/r/documents/o"
@@ -316,8 +440,9 @@ class StubSession:
 def test_scratch_lies_under_the_checkpoint_folder():
     assert scratch_path(StubSession("yarn", "hdfs:/shared/"), "x").startswith("hdfs:/shared/x-")
     assert os.path.isdir(os.path.dirname(scratch_path(StubSession("local[2]", None), "x")))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(StubSession("yarn", None), "x")
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(StubSession(master, None), "x")
 
 
 def test_manifest():
