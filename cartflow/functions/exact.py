@@ -14,13 +14,23 @@ from pyspark.sql import functions as F
 WHOLE = "decimal(38,0)"
 
 
-def rounded_ratio(num: Column, den: Column, digits: int) -> Column:
+def _whole(value: Column, name: str) -> Column:
+    """The value as a whole number; a fraction fails instead of being rounded."""
+    whole = value.cast(WHOLE)
+    return F.when(value.isNull() | (whole == value), whole).otherwise(
+        F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), value.cast("string"))).cast(WHOLE)
+    )
+
+
+def rounded_ratio(num: Column, den: Column, digits: int, den_scale: int = 0) -> Column:
     """``num / den`` rounded to ``digits`` places; NULL when ``den`` is 0 or NULL.
 
-    ``num`` and ``den`` must hold whole numbers and ``den`` must not be negative.
+    ``num`` must hold whole numbers, ``den`` at most ``den_scale`` decimal places, which are checked, and must not
+    be negative.
     """
-    scale = 10**digits
-    n, d = num.cast(WHOLE), den.cast(WHOLE)
+    scale, unit = 10**digits, 10**den_scale
+    n = _whole(num, "numerator") * F.lit(unit) if den_scale else _whole(num, "numerator")
+    d = _whole(den * F.lit(unit) if den_scale else den, "denominator")
     steps = F.call_function("div", F.abs(n) * F.lit(2 * scale) + d, d * F.lit(2))
     signed = F.when(n < 0, -steps).otherwise(steps)
     value = (signed.cast("decimal(20,0)") / F.lit(scale)).cast(f"decimal(20,{digits})")

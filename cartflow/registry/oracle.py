@@ -105,6 +105,9 @@ BY_STATE_DAYS = (
     "count(*) AS delivered_orders FROM enriched WHERE delivery_days IS NOT NULL GROUP BY customer_state"
 )
 SECONDS = "CAST(round((epoch_us(finished_at) - epoch_us(started_at)) / 1000000.0) AS INTEGER) AS duration_sec"
+TROUBLED_RUNS = (
+    "SELECT * FROM runs WHERE run_type IN ('error', 'signup') ORDER BY started_at DESC NULLS FIRST, run_id DESC LIMIT"
+)
 TOP_RUNS = "SELECT * FROM runs ORDER BY started_at DESC NULLS FIRST, run_id DESC LIMIT"
 ITEM_TEXT = (
     "CAST(order_id AS VARCHAR) AS order_id, order_item_id, CAST(product_id AS VARCHAR) AS product_id, "
@@ -258,7 +261,8 @@ SQL = {
         FROM shop_orders""",
     "round_ratio": f"""
         SELECT product_id, {ratio(cents('sum(price)'), '100 * count(*)', 2)} AS mean_price,
-               {ratio('count(*) * 100', 'sum(freight_value)', 1)} AS items_per_100_freight
+               {ratio('count(*) * 100', 'sum(freight_value)', 1)} AS items_per_100_freight,
+               {ratio('count(*) * 100000', cents('sum(price)'), 4)} AS items_per_1000_spent
         FROM order_items GROUP BY 1""",
     "run_duration": f"SELECT run_id, {SECONDS} FROM runs",
     # upserts
@@ -320,12 +324,65 @@ SQL = {
         FROM runs""",
     "recent_runs": f"SELECT run_id, run_type, status, rows_processed, started_at FROM ({TOP_RUNS} 5)",
     "recent_failed_runs": f"""
-        SELECT run_id, run_type, status, rows_processed, started_at FROM ({TOP_RUNS} 5) WHERE status = 'failed'""",
+        SELECT run_id, run_type, status, rows_processed, started_at FROM ({TROUBLED_RUNS} 5) WHERE status = 'failed'""",
     "health_checks": f"""
         SELECT 'raw_orders_present' AS check_name, count(*) AS value, count(*) > 0 AS ok FROM shop_orders
         UNION ALL SELECT 'order_documents_counted', count(*), TRUE FROM enriched
         UNION ALL SELECT 'no_recent_failed_runs', count(*), count(*) = 0
-        FROM ({TOP_RUNS} 5) WHERE status = 'failed'""",
+        FROM ({TROUBLED_RUNS} 5) WHERE status = 'failed'""",
+    # load rules, sinks and jobs that have no other key
+    "csv_bom_and_ragged_rows": """
+        SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+               CASE WHEN customer_id % 4 <> 0 THEN customer_city END AS customer_city,
+               CASE WHEN customer_id % 4 <> 0 THEN 'XX' END AS customer_state
+        FROM customers""",
+    "csv_literal_quotes": """
+        SELECT CAST(product_id AS VARCHAR) AS review_id, CAST(product_id % 5 AS INTEGER) AS review_score,
+               product_name || ' 5" wide' AS review_comment_title,
+               CASE product_id % 3 WHEN 0 THEN product_name
+                    WHEN 1 THEN product_name || chr(10) || chr(10) || 'says "hi, you"' || chr(10)
+                    ELSE '7"' END AS review_comment_message
+        FROM products""",
+    "load_geolocation": """
+        SELECT CAST(customer_id % 10 AS VARCHAR) AS geolocation_zip_code_prefix, customer_city AS geolocation_city,
+               replace(customer_state, 'NATION_', '') AS geolocation_state, count(*) AS rows,
+               CAST(sum(CAST(customer_id % 10 / 8.0 AS DECIMAL(10,6))) AS DOUBLE) AS lat, count(*) AS read
+        FROM customers GROUP BY 1, 2, 3""",
+    "load_misfits_fail": """
+        SELECT 'length' AS misfit, count(*) > 0 AS failed FROM sellers WHERE length(seller_state) > 2
+        UNION ALL SELECT 'key', count(*) > 0 FROM sellers
+        UNION ALL SELECT 'number', count(*) > 0 FROM products WHERE try_cast(product_name AS INTEGER) IS NULL""",
+    "index_pattern_read": """
+        SELECT CASE WHEN product_id % 2 = 0 THEN 'shop_products_even' ELSE 'shop_products_odd' END AS _index,
+               CAST(product_id AS VARCHAR) AS _id, product_category_name_english AS category, total_orders,
+               CASE WHEN product_id % 2 = 0 THEN avg_price END AS avg_price
+        FROM revenue""",
+    "doc_sink_repeated_ids": """
+        SELECT CAST(product_id AS VARCHAR) AS _id, max(order_id) AS total_orders, CAST(1 AS BIGINT) AS _version
+        FROM order_items GROUP BY 1""",
+    "doc_sink_keyless": """
+        SELECT product_category_name AS category, 2 * count(*) AS documents, 2 * count(*) AS ids
+        FROM products GROUP BY 1""",
+    "index_create_if_absent": """
+        SELECT seller_state, count(*) AS after, CAST(0 AS BIGINT) AS before FROM sellers GROUP BY 1""",
+    "publish_gate": """
+        SELECT 1 AS attempt, 'success' AS status, count(*) AS unsynced, count(*) AS documents FROM enriched
+        UNION ALL SELECT 2, 'skipped', 0, 0""",
+    "ledger_runs": """
+        SELECT CAST(i AS BIGINT) AS run_id, 'nightly' AS dag_id, kind AS run_type,
+               CASE WHEN i = 2 THEN 'failed' ELSE 'success' END AS status, n AS rows_processed,
+               TIMESTAMP '2024-01-01' + to_minutes(CAST(2 * (i - 1) AS INTEGER)) AS started_at,
+               TIMESTAMP '2024-01-01' + to_minutes(CAST(2 * i - 1 AS INTEGER)) AS finished_at,
+               CASE WHEN i = 2 THEN 'lost' END AS error_message
+        FROM (SELECT 1 AS i, 'load' AS kind, count(*) AS n FROM customers
+              UNION ALL SELECT 2, 'transform', count(*) FROM sellers
+              UNION ALL SELECT 3, 'sync', count(*) FROM products)""",
+    "upsert_row_counts": """
+        SELECT CAST(1 AS BIGINT) AS row_version, TIMESTAMP '2024-02-03' AS updated_at, count(*) AS rows,
+               (SELECT count(*) FROM old_revenue) AS written
+        FROM old_revenue WHERE product_id NOT IN (SELECT product_id FROM new_revenue) HAVING count(*) > 0
+        UNION ALL
+        SELECT 2, TIMESTAMP '2024-02-03', count(*), count(*) FROM new_revenue HAVING count(*) > 0""",
 }
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cartflow import jobs
+from cartflow import jobs, ledger
 from cartflow.functions import rounded_mean, rounded_ratio, whole_days, whole_seconds
 from cartflow.operators.conform import by_name, strict
 from cartflow.operators.dedup import first_per_key
@@ -16,10 +17,17 @@ from cartflow.operators.sync_state import unsynced, with_sync_flag
 from cartflow.operators.upsert import upsert
 from cartflow.plans import charts, documents, reports, runs, staging
 from cartflow.registry import scenarios
-from cartflow.registry.shop_files import CSV_OUT, item_rows, write_shop_files
-from cartflow.schemas import DOCUMENT_SCHEMAS, RAW_TABLES
+from cartflow.registry.shop_files import CSV_OUT, geolocation_rows, item_rows, write_lines, write_shop_files
+from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS, RAW_TABLES
 from cartflow.settings import Settings, scratch_path
-from cartflow.sources.documents import index_count, split_documents, upsert_documents
+from cartflow.sources.documents import (
+    ensure_index,
+    index_count,
+    index_table,
+    split_documents,
+    upsert_documents,
+)
+from cartflow.sources.keyed import read_pattern
 from cartflow.sources.raw_tables import load_table
 from cartflow.sources.star import ITEM_ORDER, StarViews
 from cartflow.sources.versioned import VersionedTable
@@ -138,32 +146,59 @@ def _order_docs(raw: StarViews, *columns: str) -> DataFrame:
     return docs.select(*columns)
 
 
-@query
-def chart_monthly_orders(raw):
-    return charts.monthly_orders(_order_docs(raw, "order_purchase_timestamp"))
+def _published(spark: SparkSession, kind: str, docs: DataFrame) -> DataFrame:
+    """Documents published into an index of their own, read back from it."""
+    path = scratch_path(spark, f"{kind}-chart-index")
+    upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS[kind], DOCUMENT_KEYS[kind])
+    return index_table(spark, path).read()
 
 
-@query
-def chart_revenue_by_category(raw):
-    return charts.revenue_by_category(documents.product_documents(staging.product_revenue(raw)))
+def _published_orders(spark: SparkSession, raw: StarViews) -> DataFrame:
+    return _published(spark, "orders", documents.order_documents(_enriched(raw), iso_dates=False))
 
 
-@query
-def chart_delivery_days_by_state(raw):
-    return charts.delivery_days_by_state(_order_docs(raw, "customer_state", "delivery_days"))
+@with_spark
+def chart_monthly_orders(spark, raw):
+    return charts.monthly_orders(_published_orders(spark, raw))
 
 
-@query
-def chart_delay_rate_by_state(raw):
-    return charts.delay_rate_by_state(
-        _order_docs(raw, "customer_state", "order_delivered_customer_date", "is_delayed")
-    )
+@with_spark
+def chart_revenue_by_category(spark, raw):
+    docs = documents.product_documents(staging.product_revenue(raw))
+    return charts.revenue_by_category(_published(spark, "products", docs))
 
 
-@query
-def orders_in_time_range(raw):
-    docs = _order_docs(raw, "order_id", "order_purchase_timestamp", "order_status")
-    return charts.in_time_range(docs, "1996-01-01", "1998-12-31")
+@with_spark
+def chart_delivery_days_by_state(spark, raw):
+    return charts.delivery_days_by_state(_published_orders(spark, raw))
+
+
+@with_spark
+def chart_delay_rate_by_state(spark, raw):
+    return charts.delay_rate_by_state(_published_orders(spark, raw))
+
+
+@with_spark
+def orders_in_time_range(spark, raw):
+    docs = charts.in_time_range(_published_orders(spark, raw), "1996-01-01", "1998-12-31")
+    return docs.select(F.col("_id").cast("bigint").alias("order_id"), "order_purchase_timestamp", "order_status")
+
+
+@with_spark
+def index_pattern_read(spark, raw):
+    """Products published into two indices and sellers into a third; the first two read by their common name."""
+    folder = scratch_path(spark, "pattern")
+    products = documents.product_documents(staging.product_revenue(raw))
+    even = F.col("product_id") % 2 == 0
+    for name, kind, docs in (
+        ("shop_products_even", "products", products.where(even)),
+        ("shop_products_odd", "products", products.where(~even).drop("avg_price")),
+        ("shop_sellers", "sellers", documents.seller_documents(staging.seller_performance(raw))),
+    ):
+        upsert_documents(spark, docs, f"{folder}/{name}", DOCUMENT_SCHEMAS[kind], DOCUMENT_KEYS[kind])
+    found = read_pattern(spark, folder, "shop_products*", "_id")
+    found = found.where(~F.col("_index").endswith("_rejects"))
+    return found.select("_index", "_id", "category", "total_orders", "avg_price")
 
 
 # --- scans, load rules ------------------------------------------------------------
@@ -204,6 +239,65 @@ def csv_load_multiline_text(spark, raw):
     return loaded.select("review_id", "order_id", "review_score", "review_comment_title", "review_comment_message")
 
 
+@with_spark
+def csv_bom_and_ragged_rows(spark, raw):
+    """Customers in lines with a byte order mark, too few or too many fields, and empty lines between them."""
+    path = scratch_path(spark, "ragged-csv")
+    key, city, state = F.col("customer_id").cast("string"), F.col("customer_city"), F.lit("XX")
+    full = F.concat_ws(",", key, city, state)
+    line = (
+        F.when(F.col("customer_id") % 4 == 0, key)
+        .when(F.col("customer_id") % 4 == 1, F.concat(full, F.lit(",more,and more")))
+        .when(F.col("customer_id") % 4 == 2, F.concat(full, F.lit("\n")))
+        .otherwise(full)
+    )
+    write_lines(raw["customers"].select(line), "\ufeffcustomer_id,customer_city,customer_state", path)
+    return load_table(spark, RAW_TABLES["customers"], path).select("customer_id", "customer_city", "customer_state")
+
+
+@with_spark
+def csv_literal_quotes(spark, raw):
+    """Part names behind literal quotes, and quoted with line breaks and doubled quotes; no row is lost."""
+    path = scratch_path(spark, "quotes-csv")
+    key, name = F.col("product_id").cast("string"), F.col("product_name")
+    title = F.concat(name, F.lit(' 5" wide'))
+    message = F.concat(F.lit('"'), name, F.lit('\n\nsays ""hi, you""\n"'))
+    message = F.when(F.col("product_id") % 3 == 0, name).when(F.col("product_id") % 3 == 1, message).otherwise('7"')
+    line = F.concat_ws(",", key, key, (F.col("product_id") % 5).cast("string"), title, message)
+    header = "review_id,order_id,review_score,review_comment_title,review_comment_message"
+    write_lines(raw["products"].select(line), header, path)
+    loaded = load_table(spark, RAW_TABLES["order_reviews"], path)
+    return loaded.select("review_id", "review_score", "review_comment_title", "review_comment_message")
+
+
+@with_spark
+def load_geolocation(spark, raw):
+    """The table without a key: all rows are kept, copies too."""
+    path = scratch_path(spark, "geolocation-csv")
+    geolocation_rows(raw).write.options(**CSV_OUT).csv(path)
+    loaded = load_table(spark, RAW_TABLES["geolocation"], path)
+    return loaded.groupBy("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state").agg(
+        F.count("*").alias("rows"), F.sum("geolocation_lat").cast("double").alias("lat"), F.sum("load_copies").alias("read")
+    )
+
+
+@with_spark
+def load_misfits_fail(spark, raw):
+    """States longer than two characters, missing keys and words for numbers each fail the load of the table."""
+    states = raw["sellers"].selectExpr("cast(seller_id as string) seller_id", "seller_state")
+    keys = raw["sellers"].selectExpr("cast(null as string) seller_id", "'SP' seller_state")
+    numbers = raw["products"].selectExpr("cast(product_id as string) product_id", "product_name product_photos_qty")
+    outcomes = []
+    for name, table, rows in (("length", "sellers", states), ("key", "sellers", keys), ("number", "products", numbers)):
+        spec = RAW_TABLES[table]
+        try:
+            strict(by_name(rows, spec), spec).write.format("noop").mode("overwrite").save()
+            outcomes.append((name, False))
+        except Exception as error:
+            outcomes.append((name, table in str(error)))
+    return spark.createDataFrame(outcomes, "misfit string, failed boolean")
+
+
 @query
 def csv_empty_to_null(raw):
     """Empty text is NULL; a declared column that is not there is NULL too."""
@@ -388,6 +482,7 @@ def round_ratio(raw):
         "product_id",
         rounded_mean(F.col("total"), F.col("n"), 2, total_scale=2).alias("mean_price"),
         rounded_ratio(F.col("n") * 100, F.col("freight"), 1).alias("items_per_100_freight"),
+        rounded_ratio(F.col("n") * 1000, F.col("total"), 4, den_scale=2).alias("items_per_1000_spent"),
     )
 
 
@@ -449,21 +544,74 @@ def doc_sink_orders(spark, raw):
     for run in (scenarios.FirstRun(raw), scenarios.SecondRun(raw)):
         docs = documents.order_documents(staging.orders_enriched(run), iso_dates=False)
         upsert_documents(spark, docs, path, mapping, "order_id")
-    return VersionedTable(spark, path).read().drop("order_id")
+    return index_table(spark, path).read().drop("order_id")
+
+
+@with_spark
+def doc_sink_repeated_ids(spark, raw):
+    """All item rows as documents of their products: of one product the last row in item order wins."""
+    path = scratch_path(spark, "repeated-index")
+    items = raw["order_items"]
+    docs = items.select("product_id", F.col("order_id").alias("total_orders"), "order_item_id", *_rank(items))
+    order = ["total_orders", "order_item_id", "_rank"]
+    result = upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS["products"], "product_id", order=order)
+    assert result.errors == 0
+    return index_table(spark, path).read().select("_id", "total_orders", "_version")
+
+
+def _rank(items: DataFrame) -> list:
+    return [F.struct(*[F.col(c) for c in items.columns if c not in ("product_id",)]).alias("_rank")]
+
+
+@with_spark
+def doc_sink_keyless(spark, raw):
+    """Documents without ids, published twice: all are added each time."""
+    path = scratch_path(spark, "keyless-index")
+    docs = raw["products"].select(F.col("product_category_name").alias("category"))
+    for _ in range(2):
+        upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS["products"], "product_id")
+    found = index_table(spark, path).read()
+    return found.groupBy("category").agg(F.count("*").alias("documents"), F.count_distinct("_id").alias("ids"))
+
+
+@with_spark
+def index_create_if_absent(spark, raw):
+    """An index is created once: with documents in it, ensuring it again changes nothing."""
+    path, mapping = scratch_path(spark, "ensured-index"), DOCUMENT_SCHEMAS["sellers"]
+    ensure_index(spark, path, mapping)
+    empty = index_table(spark, path).read().agg(F.count("*").alias("before"))
+    docs = raw["sellers"].select("seller_id", "seller_city", "seller_state")
+    upsert_documents(spark, docs, path, mapping, "seller_id")
+    ensure_index(spark, path, mapping)
+    after = index_table(spark, path).read().groupBy("seller_state").agg(F.count("*").alias("after"))
+    return after.select("seller_state", "after", F.lit(empty.first()["before"]).alias("before"))
 
 
 @with_spark
 def stream_publish_orders(spark, raw):
     """The same as a stream: one staging version, a publication, another version, another one."""
     settings = Settings(csv_dir="", root=scratch_path(spark, "stream"))
-    table = VersionedTable(spark, settings.staging("orders_enriched"))
     for run in (scenarios.FirstRun(raw), scenarios.SecondRun(raw)):
-        version = table.next_version()
-        new = staging.orders_enriched(run).withColumn("row_version", F.lit(version).cast("bigint"))
-        updates = [*staging.ENRICHED_UPDATES, "row_version"]
-        table.write(upsert(table.read_or_none(), new, "order_id", updates), version)
+        _stage_orders(spark, settings, run)
         publish_orders_stream(spark, settings, f"{settings.root}/checkpoint").awaitTermination()
-    return VersionedTable(spark, settings.index("orders")).read().drop("order_id")
+    return index_table(spark, settings.index("orders")).read().drop("order_id")
+
+
+def _stage_orders(spark: SparkSession, settings: Settings, raw) -> None:
+    table = jobs.staging_table(spark, settings, jobs.ORDERS)
+    version = table.next_version()
+    new = staging.orders_enriched(raw).withColumn("row_version", F.lit(version).cast("bigint"))
+    table.merge(new, version, [*staging.ENRICHED_UPDATES, "row_version"])
+
+
+@with_spark
+def publish_gate(spark, raw):
+    """Two publications through the gate: the first publishes all orders, the second finds none waiting."""
+    settings = Settings(csv_dir="", root=scratch_path(spark, "gate"))
+    _stage_orders(spark, settings, raw)
+    outcomes = [jobs.publish_if_needed(spark, settings) for _ in range(2)]
+    rows = [(i + 1, o["status"], o["unsynced"], o["documents"]) for i, o in enumerate(outcomes)]
+    return spark.createDataFrame(rows, "attempt int, status string, unsynced bigint, documents bigint")
 
 
 @query
@@ -483,9 +631,8 @@ def index_count_orders(spark, raw):
     path = scratch_path(spark, "count-index")
     docs = documents.order_documents(_enriched(raw), iso_dates=False)
     upsert_documents(spark, docs, path, DOCUMENT_SCHEMAS["orders"], "order_id")
-    count = F.lit(index_count(spark, path)).cast("bigint").alias("documents")
     missing = F.lit(index_count(spark, f"{path}-none")).cast("bigint").alias("documents_of_missing_index")
-    return spark.range(1).select(count, missing)
+    return index_table(spark, path).read().agg(F.count("*").alias("documents")).select("documents", missing)
 
 
 def _versioned(raw: StarViews) -> DataFrame:
@@ -537,12 +684,45 @@ def recent_runs(raw):
 
 @query
 def recent_failed_runs(raw):
-    return runs.recent_failed_runs(runs.run_state(raw["run_events"]))
+    """Failed runs among the last five of two kinds; failed ones before them do not count."""
+    return runs.recent_failed_runs(scenarios.troubled_runs(raw))
 
 
 @query
 def health_checks(raw):
-    docs = _order_docs(raw, "order_id")
-    return runs.health_checks(raw["orders"], docs, runs.run_state(raw["run_events"]))
+    docs = documents.order_documents(_enriched(raw), iso_dates=False)
+    return runs.health_checks(raw["orders"], docs, scenarios.troubled_runs(raw))
+
+
+@with_spark
+def ledger_runs(spark, raw):
+    """Three tracked runs, one of which fails after counting its rows; the clock is given."""
+    ticks = iter(range(10))
+    settings = Settings(
+        csv_dir="", root=scratch_path(spark, "ledger"), clock=lambda: datetime(2024, 1, 1) + timedelta(minutes=next(ticks))
+    )
+    for kind, table in (("load", "customers"), ("transform", "sellers"), ("sync", "products")):
+        try:
+            with ledger.tracked_run(spark, settings, kind, "nightly") as run:
+                run.rows = raw[table].count()
+                if kind == "transform":
+                    raise ValueError("lost")
+        except ValueError:
+            pass
+    return ledger.runs(spark, settings)
+
+
+@with_spark
+def upsert_row_counts(spark, raw):
+    """Rows written by two transforms of product revenue, and the stamps of the rows as they are then."""
+    settings = Settings(csv_dir="", root=scratch_path(spark, "counts"), clock=lambda: datetime(2024, 2, 3))
+    written = [
+        jobs._upsert_staging(spark, settings, "product_revenue", staging.product_revenue(run))
+        for run in (scenarios.FirstRun(raw), scenarios.SecondRun(raw))
+    ]
+    rows = jobs.staging_table(spark, settings, "product_revenue").read()
+    return rows.groupBy("row_version", F.col("updated_at").cast("timestamp_ntz").alias("updated_at")).agg(
+        F.count("*").alias("rows")
+    ).withColumn("written", F.when(F.col("row_version") == 1, written[0]).otherwise(written[1]).cast("bigint"))
 
 

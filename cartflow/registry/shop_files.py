@@ -26,8 +26,29 @@ def short_state(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.replace(F.col(column), F.lit("NATION_"), F.lit("")))
 
 
+def geolocation_rows(raw: StarViews) -> DataFrame:
+    """A place for every customer, with many copies, as there is no key."""
+    customers = short_state(raw["customers"], "customer_state")
+    place = F.col("customer_id") % 10
+    return customers.select(
+        place.cast("string").alias("geolocation_zip_code_prefix"),
+        (place.cast("decimal(10,6)") / 8).cast("decimal(10,6)").alias("geolocation_lat"),
+        (-place).cast("decimal(10,6)").alias("geolocation_lng"),
+        F.col("customer_city").alias("geolocation_city"),
+        F.col("customer_state").alias("geolocation_state"),
+    )
+
+
+def write_lines(lines: DataFrame, header: str, path: str, parts: int = 4) -> None:
+    """The one column of ``lines`` as it is, below ``header`` in each of ``parts`` text files."""
+    rows = lines.toDF("value").select("value", F.pmod(F.xxhash64("value"), F.lit(parts)).alias("part"), F.lit(1).alias("rank"))
+    heads = lines.sparkSession.range(parts).select(F.lit(header).alias("value"), F.col("id").alias("part"), F.lit(0).alias("rank"))
+    ordered = rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "rank")
+    ordered.select("value", "part").write.partitionBy("part").text(path)
+
+
 def write_shop_files(spark: SparkSession, raw: StarViews, folder: str) -> None:
-    """One folder of CSV part files per raw table; there is no geolocation."""
+    """One folder of CSV part files per raw table."""
     tables = {
         "shop_customers_dataset.csv": short_state(raw["customers"], "customer_state"),
         "shop_sellers_dataset.csv": short_state(raw["sellers"], "seller_state"),
@@ -37,6 +58,7 @@ def write_shop_files(spark: SparkSession, raw: StarViews, folder: str) -> None:
         "shop_order_items_dataset.csv": item_rows(raw),
         "shop_order_payments_dataset.csv": raw["order_payments"],
         "shop_order_reviews_dataset.csv": raw["order_reviews"],
+        "shop_geolocation_dataset.csv": geolocation_rows(raw),
     }
     for name, rows in tables.items():
         moments = [c for c, kind in rows.dtypes if kind == "timestamp_ntz"]
