@@ -24,6 +24,22 @@ ACTIONS = {
     "stream_publish_orders",
     "index_count_orders",
     "full_chain",
+    "chart_monthly_orders",
+    "chart_revenue_by_category",
+    "chart_delivery_days_by_state",
+    "chart_delay_rate_by_state",
+    "orders_in_time_range",
+    "index_pattern_read",
+    "csv_bom_and_ragged_rows",
+    "csv_literal_quotes",
+    "load_geolocation",
+    "load_misfits_fail",
+    "doc_sink_repeated_ids",
+    "doc_sink_keyless",
+    "index_create_if_absent",
+    "publish_gate",
+    "ledger_runs",
+    "upsert_row_counts",
 }
 
 
