@@ -181,6 +181,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(kept, F.col("doc_id").alias("id"), fingerprint(F.col("text")).alias("print"))
     on = rows["id"].eqNullSafe(stay["doc_id"]) & (rows["print"] == stay["fp"])
     rows = rows.join(stay, on).select("kept", "id", "print", "copies")
+    if stay.filter("copies > 1").isEmpty():
+        return rows.select("kept.*")
     single = rows.filter("copies = 1").select("kept.*")
     many = rows.filter("copies > 1").groupBy("id", "print").agg(F.first("kept").alias("kept")).select("kept.*")
     return single.unionByName(many)
