@@ -199,17 +199,12 @@ def seller_performance(raw: Raw) -> DataFrame:
 
     An order with several reviews counts each of its items once per review, in
     revenue, mean score and on-time deliveries alike, while the rate divides by
-    distinct orders. The pairs are counted by multiplying, never built: orders of
-    a seller with the same reviews are summed first, so the wide products are taken
-    once per such group.
+    distinct orders. The pairs are counted by multiplying, never built, and go straight
+    to the seller's totals, map side first.
     """
-    alike = seller_order_facts(raw).groupBy("seller_id", "on_time", "reviews", "scored", "score_sum")
-    profiles = alike.agg(
-        F.count("*").alias("orders"), F.sum("items").alias("items"), F.sum("revenue").alias("revenue")
-    )
     pairs = F.coalesce(_wide("reviews"), _wide(F.lit(1)))
-    totals = profiles.groupBy("seller_id").agg(
-        F.sum("orders").alias("total_orders"),
+    totals = seller_order_facts(raw).groupBy("seller_id").agg(
+        F.count("*").alias("total_orders"),
         F.sum(F.col("revenue") * pairs).cast("decimal(38,2)").alias("total_revenue"),
         F.sum(_wide("score_sum") * _wide("items")).alias("_score"),
         F.sum(_wide("scored") * _wide("items")).alias("_scored"),

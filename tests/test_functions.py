@@ -42,6 +42,15 @@ def test_rounded_ratio(spark, num, den, digits, expected):
     assert found == (None if expected is None else Decimal(expected))
 
 
+def test_ratio_of_cents(spark):
+    cents = F.lit(Decimal("10.50"))
+    assert one(spark, rounded_ratio(F.lit(100), cents, 1, den_scale=2)) == Decimal("9.5")
+    with pytest.raises(Exception, match="denominator is not a whole number: 10.50"):
+        one(spark, rounded_ratio(F.lit(100), cents, 1))
+    with pytest.raises(Exception, match="numerator is not a whole number"):
+        one(spark, rounded_ratio(cents, F.lit(3), 1))
+
+
 def test_mean_does_not_round_twice(spark):
     # 0.01 * 149999 / 300000 = 0.0049999.., which a mean cut to 6 digits would lift to 0.005.
     total, count = F.lit(Decimal("1499.99")).cast("decimal(20,2)"), F.lit(300000)
