@@ -3,13 +3,14 @@
 1. *Sketch.* Every task counts hashed windows of its texts (once for each document) in the cells of
    a count-min sketch and sends only the touched cells, as gaps. The parts are merged by cell range.
    Counts are only ever too high, so every window of two documents has an estimate of two or more.
-2. *Exact groups.* Windows estimated repeated are grouped by a 128-bit hash of their word sequence. A
+2. *Exact groups.* Windows estimated repeated are grouped by a 96-bit hash of their word sequence. A
    chunk of texts groups its own windows first and sends each of them once, with the smallest id;
-   so a window in a third of all documents costs one row for each chunk, not for each document.
+   so a window in a third of all documents costs one row for each chunk, not for each document. Windows are dealt out
+   by the smallest hash of their 4-word parts: equal windows meet, and neighbours mostly travel together in one row.
 3. *Removal.* Places to remove are gathered by document and cut out of the whole text.
 
 The merged sketch is broadcast. Its cells grow with the text up to ``MAX_CELLS`` a row (a bit each, so
-64 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
+32 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
 
 Windows are judged on the input. NULL and blank texts have no words; texts of fewer words than a
 window keep them all. Documents with equal ids are not smaller than each other; a NULL id is greater
@@ -18,7 +19,7 @@ than every other id. Repeated rows are each judged and returned.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,15 @@ from pyspark.sql.window import Window
 from cartflow.llm.common import materialize, table
 
 WINDOW = 13
+#: Words of the parts whose smallest hash deals out a window.
+DEAL = 4
 ROWS = 2
 MAX_CELLS = 1 << 28
 #: Cells of one part of the sketch: the unit that is sent and merged.
 PART = 1 << 20
-#: Windows held by a task before it counts or groups them.
+#: Windows held by a task before it counts them, and windows estimated repeated before it groups them.
 CHUNK = 1 << 21
+CANDIDATE_CHUNK = 1 << 20
 #: Words hashed at once.
 SLICE_WORDS = 1 << 19
 LAST_ID = (1 << 63) - 1
@@ -56,8 +60,11 @@ def _mixed(values):
     return values
 
 
-def window_hashes(texts: list[bytes | None], window: int, sets: int) -> Iterator[tuple]:
-    """For slices of ``texts``: text number and first word of each window, then ``sets`` hashes of its words."""
+def window_hashes(texts: Iterable[bytes | None], window: int, sets: int, deal: bool = False) -> Iterator[tuple]:
+    """For slices of ``texts``: text number and first word of each window, then ``sets`` hashes of its words.
+
+    With ``deal``, last the smallest hash of its parts.
+    """
     import numpy as np
     import xxhash
 
@@ -76,6 +83,16 @@ def window_hashes(texts: list[bytes | None], window: int, sets: int) -> Iterator
             for j, factor in enumerate(_multipliers(window, salt)):
                 total += h[j : j + n] * factor
             found.append(_mixed(total[whole]))
+        if deal:
+            size = min(DEAL, window)
+            parts = np.zeros(max(0, len(words) - size + 1), np.uint64)
+            for j, factor in enumerate(_multipliers(size, 3)):
+                parts += h[j : j + len(parts)] * factor
+            _mixed(parts)
+            least = parts[:n].copy()
+            for j in range(1, window - size + 1):
+                np.minimum(least, parts[j : j + n], out=least)
+            found.append(least[whole])
         return (numbers + first_text, (place - starts[numbers]).astype(np.int32), *found)
 
     words: list[bytes] = []
@@ -118,11 +135,16 @@ def decode_gaps(data: bytes):
     return np.cumsum(gaps, dtype=np.int64)[gaps != 255]
 
 
-def _texts(batches, *columns: str) -> Iterator[list[list]]:
+def _lists(batches, *columns: str) -> Iterator[list[list]]:
     for batch in batches:
         yield [batch.column(c).to_pylist() for c in columns]
 
 
+def _texts(batch) -> Iterator[bytes | None]:
+    """Texts one by one, so that a batch is not held twice."""
+    return (text.as_py() for text in batch.column("text"))
+
+
 def _sketch_parts(cells: int, window: int):
     def parts(batches):
         import numpy as np
@@ -149,14 +171,14 @@ def _sketch_parts(cells: int, window: int):
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["part", "gaps"])
 
         held, size, seen = [], 0, 0
-        for (texts,) in _texts(batches, "text"):
-            for number, _, value in window_hashes(texts, window, 1):
+        for batch in batches:
+            for number, _, value in window_hashes(_texts(batch), window, 1):
                 held.append((number + seen, value))
                 size += len(value)
                 if size >= CHUNK:
                     yield counted(held)
                     held, size = [], 0
-            seen += len(texts)
+            seen += batch.num_rows
         if size:
             yield counted(held)
 
@@ -173,7 +195,7 @@ def _merge_parts(batches):
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([bits], pa.binary())], ["part", "bits"])
 
     current, once, twice = None, np.zeros(PART, bool), np.zeros(PART, bool)
-    for parts, gaps in _texts(batches, "part", "gaps"):
+    for parts, gaps in _lists(batches, "part", "gaps"):
         for part, data in zip(parts, gaps, strict=True):
             if part != current:
                 if current is not None:
@@ -190,8 +212,8 @@ def _merge_parts(batches):
 
 
 def sketch_size(text_bytes: int, max_cells: int = MAX_CELLS) -> int:
-    """Cells of a row: the power of two above a quarter of the text's bytes, that is about two for each word."""
-    return min(max_cells, max(PART, 1 << (text_bytes // 4).bit_length()))
+    """Cells of a row: the power of two above half of the text's bytes, that is about four for each word."""
+    return min(max_cells, max(PART, 1 << (text_bytes // 2).bit_length()))
 
 
 def repeated_cells(spark: SparkSession, docs: DataFrame, cells: int, window: int):
@@ -207,14 +229,16 @@ def repeated_cells(spark: SparkSession, docs: DataFrame, cells: int, window: int
     return bits
 
 
-_CANDIDATES = "high bigint, low bigint, own boolean, id bigint, tag bigint, place int, places binary"
+_CANDIDATES = (
+    "deal bigint, own boolean, id bigint, tag int, place int, highs array<bigint>, lows array<int>, places binary"
+)
 
 
 def _candidates(bits, cells: int, window: int):
-    """Windows estimated repeated: one row for each window of a chunk, with its smallest id.
+    """Windows estimated repeated, each of a chunk once, with the smallest id it has there.
 
-    Rows of that id in the chunk are sent place by place; places in documents with greater ids are removed for
-    certain and are sent as one ``own`` row for each document, keyed by its tag and id.
+    A row holds neighbouring windows of a document that are dealt out alike, from ``place`` on. Places in documents
+    with greater ids are removed for certain and are sent as one ``own`` row for each document.
     """
 
     def candidates(batches):
@@ -231,23 +255,33 @@ def _candidates(bits, cells: int, window: int):
             return found
 
         def grouped(held: list[tuple]):
-            high, low, ids, tags, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            high, low, deal, ids, tags, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
             order = np.lexsort((place, tags, ids, low, high))
-            high, low, ids, tags, place = (x[order] for x in (high, low, ids, tags, place))
+            high, low, deal, ids, tags, place = (x[order] for x in (high, low, deal, ids, tags, place))
             starts = np.ones(len(high), bool)
             starts[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
             group = np.cumsum(starts) - 1
             later = ids > ids[starts][group]
-            out = [
-                high[~later].view(np.int64),
-                low[~later].view(np.int64),
-                np.zeros((~later).sum(), bool),
-                ids[~later],
-                tags[~later],
-                place[~later],
+            first = np.flatnonzero(~later)
+            first = first[np.lexsort((place[first], tags[first], ids[first]))]
+            run = np.ones(len(first), bool)
+            run[1:] = np.diff(place[first]) != 1
+            for x in (ids, tags, deal):
+                run[1:] |= x[first][1:] != x[first][:-1]
+            heads = np.flatnonzero(run)
+            ends = pa.array(np.append(heads, len(first)).astype(np.int32))
+            columns = [
+                pa.array(deal[first][heads].view(np.int64)),
+                pa.array(np.zeros(len(heads), bool)),
+                pa.array(ids[first][heads]),
+                pa.array(tags[first][heads]),
+                pa.array(place[first][heads]),
+                pa.ListArray.from_arrays(ends, pa.array(high[first].view(np.int64))),
+                pa.ListArray.from_arrays(ends, pa.array(low[first].view(np.int32))),
+                pa.nulls(len(heads), pa.binary()),
             ]
-            batch = [pa.array(x) for x in out] + [pa.nulls(len(out[0]), pa.binary())]
-            yield pa.RecordBatch.from_arrays(batch, _names())
+            yield pa.RecordBatch.from_arrays(columns, names)
             ids, tags, place = ids[later], tags[later], place[later]
             if len(ids):
                 order = np.lexsort((place, tags, ids))
@@ -256,31 +290,30 @@ def _candidates(bits, cells: int, window: int):
                 firsts = np.concatenate(([0], cuts))
                 data = [x.astype("<i4").tobytes() for x in np.split(place, cuts)]
                 n = len(firsts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(tags[firsts]),
-                        pa.array(ids[firsts]),
-                        pa.array(np.ones(n, bool)),
-                        pa.array(ids[firsts]),
-                        pa.array(tags[firsts]),
-                        pa.nulls(n, pa.int32()),
-                        pa.array(data, pa.binary()),
-                    ],
-                    _names(),
-                )
-
-        def _names():
-            return ["high", "low", "own", "id", "tag", "place", "places"]
-
+                one = pa.array(np.arange(n + 1, dtype=np.int32))  # lists of one element: the row itself
+                columns = [
+                    pa.array(ids[firsts]),
+                    pa.array(np.ones(n, bool)),
+                    pa.array(ids[firsts]),
+                    pa.array(tags[firsts]),
+                    pa.nulls(n, pa.int32()),
+                    pa.ListArray.from_arrays(one, pa.array(ids[firsts])),
+                    pa.ListArray.from_arrays(one, pa.array(tags[firsts])),
+                    pa.array(data, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+        names = ["deal", "own", "id", "tag", "place", "highs", "lows", "places"]
         held, size = [], 0
-        for ids, tags, texts in _texts(batches, "id", "tag", "text"):
-            ids, tags = np.array(ids, np.int64), np.array(tags, np.int64)
-            for number, place, high, low in window_hashes(texts, window, 2):
+        for batch in batches:
+            ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
+            for number, place, high, low, deal in window_hashes(_texts(batch), window, 2, deal=True):
                 keep = repeated(high)
                 number = number[keep]
-                held.append((high[keep], low[keep], ids[number], tags[number], place[keep]))
+                low = (low[keep] >> np.uint64(32)).astype(np.uint32)
+                held.append((high[keep], low, deal[keep], ids[number], tags[number], place[keep]))
                 size += len(number)
-                if size >= CHUNK:
+                if size >= CANDIDATE_CHUNK:
                     yield from grouped(held)
                     held, size = [], 0
         if size:
@@ -294,10 +327,12 @@ def _cut(window: int):
     def of_batch(texts, ones, manys):
         import numpy as np
         import pyarrow as pa
+        import zstandard
 
+        unpack = zstandard.ZstdDecompressor().decompress
         counts, removed, kept = [], [], []
         for text, single, many in zip(texts.to_pylist(), ones.to_pylist(), manys.to_pylist(), strict=True):
-            words = (text or b"").split()
+            words = unpack(text, max_output_size=1 << 31).split() if text else []
             starts = np.concatenate([np.array(single or [], np.int64), *(np.frombuffer(b, "<i4") for b in many or ())])
             edge = np.zeros(len(words) + 1, np.int64)
             np.add.at(edge, starts.astype(np.int64), 1)
@@ -316,6 +351,20 @@ def _cut(window: int):
     return of_batch
 
 
+def _packed():
+    """Compresses texts, which halves the bytes of their shuffle."""
+
+    @F.arrow_udf("binary")
+    def of_batch(texts):
+        import pyarrow as pa
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        return pa.array([pack(t) if (t := text.as_py()) else None for text in texts], pa.binary())
+
+    return of_batch
+
+
 def without_repeats(
     spark: SparkSession,
     docs: DataFrame,
@@ -330,21 +379,28 @@ def without_repeats(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("id"),
         # Rows of one id may have different texts.
-        F.xxhash64(text).alias("tag"),
+        F.hash(text).alias("tag"),
         text.alias("text"),
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = sketch_size(size, max_cells)
     bits = spark.sparkContext.broadcast(repeated_cells(spark, rows, cells, window))
     windows = rows.select("id", "tag", "text").mapInArrow(_candidates(bits, cells, window), _CANDIDATES)
-    first = F.min("id").over(Window.partitionBy("high", "low", "own"))
+    # Equal windows are dealt out alike, so one shuffle by ``deal`` serves the grouping by whole hashes. A group has
+    # a row for each chunk at most.
+    single = windows.repartition("deal").select(
+        "deal", "own", "id", "tag", "place", "places", F.posexplode(F.arrays_zip("highs", "lows")).alias("at", "hash")
+    )
+    first = F.min("id").over(Window.partitionBy("deal", "own", "hash.highs", "hash.lows"))
     places = (
-        windows.withColumn("first", first)
+        single.withColumn("first", first)
         .filter("own OR id > first")
+        .withColumn("place", F.col("place") + F.col("at"))
         .groupBy("id", "tag")
         .agg(F.collect_list("place").alias("place"), F.collect_list("places").alias("places"))
     )
-    found = rows.join(places, ["id", "tag"], "left").select("doc_id", _cut(window)("text", "place", "places").alias("f"))
+    texts = rows.select("doc_id", "id", "tag", _packed()("text").alias("text"))
+    found = texts.join(places, ["id", "tag"], "left").select("doc_id", _cut(window)("text", "place", "places").alias("f"))
     return found.select("doc_id", "f.n_words", "f.n_removed", "f.kept_text")
 
 

@@ -68,7 +68,7 @@ def test_small_sketch_loses_nothing(spark, odd_dir, monkeypatch):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     key = ["doc_id", "n_words", "n_removed", "kept_text"]
     whole = sorted(map(tuple, repeats.without_repeats(spark, docs).select(key).collect()), key=repr)
-    for name, value in (("CHUNK", 40), ("SLICE_WORDS", 30), ("PART", 1 << 8)):
+    for name, value in (("CHUNK", 40), ("CANDIDATE_CHUNK", 30), ("SLICE_WORDS", 30), ("PART", 1 << 8)):
         monkeypatch.setattr(repeats, name, value)
     small = repeats.without_repeats(spark, docs.repartition(3), max_cells=1 << 8).select(key).collect()
     assert sorted(map(tuple, small), key=repr) == whole
