@@ -351,7 +351,8 @@ def write_archive(
     )
     placed = records.unionByName(roles).withColumn("shard", _shard_of(F.col("page_id"), starts))
     parts = (
-        placed.repartition(max(1, len(starts)), "shard")
+        # More partitions than shards, so that few shards share a task.
+        placed.repartition(max(1, 4 * len(starts)), "shard")
         .sortWithinPartitions("shard", "page_id", "key", F.col("payload").isNotNull())
         .mapInArrow(_writer(root, roll_bytes, level), FILES)
     )
