@@ -17,7 +17,7 @@ WHOLE = "decimal(38,0)"
 def _whole(value: Column, name: str) -> Column:
     """The value as a whole number; a fraction fails instead of being rounded."""
     whole = value.cast(WHOLE)
-    return F.when(value.isNull() | (whole == value), whole).otherwise(
+    return F.when(value.isNull() | (value % 1 == 0), whole).otherwise(
         F.raise_error(F.concat(F.lit(f"{name} is not a whole number: "), value.cast("string"))).cast(WHOLE)
     )
 
