@@ -5,7 +5,7 @@ table (each byte is a printable character), pieces are mapped to characters by t
 step, offsets come back in characters of the piece, and decoding reverses the table.
 
 Texts are encoded whole: every match of the split pattern on its own, without special tokens. Equal
-pieces of a batch are encoded once. NULL and empty texts have no tokens. Rows are encoded one by one, and
+pieces are encoded once by a task. NULL and empty texts have no tokens. Rows are encoded one by one, and
 other columns are carried along whatever their names.
 """
 
@@ -18,8 +18,8 @@ from cartflow.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Distinct pieces remembered by a task; a full memory is emptied.
-MEMORY = 300_000
-ENCODED = "struct<ids:array<int>,starts:array<int>,ends:array<int>>"
+MEMORY = 150_000
+ENCODED = "struct<ids:array<int>,starts:array<int>,ends:array<int>,n_split:bigint,decoded:binary>"
 
 
 def byte_table() -> list[str]:
@@ -74,94 +74,150 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+class Pieces(dict):
+    """Token ids of pieces, as bytes of 32-bit numbers; a piece is encoded when it is met first."""
+
+    def __init__(self, tokenizer) -> None:
+        super().__init__()
+        self.encode = tokenizer.encode
+
+    def __missing__(self, piece: str) -> bytes:
+        from array import array
+
+        found = self[piece] = array("i", self.encode(piece, add_special_tokens=False).ids).tobytes()
+        return found
+
+
 class PieceEncoder:
-    """Token ids and character offsets of texts, remembering pieces."""
+    """Token ids and character offsets of texts."""
 
     def __init__(self, tokenizer: str, pattern: str, memory: int = MEMORY) -> None:
         import os
 
+        import numpy as np
         import regex
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
-        self.split = regex.compile(pattern)
-        self.tokenizer = Tokenizer.from_str(tokenizer)
+        made = Tokenizer.from_str(tokenizer)
+        # A token has a character for each of its bytes.
+        names = made.get_vocab()
+        self.lengths = np.zeros(max(names.values(), default=0) + 1, np.int64)
+        self.lengths[list(names.values())] = [len(name) for name in names]
+        self.split = regex.compile(pattern).findall
+        self.pieces = Pieces(made)
         self.memory = memory
-        self.ids: dict[str, tuple[int, ...]] = {}
-        self.offsets: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.ids]
-        if len(self.ids) + len(new) > self.memory:
-            self.ids, self.offsets, new = {}, {}, list(pieces)
-        for at in range(0, len(new), 1 << 14):
-            part = new[at : at + (1 << 14)]
-            for piece, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.ids[piece] = tuple(found.ids)
-                self.offsets[piece] = tuple(x for pair in found.offsets for x in pair)
-
-    def encode(self, text: str) -> tuple:
-        """Arrays of ids, starts and ends; tokens of one split character all cover that character."""
-        from itertools import chain
 
+    def encode(self, text: str):
+        """Array of token ids."""
+        import numpy as np
+
+        if len(self.pieces) > self.memory:
+            self.pieces.clear()
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
+
+    def offsets(self, text: str, ids):
+        """Code points where tokens start and end; tokens that share a split character all cover it."""
         import numpy as np
 
-        pieces = self.split.findall(text)
-        self.learn(set(pieces))
-        ids = list(map(self.ids.__getitem__, pieces))
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        n = int(counts.sum())
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        base = np.repeat(np.cumsum(sizes) - sizes, counts)
-        pairs = np.fromiter(chain.from_iterable(map(self.offsets.__getitem__, pieces)), np.int64, 2 * n).reshape(-1, 2)
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, n)
-        return flat, (pairs[:, 0] + base).astype(np.int32), (pairs[:, 1] + base).astype(np.int32)
+        data = np.frombuffer(text.encode(), np.uint8)
+        character = np.cumsum((data & 0xC0) != 0x80) - 1  # of each byte
+        ends = np.cumsum(self.lengths[ids])
+        starts = character[ends - self.lengths[ids]]
+        return starts.astype(np.int32), (character[ends - 1] + 1).astype(np.int32)
 
 
-def encoded(spark: SparkSession, text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
-    """Struct of token ``ids`` and the code points ``starts`` to ``ends`` they cover.
+class TokenBytes:
+    """The bytes of tokens, from their characters; parts of a split character meet again in the joined bytes."""
+
+    def __init__(self, names: list[str]) -> None:
+        import numpy as np
 
-    The tokenizer is broadcast; its size is that of the vocabulary, whatever the input.
+        back = {c: b for b, c in enumerate(byte_table())}
+        # All tokens' bytes one after the other, and where each token starts.
+        self.data = np.array([back[c] for name in names for c in name], np.uint8)
+        self.lengths = np.array([len(name) for name in names], np.int64)
+        self.firsts = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, ids) -> bytes:
+        import numpy as np
+
+        if not len(ids):
+            return b""
+        sizes = self.lengths[ids]
+        ends = np.cumsum(sizes)
+        return self.data[np.repeat(self.firsts[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+
+
+def _names(ranks: dict[bytes, int]) -> list[str]:
+    letters = byte_table()
+    names = [""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        names[rank] = "".join(letters[b] for b in token)
+    return names
+
+
+def encoded(
+    spark: SparkSession,
+    text: Column,
+    ranks: dict[bytes, int],
+    pattern: str,
+    offsets: bool = True,
+    decode: bool = False,
+) -> Column:
+    """Struct of token ``ids``, the code points ``starts`` to ``ends`` they cover, ``n_split`` and ``decoded``.
+
+    ``n_split`` counts the tokens that end inside a character. Without ``offsets`` the two lists are NULL. With
+    ``decode`` the ids are decoded again at once, in the same worker. The tokenizer is broadcast; its size is that
+    of the vocabulary, whatever the input.
     """
-    made = spark.sparkContext.broadcast((tokenizer_from_ranks(ranks), pattern))
+    made = spark.sparkContext.broadcast((tokenizer_from_ranks(ranks), pattern, _names(ranks)))
 
     @F.arrow_udf(ENCODED, F.ArrowUDFType.SCALAR_ITER)
     def of_batches(batches):
         import numpy as np
         import pyarrow as pa
 
-        encoder = PieceEncoder(*made.value)
-        nothing = (np.zeros(0, np.int32),) * 3
+        tokenizer, pattern, names = made.value
+        encoder, tokens = PieceEncoder(tokenizer, pattern), TokenBytes(names)
+        nothing = np.zeros(0, np.int32)
+
+        def lists(arrays):
+            ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([nothing, *arrays])))
+
         for texts in batches:
-            found = [encoder.encode(text) if text else nothing for text in texts.to_pylist()]
-            ends = np.cumsum([0, *(len(f[0]) for f in found)], dtype=np.int32)
-            lists = [
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([nothing[0], *(f[i] for f in found)])))
-                for i in range(3)
-            ]
-            yield pa.StructArray.from_arrays(lists, ["ids", "starts", "ends"])
+            ids, starts, ends, split, back = [], [], [], [], []
+            for text in texts:
+                text = text.as_py() or ""
+                own = encoder.encode(text)
+                a, b = encoder.offsets(text, own) if len(own) else (nothing, nothing)
+                ids.append(own)
+                split.append(int((a[1:] < b[:-1]).sum()))
+                back.append(tokens.joined(own) if decode else None)
+                if offsets:
+                    starts.append(a)
+                    ends.append(b)
+            places = [lists(starts), lists(ends)] if offsets else [pa.nulls(len(ids), pa.list_(pa.int32()))] * 2
+            columns = [lists(ids), *places, pa.array(split, pa.int64()), pa.array(back, pa.binary())]
+            yield pa.StructArray.from_arrays(columns, ["ids", "starts", "ends", "n_split", "decoded"])
 
     return of_batches(text)
 
 
 def decoded(spark: SparkSession, ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of a list of token ids; parts of a split character meet again before bytes are read as text."""
-    letters = byte_table()
-    tokens = [""] * (max(ranks.values(), default=-1) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = "".join(letters[b] for b in token)
-    known = spark.sparkContext.broadcast(tokens)
+    """The bytes of a list of token ids; NULL has none."""
+    known = spark.sparkContext.broadcast(_names(ranks))
 
     @F.arrow_udf("binary", F.ArrowUDFType.SCALAR_ITER)
     def of_batches(batches):
         import pyarrow as pa
 
-        back = {c: b for b, c in enumerate(byte_table())}
-        data = [bytes(map(back.__getitem__, token)) for token in known.value]
+        tokens = TokenBytes(known.value)
         for lists in batches:
-            # Row by row: a NULL list has no tokens.
-            yield pa.array([b"".join(map(data.__getitem__, x)) for x in (row.as_py() or () for row in lists)], pa.binary())
+            values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            yield pa.array([tokens.joined(values[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary())
 
     return of_batches(ids)
 
@@ -173,26 +229,26 @@ def tokenized(
     text: str = "text",
     ranks: dict[bytes, int] | None = None,
     pattern: str | None = None,
+    offsets: bool = True,
 ) -> DataFrame:
-    """Columns ``keep`` with ``ids``, ``starts``, ``ends`` and ``decoded`` (bytes) of every row."""
+    """Columns ``keep`` with ``ids``, ``starts``, ``ends``, ``n_split`` and ``decoded`` (bytes) of every row."""
     ranks = default_ranks() if ranks is None else ranks
     pattern = default_pattern() if pattern is None else pattern
-    rows = docs.select(*keep, encoded(spark, F.col(text), ranks, pattern).alias("tokens")).select(*keep, "tokens.*")
-    return rows.select("*", decoded(spark, F.col("ids"), ranks).alias("decoded"))
+    tokens = encoded(spark, F.col(text), ranks, pattern, offsets, decode=True)
+    return docs.select(*keep, tokens.alias("tokens")).select(*keep, "tokens.*")
 
 
 def digests(rows: DataFrame, *keep: str) -> DataFrame:
-    """Token count and digests of tokenized rows; ``n_split`` counts tokens that end inside a character."""
-    shared = F.filter(F.arrays_zip("starts", "ends"), lambda x, i: F.get("starts", i + 1) < x["ends"])
+    """Token count and digests of tokenized rows."""
     return rows.select(
         *keep,
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-        F.size(shared).cast("bigint").alias("n_split"),
+        "n_split",
     )
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes decoded from them."""
-    return digests(tokenized(spark, table(spark, sf_dir, "documents"), "doc_id"), "doc_id")
+    return digests(tokenized(spark, table(spark, sf_dir, "documents"), "doc_id", offsets=False), "doc_id")

@@ -42,7 +42,7 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests that show their exact decoding."""
-    rows = byte_bpe.tokenized(spark, docs, "doc_id")
+    rows = byte_bpe.tokenized(spark, docs, "doc_id", offsets=False)
     return byte_bpe.digests(rows, "doc_id", "ids")
 
 

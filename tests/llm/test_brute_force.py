@@ -58,7 +58,9 @@ def test_bpe_offsets_cover_the_text(encoding):
     ranks = byte_bpe.default_ranks()
     encoder = byte_bpe.PieceEncoder(byte_bpe.tokenizer_from_ranks(ranks), byte_bpe.default_pattern(), memory=3)
     text = "Zoë's 𝔘nicode — <|endoftext|>\n\n  naïve\tŒuvre 12345 \U0001f600!"
-    ids, starts, ends = encoder.encode(text)
+    encoder.encode(text[::-1])  # fills and empties the memory
+    ids = encoder.encode(text)
+    starts, ends = encoder.offsets(text, ids)
     assert list(ids) == encoding.encode_ordinary(text)
     assert starts[0] == 0 and ends[-1] == len(text)
     tokens = {rank: token for token, rank in ranks.items()}
