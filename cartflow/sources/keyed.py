@@ -20,6 +20,7 @@ from cartflow.operators.upsert import upsert
 from cartflow.sources.versioned import VersionedTable, child_names, delete_path
 
 BUCKETS = 16
+MANIFEST = "bucket int, version bigint, buckets int, schema string"
 BUCKET = "_bucket"
 #: Committed versions that stay readable.
 KEEP = 3
@@ -80,7 +81,7 @@ class KeyedTable:
     def _commit(self, version: int, places: dict[int, int], buckets: int, schema: T.StructType) -> None:
         # Bucket -1 holds no rows; it keeps the schema of a table without any.
         rows = [(b, v, buckets, schema.json()) for b, v in {-1: version, **places}.items()]
-        manifest = self.spark.createDataFrame(rows, "bucket int, version bigint, buckets int, schema string")
+        manifest = self.spark.createDataFrame(rows, MANIFEST)
         self.manifest.write(manifest.coalesce(1), version)
         self.expire()
 
@@ -117,7 +118,8 @@ class KeyedTable:
         """Drop old manifests and the folders of buckets that the kept versions do not use."""
         self.manifest.expire(self.keep)
         kept = self.manifest.committed()
-        used = {(p["version"], p["bucket"]) for v in kept for p in self.places(v)}
+        manifests = self.spark.read.schema(MANIFEST).parquet(*[self.manifest.folder(v) for v in kept])
+        used = {(p["version"], p["bucket"]) for p in manifests.collect()}
         newest = max(kept)
         for folder in child_names(self.spark, f"{self.path}/data"):
             if not folder.startswith("_v=") or int(folder[3:]) > newest:

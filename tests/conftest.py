@@ -24,4 +24,4 @@ def spark():
 def settings(tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()
-    return Settings(csv_dir=str(folder), root=str(tmp_path / "root"))
+    return Settings(csv_dir=str(folder), root=str(tmp_path / "root"), buckets=3)

@@ -216,6 +216,6 @@ def test_sources_keep_to_the_rules():
         assert word not in whole
     # The only rows brought to the driver: a row for each bucket, and the three health checks.
     assert {name: body.count(".collect()") for name, body in text.items() if ".collect()" in body} == {
-        "keyed.py": 2,
+        "keyed.py": 3,
         "jobs.py": 1,
     }
