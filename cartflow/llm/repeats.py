@@ -10,7 +10,7 @@
 3. *Removal.* Places to remove are gathered by document and cut out of the whole text.
 
 The merged sketch is broadcast. Its cells grow with the text up to ``MAX_CELLS`` a row (a bit each, so
-32 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
+64 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
 
 Windows are judged on the input. NULL and blank texts have no words; texts of fewer words than a
 window keep them all. Documents with equal ids are not smaller than each other; a NULL id is greater
@@ -31,7 +31,9 @@ WINDOW = 13
 #: Words of the parts whose smallest hash deals out a window.
 DEAL = 4
 ROWS = 2
-MAX_CELLS = 1 << 28
+#: Cells of a row for each byte of text, about two for each word, and their bound.
+CELLS_PER_BYTE = 5 / 16
+MAX_CELLS = 1 << 29
 #: Cells of one part of the sketch: the unit that is sent and merged.
 PART = 1 << 20
 #: Windows held by a task before it counts them, and windows estimated repeated before it groups them.
@@ -110,11 +112,11 @@ def window_hashes(texts: Iterable[bytes | None], window: int, sets: int, deal: b
 
 
 def sketch_cells(hashes, cells: int) -> list:
-    """The cell of each hash in each row of a sketch with ``cells`` (a power of two) in a row."""
+    """The cell of each hash in each row of a sketch with ``cells`` (fewer than 2**32) in a row."""
     import numpy as np
 
-    shift = np.uint64(64 - (cells.bit_length() - 1))
-    return [(_mixed(hashes * m) >> shift).astype(np.int64) for m in _multipliers(ROWS, 2)]
+    half = np.uint64(32)
+    return [((_mixed(hashes * m) >> half) * np.uint64(cells) >> half).astype(np.int64) for m in _multipliers(ROWS, 2)]
 
 
 def encode_gaps(places) -> bytes:
@@ -212,8 +214,8 @@ def _merge_parts(batches):
 
 
 def sketch_size(text_bytes: int, max_cells: int = MAX_CELLS) -> int:
-    """Cells of a row: the power of two above half of the text's bytes, that is about four for each word."""
-    return min(max_cells, max(PART, 1 << (text_bytes // 2).bit_length()))
+    """Cells of a row, in proportion to the text: whole parts, at least one and at most ``max_cells``."""
+    return min(max_cells // PART, int(text_bytes * CELLS_PER_BYTE) // PART + 1) * PART
 
 
 def repeated_cells(spark: SparkSession, docs: DataFrame, cells: int, window: int):
