@@ -142,7 +142,7 @@ def link_components(
     return _labelled(labels, components(spark, links, "simhash-rest"), "label")
 
 
-def near_duplicates(
+def _grouped(
     spark: SparkSession,
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -150,15 +150,20 @@ def near_duplicates(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
     blocks: int = BLOCKS,
-) -> DataFrame:
-    """``(doc_id, fp, component_id, label)``, a row for each row of ``docs``.
-
-    Components of repeated ids may have the same ``component_id``; their ``label``, a fingerprint, tells them apart.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """``(doc_id, fp)`` of every row, and ``(fp, least_id, label)`` of every distinct fingerprint."""
     rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp"))
     rows = materialize(spark, rows, "simhash-rows")
     classes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
-    labels = classes.join(link_components(spark, classes, distance, blocks), "fp")
+    return rows, classes.join(link_components(spark, classes, distance, blocks), "fp")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
+    """``(doc_id, fp, component_id, label)``, a row for each row of ``docs``; ``how`` as in ``_grouped``.
+
+    Components of repeated ids may have the same ``component_id``; their ``label``, a fingerprint, tells them apart.
+    """
+    rows, labels = _grouped(spark, docs, **how)
     names = labels.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = labels.select("fp", "label").join(names, "label").select("fp", "component_id", "label")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id", "label")
@@ -168,13 +173,16 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of each component, whole and with the columns it came with: that of the smallest id, NULL last.
 
     Of several texts of that id in the component the smallest fingerprint stays, of equal fingerprints any row.
-    Only the keys of survivors are joined with the texts.
+    Rows are reduced to one for each fingerprint, map side first, before they meet the labels, so many equal texts
+    make no hot key. Only the keys of survivors are joined with the texts.
     """
-    found = near_duplicates(spark, docs).groupBy("label", "doc_id", "fp").agg(F.count(F.lit(1)).alias("copies"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("first")
+    found, labels = _grouped(spark, docs)
+    counted = found.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("least")
+    classes = counted.groupBy("fp").agg(least).join(labels.select("fp", "label"), "fp")
     stay = materialize(
         spark,
-        found.groupBy("label").agg(first).select("first.doc_id", "first.fp", "first.copies"),
+        classes.groupBy("label").agg(F.min("least").alias("least")).select("least.doc_id", "least.fp", "least.copies"),
         "simhash-stay",
     )
     kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
