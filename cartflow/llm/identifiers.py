@@ -2,7 +2,8 @@
 
 Base patterns run on the text as it is. Then transducers rewrite lookalike characters, digits of other
 scripts, spelled digits and at/dot disguises, keeping for each rewritten stretch where it came from; the same
-patterns run on the result and their spans are mapped back. Spans that touch a base span of their kind add nothing.
+patterns run on the result and their spans are mapped back. Spans inside one base span of their kind add nothing; wider
+ones stand beside the base spans, which may be only a fragment of a partly disguised identifier.
 
 Texts are scanned whole, in one pass each and without backtracking over long runs; NULL and empty texts
 have no spans; rows are scanned one by one, and other columns are carried along whatever their names.
@@ -209,7 +210,7 @@ def find(text: str, plain: dict[int, str] | None = None) -> list[Span]:
         known = {kind: Intervals([(a, b) for k, a, b in base if k == kind]) for kind in KINDS}
         for kind, a, b in found(rewritten):
             start, end = source_span(a, b, stretches, firsts)
-            if not known[kind].touch(start + 1, end - 1):
+            if not known[kind].cover(start, end):
                 spans.append((kind, start, end, False))
     return ordered(spans, KINDS)
 

@@ -14,7 +14,7 @@ Span = tuple[str, int, int, bool]
 
 
 class Intervals:
-    """Sorted intervals that answer whether any of them touches a range."""
+    """Sorted intervals that answer whether any of them touches or contains a range."""
 
     def __init__(self, spans: list[tuple[int, int]]) -> None:
         self.spans = sorted(set(spans))
@@ -27,6 +27,10 @@ class Intervals:
         i = bisect_right(self.starts, high)
         return i > 0 and self.ends[i - 1] >= low
 
+    def cover(self, start: int, end: int) -> bool:
+        """Whether one of them contains the whole range."""
+        return self.touch(end, start)
+
 
 def ordered(spans: Iterable[Span], kinds: tuple[str, ...]) -> list[Span]:
     """Distinct spans by start, then kind in the order of ``kinds``, then end."""

@@ -221,6 +221,28 @@ def test_disguises(text, kind, source):
     assert identifiers.redacted(text, [s[:3] for s in identifiers.find(text)]).count(f"[{kind.upper()}]") == 1
 
 
+PARTLY = [
+    ("jоhn@example.com", "email", "hn@example.com"),
+    ("+49 30 123456７８", "phone", "+49 30 123456"),
+    ("10.20.30.4５", "ip", "10.20.30.4"),
+    ("john․doe@example.com", "email", "doe@example.com"),
+    ("john@example.cоm", "email", "john@example.c"),
+]
+
+
+@pytest.mark.parametrize(("source", "kind", "fragment"), PARTLY)
+def test_partly_disguised_identifiers_are_whole(source, kind, fragment):
+    text = f"see {source} now"
+    found = {(k, text[a:b], base) for k, a, b, base in identifiers.find(text)}
+    assert found == {(kind, source, False), (kind, fragment, True)}
+    assert identifiers.redacted(text, [s[:3] for s in identifiers.find(text)]) == f"see [{kind.upper()}] now"
+
+
+def test_disguises_beside_a_base_span_add_nothing():
+    found = identifiers.find("ѕее jane@example.com\u200b now")
+    assert found == [("email", 4, 20, True)]
+
+
 @pytest.mark.parametrize("text", ["meet me at noon dot dot dot", "one two three", "look at that dot", "five at six", "a dot b"])
 def test_clean_texts_stay(text):
     assert identifiers.find(text) == []
