@@ -1,8 +1,9 @@
 """Personal identifiers in texts, also disguised ones, with offsets of the original text.
 
-Base patterns run on the text as it is. Then transducers rewrite lookalike characters, digits of other
-scripts, spelled digits and at/dot disguises, keeping for each rewritten stretch where it came from; the same
-patterns run on the result and their spans are mapped back. Spans inside one base span of their kind add nothing; wider
+Base patterns run on the text as it is. Then a chain of transducers rewrites lookalike characters and digits of other
+scripts, zero-width characters, bracketed signs, bare at/dot words and spelled digits, each on the result of the one
+before and keeping for each rewritten stretch where it came from, so mixed disguises are seen through; the same
+patterns run on the last result and their spans are mapped back step by step. Spans inside one base span of their kind add nothing; wider
 ones stand beside the base spans, which may be only a fragment of a partly disguised identifier.
 
 Texts are scanned whole, in one pass each and without backtracking over long runs; NULL and empty texts
@@ -90,6 +91,7 @@ LOOKALIKES = dict(
 _NOTHING = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 _DOTS = "\u2024\u3002\uff0e\uff61"
 _DASHES = "\u2010\u2011\u2012\u2013\u2014\u2212"
+_NOTHINGS = re.compile(f"[{_NOTHING}]+")
 _BLANKS = "\u00a0\u2002\u2003\u2007\u2009\u202f\u3000"
 _SPELLED = {
     word: str(digit)
@@ -138,57 +140,90 @@ _SPELLED_HINT = re.compile(rf"\b(?:{_word_of(list(_SPELLED))})\b{_GAP}{_DIGIT}",
 _SPELLED_PART = re.compile(rf"plus[\x20-]{{1,2}}|{_word_of(list(_SPELLED))}|[\x20.,-]+", re.IGNORECASE)
 #: Bracketed signs, as "(at)" or "[.]", with the blanks around them.
 _BRACKETED = re.compile(r"\x20?[(\[{<]\x20?(at|dot|@|\.)\x20?[)\]}>]\x20?", re.IGNORECASE)
-#: Bare words count only as a whole address: name at label dot label (not the word dot itself), or number dot number three times.
+_LABEL = r"[A-Za-z0-9-]+"
+_TOP = r"(?!dot\b)[A-Za-z]{2,24}(?![A-Za-z0-9])"
+#: Bare words count only as a whole address: name at label dot label (not the word dot itself), or number dot number three
+#: times. Signs made by the steps before, or plain ones, may stand for any of the words. A sign with a blank on one side
+#: only, as before the name of an account, needs a bare dot behind it. Names start where their run of words and dots starts.
 _BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}(?:\x20at\x20|\x20?@\x20?)[A-Za-z0-9-]{1,63}"
-    r"(?:(?:\x20dot\x20|\.)[A-Za-z0-9-]{1,63}){0,8}\x20dot\x20(?!dot\b)[A-Za-z]{2,24}(?![A-Za-z0-9])"
+    rf"(?<![A-Za-z0-9._%+-])(?<![A-Za-z0-9._%+-]\x20dot\x20)[A-Za-z0-9._%+-]++(?:\x20dot\x20[A-Za-z0-9._%+-]++)*+"
+    rf"(?:(?:\x20at\x20|\x20@\x20|@){_LABEL}(?:(?:\x20dot\x20|\.){_LABEL})*(?:\x20dot\x20|\.){_TOP}"
+    rf"|\x20?@\x20?{_LABEL}(?:(?:\x20dot\x20|\.){_LABEL})*\x20dot\x20{_TOP})"
     r"|(?<![0-9])[0-9]{1,3}(?:(?:\x20dot\x20|\.)[0-9]{1,3}){3}(?![0-9])",
     re.IGNORECASE,
 )
 _BARE_PART = re.compile(r"\x20?@\x20?|\x20(?:at|dot)\x20", re.IGNORECASE)
+_AT_HOST = re.compile(r" at [a-z0-9-]+(?:\.| dot )[a-z0-9]")
 
+Rewrite = tuple[int, int, str]
 
-def _rewrites(plain: str) -> list[tuple[int, int, str]]:
-    """Stretches of a text and what replaces them, in order and apart."""
-    made = [(i, i + 1, "") for i, c in enumerate(plain) if c in _NOTHING] if any(c in plain for c in _NOTHING) else []
-    lowered = plain.lower()
-    if any(sign in lowered for sign in ("(", "[", "{", "<")):
-        for m in _BRACKETED.finditer(plain):
-            made.append((*m.span(), {"at": "@", "@": "@"}.get(m[1].lower(), ".")))
-    if " dot " in lowered:
-        for m in _BARE.finditer(plain):
-            for part in _BARE_PART.finditer(plain, *m.span()):
-                made.append((*part.span(), "." if "dot" in part[0].lower() else "@"))
-    if _SPELLED_HINT.search(plain):
-        for m in _SPELLED_RUN.finditer(plain):
-            if not any(c.isalpha() for c in m[0]):
-                continue
-            for part in _SPELLED_PART.finditer(plain, *m.span()):
-                word = part[0].lower()
-                made.append((*part.span(), _SPELLED.get(word, "+" if word.startswith("plus") else " ")))
-    apart: list[tuple[int, int, str]] = []
-    for start, end, new in sorted(made):
-        if not apart or start >= apart[-1][1]:
-            apart.append((start, end, new))
-    return apart
-
-
-def normalised(text: str, plain: dict[int, str]) -> tuple[str, list[tuple[int, int, int, int]]]:
-    """The rewritten text and its rewritten stretches: start and end there, start and end in the source."""
-    flat = text.translate(plain)
+
+def _without_nothing(text: str) -> list[Rewrite]:
+    return [(m.start(), m.end(), "") for m in _NOTHINGS.finditer(text)]
+
+
+def _bracketed(text: str) -> list[Rewrite]:
+    if not any(sign in text for sign in "([{<"):
+        return []
+    return [(*m.span(), "@" if m[1].lower() in ("at", "@") else ".") for m in _BRACKETED.finditer(text)]
+
+
+def _bare(text: str) -> list[Rewrite]:
+    lowered = text.lower()
+    if " dot " not in lowered and " @ " not in lowered and not _AT_HOST.search(lowered):
+        return []
+    return [
+        (*part.span(), "." if "dot" in part[0].lower() else "@")
+        for m in _BARE.finditer(text)
+        for part in _BARE_PART.finditer(text, *m.span())
+        if part[0] != "@"
+    ]
+
+
+def _spelled(text: str) -> list[Rewrite]:
+    if not _SPELLED_HINT.search(text):
+        return []
+    made = []
+    for m in _SPELLED_RUN.finditer(text):
+        if not any(c.isalpha() for c in m[0]):
+            continue
+        for part in _SPELLED_PART.finditer(text, *m.span()):
+            word = part[0].lower()
+            made.append((*part.span(), _SPELLED.get(word, "+" if word.startswith("plus") else " ")))
+    return made
+
+
+#: Steps after the lookalikes, each on the text that the one before made; the rewrites of a step are in order and apart.
+_STEPS = (_without_nothing, _bracketed, _bare, _spelled)
+#: Rewritten stretches of a step: start and end in its result, start and end in its source.
+Stretches = list[tuple[int, int, int, int]]
+
+
+def _rewritten(text: str, rewrites: list[Rewrite]) -> tuple[str, Stretches]:
     pieces, stretches, source, length = [], [], 0, 0
-    for start, end, new in _rewrites(flat):
-        pieces += [flat[source:start], new]
+    for start, end, new in rewrites:
+        pieces += [text[source:start], new]
         length += start - source
         stretches.append((length, length + len(new), start, end))
         length += len(new)
         source = end
-    pieces.append(flat[source:])
+    pieces.append(text[source:])
     return "".join(pieces), stretches
 
 
-def source_span(start: int, end: int, stretches: list[tuple[int, int, int, int]], firsts: list[int]) -> tuple[int, int]:
-    """Where a span of the rewritten text lies in the source; a touched stretch counts whole."""
+def normalised(text: str, plain: dict[int, str]) -> tuple[str, list[Stretches]]:
+    """The text after all steps, and the stretches of each step that changed it."""
+    steps = []
+    text = text.translate(plain)
+    for step in _STEPS:
+        if rewrites := step(text):
+            text, stretches = _rewritten(text, rewrites)
+            steps.append(stretches)
+    return text, steps
+
+
+def source_span(start: int, end: int, stretches: Stretches, firsts: list[int]) -> tuple[int, int]:
+    """Where a span of a step's result lies in the step's source; a touched stretch counts whole."""
 
     def at(place: int) -> tuple[int, int]:
         i = bisect_right(firsts, place) - 1
@@ -204,12 +239,13 @@ def find(text: str, plain: dict[int, str] | None = None) -> list[Span]:
     """Base spans and those found behind disguises."""
     base = found(text)
     spans: list[Span] = [(*s, True) for s in base]
-    rewritten, stretches = normalised(text, _Plain() if plain is None else plain)
+    rewritten, steps = normalised(text, _Plain() if plain is None else plain)
     if rewritten != text:
-        firsts = [s[0] for s in stretches]
+        ways = [(stretches, [s[0] for s in stretches]) for stretches in reversed(steps)]
         known = {kind: Intervals([(a, b) for k, a, b in base if k == kind]) for kind in KINDS}
-        for kind, a, b in found(rewritten):
-            start, end = source_span(a, b, stretches, firsts)
+        for kind, start, end in found(rewritten):
+            for way in ways:
+                start, end = source_span(start, end, *way)
             if not known[kind].cover(start, end):
                 spans.append((kind, start, end, False))
     return ordered(spans, KINDS)

@@ -238,6 +238,43 @@ def test_partly_disguised_identifiers_are_whole(source, kind, fragment):
     assert identifiers.redacted(text, [s[:3] for s in identifiers.find(text)]) == f"see [{kind.upper()}] now"
 
 
+MIXED = [
+    ("jane (at) corp dot com", "email"),
+    ("jane at corp [dot] com", "email"),
+    ("jane[at]mail dot corp dot com", "email"),
+    ("jane at corp.com", "email"),
+    ("jane dot doe (at) corp.com", "email"),
+    ("jane (a\u200bt) corp dot com", "email"),
+    ("jane\u200b at corp d\u200bot com", "email"),
+    ("jane at\u200b cоrp.com", "email"),
+    ("jane （at） corp [.] com", "email"),
+    ("10[.]20 dot 30.40", "ip"),
+    ("plus four o\u200bne five five five five zero one two three", "phone"),
+]
+
+
+@pytest.mark.parametrize(("source", "kind"), MIXED)
+def test_mixed_disguises(source, kind):
+    for before, after in (("(", ") ok"), ("ask\u200b: ", ", or"), ("a\u200b b (dot): ", " ! x\u200by")):
+        text = before + source + after
+        found = [(k, text[a:b]) for k, a, b, _ in identifiers.find(text)]
+        assert found == [(kind, source)]
+
+
+@pytest.mark.parametrize("text", ["thanks @bob.smith", "we met at noon. Then", "at 5.30 pm", "look at e.g. that", "a @ b"])
+def test_signs_and_dots_of_prose_stay(text):
+    assert identifiers.find(text) == []
+
+
+@pytest.mark.parametrize("part", ["a at b dot ", "dot ", "x dot ", "a@b dot ", "at dot ", "a at b.", "x@y ", "(at)\u200b", "a.b "])
+def test_disguises_take_linear_time(part):
+    import time
+
+    start = time.perf_counter()
+    identifiers.find(part * 20_000)
+    assert time.perf_counter() - start < 5
+
+
 def test_disguises_beside_a_base_span_add_nothing():
     found = identifiers.find("ѕее jane@example.com\u200b now")
     assert found == [("email", 4, 20, True)]
