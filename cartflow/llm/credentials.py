@@ -2,8 +2,9 @@
 
 Base patterns are reported wherever they stand. Weaker parts (account names, short or bare secrets, endpoints) are
 reported only if a complementary part lies in the same scope: an interval join of the parts' neighbourhoods within
-blocks of text between blank lines. Both sides of the join come from one row, so it is a merge of sorted intervals
-inside the row and needs no shuffle; it asks whether a partner exists and never lists pairs.
+blocks of text between blank lines. Neighbours within reach link, so a credential is a chain of parts of any length; long
+encoded values, as the lines of a private key, are links too. Both sides of the join come from one row, so it is a merge of
+sorted intervals inside the row and needs no shuffle; it asks whether a partner exists and never lists pairs.
 
 Texts are scanned whole; NULL and empty texts have no spans; rows are scanned one by one, and other columns
 are carried along whatever their names.
@@ -12,17 +13,17 @@ are carried along whatever their names.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.llm.common import table
-from cartflow.llm.spans import Intervals, Span, base_only, count_kind, joined, ordered, span_column
+from cartflow.llm.spans import Span, base_only, count_kind, joined, ordered, span_column
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "identifier", "key", "endpoint")
-#: Code points between two parts of one credential, at most.
+#: Code points between two neighbouring parts of one credential, at most.
 REACH = 400
 
 _FLAGS = re.IGNORECASE | re.ASCII
@@ -33,25 +34,28 @@ _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # the maximal runs of at least 16
 
-_SET = r"""["']?\x20{0,8}[:=]\x20{0,8}["']?"""
+# Values have no upper bound, so that spans cover them whole; possessive quantifiers look at no character twice.
+_SET = r"""["']?+[\x20\t]*+[:=][\x20\t]*+["']?+"""
 _NAMES = re.compile(
-    rf"(?<![A-Za-z0-9])(?:user_?name|user|login|account|client_?id|access_?key_?id){_SET}([A-Za-z0-9._@+-]{{3,128}})", _FLAGS
+    rf"(?<![A-Za-z0-9])(?:user_?name|user|login|account|client_?id|access_?key_?id){_SET}([A-Za-z0-9._@+-]{{3,}}+)", _FLAGS
 )
 _NAME_HINTS = ("user", "login", "account", "client", "access")
 _OTHER_ACCESS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA|AROA|AIDA)[A-Z0-9]{12,16}(?![A-Za-z0-9])")
 _SHORT = re.compile(
-    rf"(?<![A-Za-z0-9])(?:[a-z0-9]{{1,24}}_)?(?:password|passwd|pwd|pass|secret|token|api_?key|secret_?key){_SET}"
-    r"""([^\s"',;]{6,256})""",
+    rf"(?<![A-Za-z0-9])(?:[a-z0-9]++_)?(?:password|passwd|pwd|pass|secret|token|api_?key|secret_?key){_SET}"
+    r"""([^\s"',;]{6,}+)""",
     _FLAGS,
 )
 _SHORT_HINTS = (*_ASSIGN_HINTS, "pwd", "pass")
 #: A bare secret: 40 characters of base64 with small and capital letters and digits.
 _BARE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])")
 _ENDPOINT = re.compile(
-    r"""(?:https?|s3|ftps?|sftp|ssh|redis|amqps?|mysql|postgres(?:ql)?|mongodb(?:\+srv)?|jdbc:[a-z0-9]{1,20})://[^\s"'<>]{3,2000}""",
+    r"""(?:https?|s3|ftps?|sftp|ssh|redis|amqps?|mysql|postgres(?:ql)?|mongodb(?:\+srv)?|jdbc:[a-z0-9]++)://[^\s"'<>]{3,}+""",
     _FLAGS,
 )
-_HOST = re.compile(rf"(?<![A-Za-z0-9])(?:host|hostname|endpoint|server){_SET}([A-Za-z0-9.-]{{3,253}}(?::[0-9]{{1,5}})?)", _FLAGS)
+_HOST = re.compile(rf"(?<![A-Za-z0-9])(?:host|hostname|endpoint|server){_SET}([A-Za-z0-9.-]{{3,}}+(?::[0-9]++)?)", _FLAGS)
+#: Long encoded values: no parts, but links between them. A backslash may stand for a line break inside quotes.
+_ENCODED = re.compile(r"(?<![A-Za-z0-9+/=_.\\-])[A-Za-z0-9+/][A-Za-z0-9+/=_.\\-]{39,}+")
 _BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -96,25 +100,29 @@ def find(text: str, reach: int = REACH) -> list[Span]:
     weak = parts(text, lowered)
     if not any(weak.values()):
         return ordered(spans, KINDS)
-    identifiers = Intervals(weak["identifier"] + [(a, b) for k, a, b in base if k == "access"])
-    secrets = Intervals(weak["key"] + [(a, b) for k, a, b in base if k != "access"])
-    endpoints = Intervals(weak["endpoint"])
-    breaks = [m.span() for m in _BLANK_LINE.finditer(text)]
-    begins, ends = [0, *(b for _, b in breaks)], [*(a for a, _ in breaks), len(text)]
+    known = [(a, b, "identifier" if k == "access" else "key") for k, a, b in base]
+    known += [(a, b, k) for k, candidates in weak.items() for a, b in candidates]
+    known += [(*m.span(), "") for m in _ENCODED.finditer(text)]
+    known.sort()
+    begins = [m.end() for m in _BLANK_LINE.finditer(text)]
     strong = {(a, b) for _, a, b in base}
-
-    def scope(start: int, end: int) -> tuple[int, int]:
-        first = begins[bisect_right(begins, start) - 1]
-        last = ends[min(bisect_left(ends, end), len(ends) - 1)]
-        return max(first, start - reach), min(last, end + reach)
-
-    needs = {"identifier": (secrets,), "key": (identifiers, endpoints), "endpoint": (identifiers, secrets)}
-    for kind, candidates in weak.items():
-        for start, end in candidates:
-            low, high = scope(start, end)
-            met = [other.touch(low, high) for other in needs[kind]]
-            if (any(met) if kind == "key" else all(met)) and (start, end) not in strong:
-                spans.append((kind, start, end, False))
+    needs = {"identifier": ({"key"},), "key": ({"identifier"}, {"endpoint"}), "endpoint": ({"identifier", "key"},), "": ()}
+    chain: list[tuple[int, int, str]] = []
+    block, last = 0, 0
+
+    def complete(chain: list[tuple[int, int, str]]) -> list[Span]:
+        met = {kind for _, _, kind in chain}
+        reported = {kind for kind, ways in needs.items() if any(way <= met for way in ways)}
+        return [(k, a, b, False) for a, b, k in chain if k in reported and (a, b) not in strong]
+
+    for start, end, kind in known:
+        own = bisect_right(begins, start)
+        if own != block or start > last + reach:
+            spans += complete(chain)
+            chain, block, last = [], own, end
+        chain.append((start, end, kind))
+        last = max(last, end)
+    spans += complete(chain)
     return ordered(spans, KINDS)
 
 

@@ -14,7 +14,7 @@ Span = tuple[str, int, int, bool]
 
 
 class Intervals:
-    """Sorted intervals that answer whether any of them touches or contains a range."""
+    """Sorted intervals that answer whether any of them contains a range."""
 
     def __init__(self, spans: list[tuple[int, int]]) -> None:
         self.spans = sorted(set(spans))
@@ -23,13 +23,9 @@ class Intervals:
         for _, end in self.spans:
             self.ends.append(max(end, self.ends[-1]) if self.ends else end)
 
-    def touch(self, low: int, high: int) -> bool:
-        i = bisect_right(self.starts, high)
-        return i > 0 and self.ends[i - 1] >= low
-
     def cover(self, start: int, end: int) -> bool:
-        """Whether one of them contains the whole range."""
-        return self.touch(end, start)
+        i = bisect_right(self.starts, start)
+        return i > 0 and self.ends[i - 1] >= end
 
 
 def ordered(spans: Iterable[Span], kinds: tuple[str, ...]) -> list[Span]:
