@@ -5,9 +5,11 @@
    Counts are only ever too high, so every window of two documents has an estimate of two or more.
 2. *Exact groups.* Windows estimated repeated are grouped by a 96-bit hash of their word sequence. A
    chunk of texts groups its own windows first and sends each of them once, with the smallest id;
-   so a window in a third of all documents costs one row for each chunk, not for each document. Windows are dealt out
+   so a window in a third of all documents costs one row for each chunk, not for each document; so do rows equal in id
+   and text. Windows are dealt out
    by the smallest hash of their 4-word parts: equal windows meet, and neighbours mostly travel together in one row.
-3. *Removal.* Places to remove are gathered by document and cut out of the whole text.
+3. *Removal.* Distinct places to remove are gathered by document, which is an id and a 64-bit hash of the text, and cut out
+   of the whole text.
 
 The merged sketch is broadcast. Its cells grow with the text up to ``MAX_CELLS`` a row (a bit each, so
 64 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
@@ -232,7 +234,7 @@ def repeated_cells(spark: SparkSession, docs: DataFrame, cells: int, window: int
 
 
 _CANDIDATES = (
-    "deal bigint, own boolean, id bigint, tag int, place int, highs array<bigint>, lows array<int>, places binary"
+    "deal bigint, own boolean, id bigint, tag bigint, place int, highs array<bigint>, lows array<int>, places binary"
 )
 
 
@@ -261,6 +263,9 @@ def _candidates(bits, cells: int, window: int):
             held.clear()
             order = np.lexsort((place, tags, ids, low, high))
             high, low, deal, ids, tags, place = (x[order] for x in (high, low, deal, ids, tags, place))
+            once = np.ones(len(high), bool)  # rows equal in id and text have the same windows
+            once[1:] = np.any([x[1:] != x[:-1] for x in (high, low, ids, tags, place)], axis=0)
+            high, low, deal, ids, tags, place = (x[once] for x in (high, low, deal, ids, tags, place))
             starts = np.ones(len(high), bool)
             starts[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
             group = np.cumsum(starts) - 1
@@ -294,13 +299,13 @@ def _candidates(bits, cells: int, window: int):
                 n = len(firsts)
                 one = pa.array(np.arange(n + 1, dtype=np.int32))  # lists of one element: the row itself
                 columns = [
-                    pa.array(ids[firsts]),
+                    pa.array(ids[firsts] ^ tags[firsts]),  # documents without an id are many
                     pa.array(np.ones(n, bool)),
                     pa.array(ids[firsts]),
                     pa.array(tags[firsts]),
                     pa.nulls(n, pa.int32()),
                     pa.ListArray.from_arrays(one, pa.array(ids[firsts])),
-                    pa.ListArray.from_arrays(one, pa.array(tags[firsts])),
+                    pa.ListArray.from_arrays(one, pa.array(tags[firsts].astype(np.int32))),
                     pa.array(data, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -380,8 +385,8 @@ def without_repeats(
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST_ID)).alias("id"),
-        # Rows of one id may have different texts.
-        F.hash(text).alias("tag"),
+        # Rows of one id may have different texts, and all rows without an id share one.
+        F.xxhash64(text).alias("tag"),
         text.alias("text"),
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -399,7 +404,7 @@ def without_repeats(
         .filter("own OR id > first")
         .withColumn("place", F.col("place") + F.col("at"))
         .groupBy("id", "tag")
-        .agg(F.collect_list("place").alias("place"), F.collect_list("places").alias("places"))
+        .agg(F.collect_set("place").alias("place"), F.collect_set("places").alias("places"))
     )
     texts = rows.select("doc_id", "id", "tag", _packed()("text").alias("text"))
     found = texts.join(places, ["id", "tag"], "left").select("doc_id", _cut(window)("text", "place", "places").alias("f"))

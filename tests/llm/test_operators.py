@@ -75,6 +75,28 @@ def test_small_sketch_loses_nothing(spark, odd_dir, monkeypatch):
     assert any(row[2] for row in whole)
 
 
+def test_texts_without_an_id_keep_their_own_places(spark):
+    one, other = (" ".join(f"w{j}x{n}" for j in range(14)) for n in (18031, 176266))  # equal in their 32-bit hash
+    docs = spark.createDataFrame([(1, one + " end"), (None, one), (None, other), (None, one)], "doc_id bigint, text string")
+    found = repeats.without_repeats(spark, docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    expected = [(1, 15, 0, one + " end"), (None, 14, 14, ""), (None, 14, 0, other), (None, 14, 14, "")]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
+def test_rows_equal_in_id_and_text_are_candidates_once():
+    import pyarrow as pa
+
+    class Sketch:
+        value = np.full(repeats.ROWS * repeats.PART // 8, 255, np.uint8)
+
+    text = " ".join(f"w{i}" for i in range(30)).encode()
+    for ids in ([7] * 50, [1] + [7] * 49):
+        rows = {"id": ids, "tag": [5] * 50, "text": [text] * 50}
+        made = pa.Table.from_batches(repeats._candidates(Sketch, repeats.PART, 13)([pa.RecordBatch.from_pydict(rows)])).to_pylist()
+        assert sum(len(r["highs"]) for r in made if not r["own"]) == 18
+        assert [len(r["places"]) // 4 for r in made if r["own"]] == [18] * (len(set(ids)) - 1)
+
+
 def test_benchmark_in_blocks(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     items = spark.read.parquet(f"{odd_dir}/benchmark.parquet")
