@@ -18,7 +18,7 @@ from cartflow.llm.common import materialize, table
 
 WINDOW = 10
 #: Words of items in one automaton: a window of ten words has at most ten nodes of some 60 bytes, so about 150 MB.
-#: A larger benchmark is scanned in several blocks, one pass over the texts for each.
+#: A larger benchmark or item is scanned in several blocks, one pass over the texts for each.
 BLOCK_WORDS = 250_000
 
 _WORD_BYTES = bytes(
@@ -35,8 +35,15 @@ def item_words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORD_BYTES).split()
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, limit: int) -> Iterator[list[tuple[str, bytes]]]:
-    """Items as (id, normalised words), in blocks of about ``limit`` words; one block is held at a time."""
+def item_blocks(
+    items: DataFrame, id_col: str, text_col: str, limit: int, window: int = WINDOW
+) -> Iterator[list[tuple[str, bytes]]]:
+    """Items as (id, normalised words), in blocks of at most ``limit`` words (or one window); one block is held at a time.
+
+    Items that do not fit are cut into pieces that overlap by all but one word of a window, so each of their windows lies
+    in one piece.
+    """
+    limit = max(limit, window)
     rows = items.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text")
     )
@@ -47,8 +54,12 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, limit: int) -> Ite
         if block and size + len(words) > limit:
             yield block
             block, size = [], 0
-        block.append((row["id"], b" ".join(words)))
-        size += len(words)
+        first = 0
+        while len(words) - first > limit:
+            yield [(row["id"], b" ".join(words[first : first + limit]))]
+            first += limit - window + 1
+        block.append((row["id"], b" ".join(words[first:])))
+        size += len(words) - first
     if block:
         yield block
 
@@ -144,7 +155,7 @@ def scanned(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.lit(None).cast(FOUND).alias("found")
     )
     passes = 0
-    for items in item_blocks(benchmark, item_col, item_text_col, block_words):
+    for items in item_blocks(benchmark, item_col, item_text_col, block_words, window):
         if passes:
             rows = materialize(spark, rows, "decontaminate")
         block = spark.sparkContext.broadcast({"items": items, "window": window})

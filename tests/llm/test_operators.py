@@ -111,6 +111,18 @@ def test_benchmark_in_blocks(spark, odd_dir):
     assert any("BOILING POINT" in t[s["start"] : s["end"]] for t, s in spans)
 
 
+def test_blocks_keep_to_their_limit(spark):
+    text = [f"w{i}" for i in range(95)]
+    items = spark.createDataFrame([(1, "a b"), (2, " ".join(text)), (3, "c d"), (4, "")], "item_id int, text string")
+    for limit, window in ((20, 10), (10, 10), (3, 10), (94, 10), (95, 10), (1000, 10), (7, 1)):
+        blocks = list(decontaminate.item_blocks(items, "item_id", "text", limit, window))
+        assert all(sum(len(t.split()) for _, t in b) <= max(limit, window) for b in blocks)
+        made = [tuple(w[i : i + window]) for b in blocks for k, t in b if k == "2" for w in [t.decode().split()]
+                for i in range(len(w) - window + 1)]
+        assert made == [tuple(text[i : i + window]) for i in range(len(text) - window + 1)]
+        assert [k for b in blocks for k, _ in b if k != "2"] == ["1", "3", "4"]
+
+
 def test_rule_table_is_one_projection(spark, odd_dir):
     rows = quality.judged(spark.read.parquet(f"{odd_dir}/documents.parquet"), "doc_id")
     plan = rows._jdf.queryExecution().executedPlan().toString()
