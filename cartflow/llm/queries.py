@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartflow.llm import byte_bpe, credentials, decontaminate, identifiers, jump_shards, quality, repeats, simhash, url_lists, warc
+from cartflow.llm import (
+    alignment,
+    byte_bpe,
+    credentials,
+    decontaminate,
+    fill_middle,
+    identifiers,
+    jump_shards,
+    merge_automaton,
+    quality,
+    repeats,
+    simhash,
+    url_lists,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -19,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": identifiers.op8_pii,
     "op9_simhash": simhash.op9_simhash,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_merge_automaton": merge_automaton.op11_merge_automaton,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_fill_middle": fill_middle.op13_fill_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -27,4 +44,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_decontamination": decontaminate.oracle_sql(),
     "op7_substring_dedup": repeats.oracle_sql(),
     "op10_quality_rules": quality.oracle_sql(),
+    "op13_fill_middle": fill_middle.oracle_sql(),
 }

@@ -45,7 +45,7 @@ def test_empty_tables(spark, empty_dir, odd_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_empty_pipeline(spark, empty_dir):
