@@ -4,9 +4,9 @@ A rank file lists byte strings; the library works on characters. So ranks are lo
 table (each byte is a printable character), pieces are mapped to characters by the library's byte-level
 step, offsets come back in characters of the piece, and decoding reverses the table.
 
-Texts are encoded whole: every match of the split pattern on its own, without special tokens. Equal
-pieces are encoded once by a task. NULL and empty texts have no tokens. Rows are encoded one by one, and
-other columns are carried along whatever their names.
+Texts are encoded whole: every match of the split pattern on its own, without special tokens. A worker keeps the
+pieces it has met over all its tasks, up to a bound in bytes; beyond it those not asked for lately go. NULL and empty texts have no
+tokens. Rows are encoded one by one, repeated ones alike; other columns are carried along only if asked for.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.llm.common import table
+from cartflow.llm.pieces import Memory, Splitter, map_texts, number_lists, once_a_worker
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Distinct pieces remembered by a task; a full memory is emptied.
-MEMORY = 150_000
-ENCODED = "struct<ids:array<int>,starts:array<int>,ends:array<int>,n_split:bigint,decoded:binary>"
+#: Bytes of pieces a worker remembers, in each of two generations.
+ROOM = 80 << 20
+MADE = "ids array<int>, starts array<int>, ends array<int>, n_split bigint, decoded binary"
 
 
 def byte_table() -> list[str]:
@@ -74,28 +75,14 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-class Pieces(dict):
-    """Token ids of pieces, as bytes of 32-bit numbers; a piece is encoded when it is met first."""
-
-    def __init__(self, tokenizer) -> None:
-        super().__init__()
-        self.encode = tokenizer.encode
-
-    def __missing__(self, piece: str) -> bytes:
-        from array import array
-
-        found = self[piece] = array("i", self.encode(piece, add_special_tokens=False).ids).tobytes()
-        return found
-
-
 class PieceEncoder:
     """Token ids and character offsets of texts."""
 
-    def __init__(self, tokenizer: str, pattern: str, memory: int = MEMORY) -> None:
+    def __init__(self, tokenizer: str, pattern: str, room: int = ROOM) -> None:
         import os
+        from array import array
 
         import numpy as np
-        import regex
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
@@ -105,18 +92,30 @@ class PieceEncoder:
         names = made.get_vocab()
         self.lengths = np.zeros(max(names.values(), default=0) + 1, np.int64)
         self.lengths[list(names.values())] = [len(name) for name in names]
-        self.split = regex.compile(pattern).findall
-        self.pieces = Pieces(made)
-        self.memory = memory
+        self.split = Splitter(pattern)
+        characters, merge = dict(enumerate(byte_table())), made.model.tokenize
+
+        def encode(piece: str) -> bytes:
+            spelled = piece.encode().decode("latin-1").translate(characters)
+            return array("i", [token.id for token in merge(spelled)]).tobytes()
+
+        self.pieces = Memory(encode, room)
 
     def encode(self, text: str):
         """Array of token ids."""
         import numpy as np
 
-        if len(self.pieces) > self.memory:
-            self.pieces.clear()
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
 
+    def n_split(self, text: str, ids) -> int:
+        """How many tokens end inside a character: the next byte goes on with it."""
+        import numpy as np
+
+        if text.isascii():
+            return 0
+        data = np.frombuffer(text.encode(), np.uint8)
+        return int(((data[np.cumsum(self.lengths[ids])[:-1]] & 0xC0) == 0x80).sum())
+
     def offsets(self, text: str, ids):
         """Code points where tokens start and end; tokens that share a split character all cover it."""
         import numpy as np
@@ -132,22 +131,11 @@ class TokenBytes:
     """The bytes of tokens, from their characters; parts of a split character meet again in the joined bytes."""
 
     def __init__(self, names: list[str]) -> None:
-        import numpy as np
-
         back = {c: b for b, c in enumerate(byte_table())}
-        # All tokens' bytes one after the other, and where each token starts.
-        self.data = np.array([back[c] for name in names for c in name], np.uint8)
-        self.lengths = np.array([len(name) for name in names], np.int64)
-        self.firsts = np.cumsum(self.lengths) - self.lengths
+        self.tokens = [bytes(map(back.__getitem__, name)) for name in names]
 
     def joined(self, ids) -> bytes:
-        import numpy as np
-
-        if not len(ids):
-            return b""
-        sizes = self.lengths[ids]
-        ends = np.cumsum(sizes)
-        return self.data[np.repeat(self.firsts[ids] - ends + sizes, sizes) + np.arange(ends[-1])].tobytes()
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 def _names(ranks: dict[bytes, int]) -> list[str]:
@@ -158,54 +146,6 @@ def _names(ranks: dict[bytes, int]) -> list[str]:
     return names
 
 
-def encoded(
-    spark: SparkSession,
-    text: Column,
-    ranks: dict[bytes, int],
-    pattern: str,
-    offsets: bool = True,
-    decode: bool = False,
-) -> Column:
-    """Struct of token ``ids``, the code points ``starts`` to ``ends`` they cover, ``n_split`` and ``decoded``.
-
-    ``n_split`` counts the tokens that end inside a character. Without ``offsets`` the two lists are NULL. With
-    ``decode`` the ids are decoded again at once, in the same worker. The tokenizer is broadcast; its size is that
-    of the vocabulary, whatever the input.
-    """
-    made = spark.sparkContext.broadcast((tokenizer_from_ranks(ranks), pattern, _names(ranks)))
-
-    @F.arrow_udf(ENCODED, F.ArrowUDFType.SCALAR_ITER)
-    def of_batches(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        tokenizer, pattern, names = made.value
-        encoder, tokens = PieceEncoder(tokenizer, pattern), TokenBytes(names)
-        nothing = np.zeros(0, np.int32)
-
-        def lists(arrays):
-            ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([nothing, *arrays])))
-
-        for texts in batches:
-            ids, starts, ends, split, back = [], [], [], [], []
-            for text in texts:
-                text = text.as_py() or ""
-                own = encoder.encode(text)
-                a, b = encoder.offsets(text, own) if len(own) else (nothing, nothing)
-                ids.append(own)
-                split.append(int((a[1:] < b[:-1]).sum()))
-                back.append(tokens.joined(own) if decode else None)
-                if offsets:
-                    starts.append(a)
-                    ends.append(b)
-            places = [lists(starts), lists(ends)] if offsets else [pa.nulls(len(ids), pa.list_(pa.int32()))] * 2
-            columns = [lists(ids), *places, pa.array(split, pa.int64()), pa.array(back, pa.binary())]
-            yield pa.StructArray.from_arrays(columns, ["ids", "starts", "ends", "n_split", "decoded"])
-
-    return of_batches(text)
-
-
 def decoded(spark: SparkSession, ids: Column, ranks: dict[bytes, int]) -> Column:
     """The bytes of a list of token ids; NULL has none."""
     known = spark.sparkContext.broadcast(_names(ranks))
@@ -231,11 +171,44 @@ def tokenized(
     pattern: str | None = None,
     offsets: bool = True,
 ) -> DataFrame:
-    """Columns ``keep`` with ``ids``, ``starts``, ``ends``, ``n_split`` and ``decoded`` (bytes) of every row."""
+    """Columns ``keep`` with ``ids``, the code points ``starts`` to ``ends`` they cover, ``n_split`` and ``decoded`` of every row.
+
+    ``n_split`` counts the tokens that end inside a character; ``decoded`` are the bytes of the ids, decoded again at once
+    in the same worker. Without ``offsets`` the two lists of code points are NULL. The tokenizer is broadcast; its size
+    is that of the vocabulary, whatever the input.
+    """
     ranks = default_ranks() if ranks is None else ranks
     pattern = default_pattern() if pattern is None else pattern
-    tokens = encoded(spark, F.col(text), ranks, pattern, offsets, decode=True)
-    return docs.select(*keep, tokens.alias("tokens")).select(*keep, "tokens.*")
+    made = spark.sparkContext.broadcast((tokenizer_from_ranks(ranks), pattern, _names(ranks)))
+
+    def worker():
+        import numpy as np
+        import pyarrow as pa
+
+        tokenizer, pattern, names = made.value
+        encoder, tokens = once_a_worker(
+            "byte_bpe", (hash(tokenizer), pattern), lambda: (PieceEncoder(tokenizer, pattern), TokenBytes(names))
+        )
+        nothing = np.zeros(0, np.int32)
+
+        def of_texts(texts):
+            ids, starts, ends, split, back = [], [], [], [], []
+            for text in texts:
+                text = text or ""
+                own = encoder.encode(text)
+                ids.append(own)
+                split.append(encoder.n_split(text, own))
+                back.append(tokens.joined(own))
+                if offsets:
+                    a, b = encoder.offsets(text, own) if len(own) else (nothing, nothing)
+                    starts.append(a)
+                    ends.append(b)
+            places = [number_lists(starts), number_lists(ends)] if offsets else [pa.nulls(len(ids), pa.list_(pa.int32()))] * 2
+            return number_lists(ids), *places, pa.array(split, pa.int64()), pa.array(back, pa.binary())
+
+        return of_texts
+
+    return map_texts(docs, keep, text, MADE, worker)
 
 
 def digests(rows: DataFrame, *keep: str) -> DataFrame:

@@ -15,7 +15,7 @@ LATIN_END = 0x300
 BATCH_BYTES = 4 << 20
 
 
-def _latin_class(kind: str) -> str:
+def latin_class(kind: str) -> str:
     """The members below LATIN_END of ``\\p{L}``, ``\\p{N}`` or white space, as ranges of a character class."""
     import unicodedata
 
@@ -38,10 +38,10 @@ def latin_pattern(pattern: str) -> str | None:
     found, inside = [], False
     for part in re.findall(r"\\p\{\w+\}|\\.|.", pattern, re.DOTALL):
         if part in (r"\p{L}", r"\p{N}", r"\s"):
-            members = _latin_class(part.strip("\\p{}"))
+            members = latin_class(part.strip("\\p{}"))
             found.append(members if inside else f"[{members}]")
         elif part == r"\S" and not inside:
-            found.append(f"[^{_latin_class('s')}]")
+            found.append(f"[^{latin_class('s')}]")
         elif len(part) > 1 and part[1].isalnum():
             return None
         else:
@@ -74,18 +74,19 @@ def is_latin(text: str) -> bool:
 class Memory(dict):
     """Made values by piece. Two generations of ``room`` bytes each: what the older one is asked for moves on."""
 
-    def __init__(self, make: Callable[[str], bytes], room: int) -> None:
+    def __init__(self, make: Callable[[str], object], room: int, weight: Callable[[object], int] = len) -> None:
         super().__init__()
         self.make = make
+        self.weight = weight  # bytes of a value
         self.room = self.left = room
-        self.older: dict[str, bytes] = {}
+        self.older: dict[str, object] = {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, piece: str) -> object:
         value = self.older.pop(piece, None)
         if value is None:
             value = self.make(piece)
         # Some 200 bytes for two objects and their place; four for a character at most.
-        size = 200 + 4 * len(piece) + len(value)
+        size = 200 + 4 * len(piece) + self.weight(value)
         if size * 8 > self.room:
             return value  # a single piece may not fill the memory
         self.left -= size
@@ -122,7 +123,9 @@ def slices(texts, limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
         at = until
 
 
-def map_texts(docs: DataFrame, keep: tuple[str, ...], text: str, made: str, worker: Callable[[], Callable]) -> DataFrame:
+def map_texts(
+    docs: DataFrame, keep: tuple[str, ...], text: str, made: str, worker: Callable[[], Callable], limit: int = BATCH_BYTES
+) -> DataFrame:
     """Columns ``keep`` with the columns ``made`` (DDL) that ``worker()`` returns, as Arrow arrays, for a list of texts.
 
     ``worker`` gets one argument, the list, NULL texts as None. Rows are taken in small batches, so that what a
@@ -137,7 +140,7 @@ def map_texts(docs: DataFrame, keep: tuple[str, ...], text: str, made: str, work
 
         work = worker()
         for batch in batches:
-            for a, b in slices(batch.column(len(keep))):
+            for a, b in slices(batch.column(len(keep)), limit):
                 part = batch.slice(a, b - a)
                 columns = work(part.column(len(keep)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=names)
