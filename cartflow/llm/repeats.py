@@ -39,10 +39,10 @@ MAX_CELLS = 1 << 29
 #: Cells of one part of the sketch: the unit that is sent and merged.
 PART = 1 << 20
 #: Windows held by a task before it counts them, and windows estimated repeated before it groups them.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 CANDIDATE_CHUNK = 1 << 20
 #: Words hashed at once.
-SLICE_WORDS = 1 << 19
+SLICE_WORDS = 1 << 18
 LAST_ID = (1 << 63) - 1
 #: Odd multipliers, fixed values: two sets for the window hash, one for the rows of the sketch.
 _SEED = 0x9E3779B97F4A7C15
@@ -121,6 +121,25 @@ def sketch_cells(hashes, cells: int) -> list:
     return [((_mixed(hashes * m) >> half) * np.uint64(cells) >> half).astype(np.int64) for m in _multipliers(ROWS, 2)]
 
 
+def _columns(held: list[tuple]) -> list:
+    """Parts joined column by column; empties ``held``, so that little is held twice."""
+    import numpy as np
+
+    columns = [list(parts) for parts in zip(*held, strict=True)]
+    held.clear()
+    for i, parts in enumerate(columns):
+        columns[i] = np.concatenate(parts)
+        parts.clear()
+    return columns
+
+
+def _reordered(columns: list, order) -> list:
+    """The columns by ``order`` (places or a mask), changed one after the other."""
+    for i in range(len(columns)):
+        columns[i] = columns[i][order]
+    return columns
+
+
 def encode_gaps(places) -> bytes:
     """Ascending places as gaps in bytes; 255 adds to the next byte."""
     import numpy as np
@@ -155,14 +174,15 @@ def _sketch_parts(cells: int, window: int):
         import pyarrow as pa
 
         def counted(held: list[tuple]):
-            number = np.concatenate([h[0] for h in held])
-            value = np.concatenate([h[1] for h in held])
-            order = np.lexsort((number, value))
-            number, value = number[order], value[order]
+            columns = _columns(held)
+            number, value = _reordered(columns, np.lexsort(columns))
             once = np.ones(len(value), bool)
             once[1:] = (value[1:] != value[:-1]) | (number[1:] != number[:-1])
+            value = value[once]
+            columns.clear()
+            del number, once
             ids, data = [], []
-            for row, places in enumerate(sketch_cells(value[once], cells)):
+            for row, places in enumerate(sketch_cells(value, cells)):
                 places.sort()
                 thrice = np.zeros(len(places), bool)
                 thrice[2:] = places[2:] == places[:-2]
@@ -180,8 +200,8 @@ def _sketch_parts(cells: int, window: int):
                 held.append((number + seen, value))
                 size += len(value)
                 if size >= CHUNK:
-                    yield counted(held)
-                    held, size = [], 0
+                    yield counted(held)  # which empties it
+                    size = 0
             seen += batch.num_rows
         if size:
             yield counted(held)
@@ -259,13 +279,13 @@ def _candidates(bits, cells: int, window: int):
             return found
 
         def grouped(held: list[tuple]):
-            high, low, deal, ids, tags, place = (np.concatenate(x) for x in zip(*held, strict=True))
-            held.clear()
-            order = np.lexsort((place, tags, ids, low, high))
-            high, low, deal, ids, tags, place = (x[order] for x in (high, low, deal, ids, tags, place))
+            columns = _columns(held)
+            high, low, deal, ids, tags, place = _reordered(columns, np.lexsort([columns[i] for i in (5, 4, 3, 1, 0)]))
             once = np.ones(len(high), bool)  # rows equal in id and text have the same windows
             once[1:] = np.any([x[1:] != x[:-1] for x in (high, low, ids, tags, place)], axis=0)
-            high, low, deal, ids, tags, place = (x[once] for x in (high, low, deal, ids, tags, place))
+            del high, low, deal, ids, tags, place
+            high, low, deal, ids, tags, place = _reordered(columns, once)
+            columns.clear()
             starts = np.ones(len(high), bool)
             starts[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
             group = np.cumsum(starts) - 1
@@ -321,8 +341,8 @@ def _candidates(bits, cells: int, window: int):
                 held.append((high[keep], low, deal[keep], ids[number], tags[number], place[keep]))
                 size += len(number)
                 if size >= CANDIDATE_CHUNK:
-                    yield from grouped(held)
-                    held, size = [], 0
+                    yield from grouped(held)  # which empties it
+                    size = 0
         if size:
             yield from grouped(held)
 
