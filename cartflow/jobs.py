@@ -6,19 +6,20 @@ from collections.abc import Collection
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow import ledger
+from cartflow.operators.changes import ROW_HASH, changed_rows, with_row_hash
 from cartflow.operators.dedup import COPIES
-from cartflow.operators.sync_state import ROW_ID, unsynced, with_sync_flag
+from cartflow.operators.sync_state import rejected_rows, with_sync_flag
 from cartflow.plans import documents, runs, staging
 from cartflow.schemas import DOCUMENT_KEYS, DOCUMENT_SCHEMAS, RAW_TABLES, TableSpec
 from cartflow.settings import Settings
-from cartflow.sources.documents import ensure_index, index_count, index_table, upsert_documents
-from cartflow.sources.keyed import KeyedTable
+from cartflow.sources.documents import PublishResult, ensure_index, index_count, index_table, rejects_table, upsert_documents
+from cartflow.sources.keyed import BUCKET, KeyedTable
 from cartflow.sources.raw_tables import load_table
-from cartflow.sources.versioned import VersionedTable
+from cartflow.sources.versioned import VersionedTable, delete_path, path_exists
 
 ORDERS = "orders_enriched"
 STAGING_KEYS = {ORDERS: "order_id", "product_revenue": "product_id", "seller_performance": "seller_id"}
@@ -75,16 +76,23 @@ def _upsert_staging(
 ) -> int:
     """Commit ``rows`` into a staging table; returns how many rows it wrote or changed.
 
-    Every row written gets the new version, so unchanged rows are published again.
+    Every row written gets the new version, so unchanged rows are published again, unless ``Settings.detect_changes``
+    is set: then rows whose hash over the updated columns is that of the committed version are left out, and
+    buckets without a changed row are not rewritten.
     """
     table = staging_table(spark, settings, name)
     version = table.next_version()
     now = F.lit(settings.clock()).cast("timestamp") if settings.clock else F.current_timestamp()
+    stamps = ["updated_at", "row_version"]
+    if settings.detect_changes:
+        compared = [c for c in rows.columns if c != table.key and (update_columns is None or c in update_columns)]
+        rows = changed_rows(table.read_or_none(), with_row_hash(rows, compared), table.key)
+        stamps.append(ROW_HASH)
     stamped = rows.withColumns(
         {"updated_at": now, "row_version": F.lit(version).cast("bigint")}
     )
     if update_columns is not None:
-        update_columns = [*update_columns, "updated_at", "row_version"]
+        update_columns = [*update_columns, *stamps]
     table.merge(stamped, version, update_columns)
     return table.written(version).where(F.col("row_version") == version).count()
 
@@ -109,56 +117,170 @@ def transform(spark: SparkSession, settings: Settings, label: str = "manual") ->
     return run.rows
 
 
-def _published(spark: SparkSession, settings: Settings) -> tuple[int | None, DataFrame | None]:
-    """Last staging version published, and the rows rejected up to it."""
-    through = VersionedTable(spark, settings.sync_state("orders_through")).read_or_none()
-    rejected = VersionedTable(spark, settings.sync_state("orders_rejected")).read_or_none()
-    return (None if through is None else through.first()["version"]), rejected
+#: The version through which a bucket is published, and how many buckets the staging table had then.
+THROUGH = "bucket int, version bigint, buckets int"
+
+
+def _through_table(spark: SparkSession, settings: Settings) -> VersionedTable:
+    return VersionedTable(spark, settings.sync_state("orders_through"))
+
+
+class SyncState:
+    """Up to which staging version each bucket of the orders is published; rejected orders are the index's rejects.
+
+    The state holds one small row for each bucket. If the staging table was dealt into another number of buckets,
+    everything waits again: publishing a document twice leaves the index as it is.
+    """
+
+    def __init__(self, spark: SparkSession, settings: Settings) -> None:
+        self.spark, self.settings = spark, settings
+        self.table = staging_table(spark, settings, ORDERS)
+        self.places = {p["bucket"]: p["version"] for p in self.table.places() if p["bucket"] >= 0}
+        self.buckets = self.table.bucket_count()
+        marks = _through_table(spark, settings)
+        marked = marks.current()
+        rows = [] if marked is None else spark.read.schema(THROUGH).parquet(marks.folder(marked)).collect()
+        self.through = {r["bucket"]: r["version"] for r in rows if r["buckets"] == self.buckets}
+
+    def through_column(self) -> Column:
+        """The version through which the bucket of a row is published."""
+        versions = F.array(*[F.lit(self.through.get(b, 0)).cast("bigint") for b in range(self.buckets)])
+        return F.element_at(versions, F.col(BUCKET) + 1)
+
+    def mark(self, buckets: Collection[int], version: int) -> None:
+        """Record that these buckets are published through ``version``."""
+        self.through |= dict.fromkeys(buckets, version)
+        rows = [(b, v, self.buckets) for b, v in self.through.items()]
+        state = _through_table(self.spark, self.settings)
+        state.write(self.spark.createDataFrame(rows, THROUGH).coalesce(1))
+        state.expire(self.settings.keep)
+
+    def rejected(self) -> DataFrame | None:
+        """Ids of the orders that were rejected; None if there are none."""
+        path = self.settings.index("orders")
+        rejects = rejects_table(self.spark, path)
+        if rejects.current() is None or all(p["bucket"] < 0 for p in rejects.places()):
+            return None
+        kind = self.table.read().schema["order_id"].dataType
+        return rejects.read().select(F.col("_id").cast(kind).alias("order_id"))
+
+    def fresh(self) -> set[int]:
+        """Buckets written since they were published."""
+        return {b for b, version in self.places.items() if version > self.through.get(b, 0)}
+
+    def retried(self, rejected: DataFrame | None) -> set[int]:
+        """Buckets of rejected orders: nothing else is read to try them again."""
+        return set() if rejected is None else self.table.buckets_of(rejected, self.buckets)
+
+    def waiting(self, fresh: Collection[int], retried: Collection[int], rejected: DataFrame | None) -> DataFrame:
+        """Waiting orders of these buckets, with their bucket."""
+        through = self.through_column()
+        rows = self.table.read(buckets=fresh, with_bucket=True).where(F.col("row_version") > through)
+        if not retried:
+            return rows
+        held = self.table.read(buckets=retried, with_bucket=True)
+        return rows.unionByName(rejected_rows(held, through, rejected, ["order_id"]))
 
 
 def orders_table(spark: SparkSession, settings: Settings) -> DataFrame:
     """Enriched orders with ``synced_to_es``."""
-    rows = staging_table(spark, settings, ORDERS).read()
-    return with_sync_flag(rows, *_published(spark, settings))
+    state = SyncState(spark, settings)
+    rows = state.table.read(with_bucket=True)
+    return with_sync_flag(rows, state.through_column(), state.rejected(), ["order_id"]).drop(BUCKET)
 
 
 def unsynced_orders(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Orders that wait: of buckets written since the last publication, and rejected ones."""
-    table = staging_table(spark, settings, ORDERS)
-    through, rejected = _published(spark, settings)
-    waiting = unsynced(table.read(since=through), through, None)
-    if rejected is None or rejected.isEmpty():
-        return waiting
-    return waiting.unionByName(unsynced(table.read(), through, rejected).where(F.col("row_version") <= through))
+    """Orders that wait: of buckets written since their publication, and rejected ones."""
+    state = SyncState(spark, settings)
+    rejected = state.rejected()
+    return state.waiting(state.fresh(), state.retried(rejected), rejected).drop(BUCKET)
 
 
 def publish_orders(spark: SparkSession, settings: Settings) -> int:
-    """Publish all waiting orders and mark them; the batch job and the stream share this and its state."""
-    version = staging_table(spark, settings, ORDERS).current()
-    if version is None:
+    """Publish all waiting orders and mark them; returns documents written.
+
+    ``Settings.batch`` buckets at a time are published and then marked, so a crash repeats one such batch at most,
+    and the next call goes on with the rest. The batch job and the stream share this state.
+    """
+    if staging_table(spark, settings, ORDERS).current() is None:
         return 0
     ensure_index(spark, settings.index("orders"), DOCUMENT_SCHEMAS["orders"], settings.buckets, settings.keep)
-    pending = unsynced_orders(spark, settings)
-    if pending.isEmpty():
-        return 0
-    result = upsert_documents(
+    state = SyncState(spark, settings)
+    version = state.table.current()
+    fresh, retried = state.fresh(), state.retried(state.rejected())
+    waiting = sorted(fresh | retried)
+    indexed = 0
+    for at in range(0, len(waiting), settings.batch):
+        batch = set(waiting[at : at + settings.batch])
+        # The rejects are read anew, as each batch replaces the files of the ones it accepts.
+        rows = state.waiting(fresh & batch, retried & batch, state.rejected() if retried & batch else None)
+        indexed += _publish_order_rows(spark, settings, rows).indexed
+        # Marked only after the documents are committed: a crash in between publishes
+        # the same documents again, which leaves the index unchanged.
+        if batch & fresh:
+            state.mark(batch & fresh, version)
+    return indexed
+
+
+def _publish_order_rows(spark: SparkSession, settings: Settings, rows: DataFrame, keep_equal: bool = False) -> PublishResult:
+    return upsert_documents(
         spark,
-        documents.order_documents(pending, iso_dates=False),
+        documents.order_documents(rows, iso_dates=False),
         settings.index("orders"),
         DOCUMENT_SCHEMAS["orders"],
         DOCUMENT_KEYS["orders"],
         buckets=settings.buckets,
         keep=settings.keep,
+        keep_equal=keep_equal,
     )
-    # Marked only after the documents are committed: a crash in between publishes
-    # the same documents again, which leaves the index unchanged.
-    failed = result.rejects.select(F.col("_id").alias("order_id"))
-    rejected = pending.select(*ROW_ID).join(failed, "order_id", "left_semi")
-    marker = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
-    for name, rows in (("orders_rejected", rejected), ("orders_through", marker)):
-        state = VersionedTable(spark, settings.sync_state(name))
-        state.write(rows)
-        state.expire(settings.keep)
+
+
+def changes_table(spark: SparkSession, settings: Settings) -> VersionedTable:
+    """The feed of changed orders: the rows that staging versions wrote, under the number of the last of them."""
+    return VersionedTable(spark, settings.changes(ORDERS))
+
+
+def append_changes(spark: SparkSession, settings: Settings) -> int | None:
+    """Bring the feed up to the committed staging version, which is returned.
+
+    The feed is written after the commit, so it never holds rows of a failed version. A feed write that died is
+    done again; its readers drop what comes twice. Versions that all buckets are published through are dropped.
+    """
+    committed = staging_table(spark, settings, ORDERS).current()
+    if committed is None:
+        return None
+    feed, state = changes_table(spark, settings), SyncState(spark, settings)
+    last = feed.current()
+    if last is None or last < committed:
+        rows = state.table.read(since=last)
+        if path_exists(spark, feed.folder(committed)):
+            delete_path(spark, feed.folder(committed))
+        feed.write(rows if last is None else rows.where(F.col("row_version") > last), committed)
+    published = min((state.through.get(b, 0) for b in state.places), default=0)
+    for version in feed.committed():
+        if version <= published and version < committed:
+            delete_path(spark, feed.folder(version))
+    return committed
+
+
+def publish_changes(spark: SparkSession, settings: Settings, changed: DataFrame, version: int) -> int:
+    """Publish one batch of changed orders, one row for each order, and all rejected ones; then mark ``version``.
+
+    Rows that the batch job has published meanwhile are left out, unless they were rejected. Equal documents stay as they are,
+    so a batch that comes again changes nothing. ``changed`` is evaluated once.
+    """
+    ensure_index(spark, settings.index("orders"), DOCUMENT_SCHEMAS["orders"], settings.buckets, settings.keep)
+    state = SyncState(spark, settings)
+    dealt = changed.withColumn(BUCKET, state.table.bucket_of(F.col("order_id")))
+    rows = dealt.where(F.col("row_version") > state.through_column())
+    rejected = state.rejected()
+    if rejected is not None:
+        again = state.table.read(buckets=state.retried(rejected), with_bucket=True)
+        rows = rows.unionByName(rejected_rows(again, state.through_column(), rejected, ["order_id"]))
+    result = _publish_order_rows(spark, settings, rows, keep_equal=True)
+    behind = {b for b in state.places if state.through.get(b, 0) < version}
+    if behind:
+        state.mark(behind, version)
     return result.indexed
 
 

@@ -35,8 +35,13 @@ class Settings:
     )
     #: What file names start with; only these exact names are loaded.
     prefix: str = "shop"
-    #: Buckets of a new keyed table: what one changed key rewrites is the table's size divided by them.
+    #: Buckets of a new keyed table: what one changed key rewrites is the table's size divided by them. Take one
+    #: for each 1 to 4 GB of Parquet that the table will hold; ``KeyedTable.deal`` gives a grown table more.
     buckets: int = 16
+    #: Buckets of orders that are published and marked together: a crash repeats as many at most.
+    batch: int = 8
+    #: Whether a transform leaves rows alone that it derives just as they are; by default it writes all of them.
+    detect_changes: bool = False
     #: What time it is, for recorded times; the clock of the machines if not given.
     clock: Callable[[], datetime] | None = None
     #: Committed versions that stay readable; older ones are dropped after each commit.
@@ -55,6 +60,8 @@ class Settings:
             },
             prefix=env.get("CARTFLOW_CSV_PREFIX", "shop"),
             buckets=int(env.get("CARTFLOW_BUCKETS", "16")),
+            batch=int(env.get("CARTFLOW_BATCH", "8")),
+            detect_changes=env.get("CARTFLOW_DETECT_CHANGES", "").lower() in ("1", "true", "yes"),
             keep=int(env.get("CARTFLOW_KEEP_VERSIONS", "3")),
         )
 
@@ -70,6 +77,9 @@ class Settings:
     def sync_state(self, name: str) -> str:
         return f"{self.root}/sync/{name}"
 
+    def changes(self, table: str) -> str:
+        return f"{self.root}/changes/{table}"
+
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks on one machine."""

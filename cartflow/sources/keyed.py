@@ -6,6 +6,8 @@ a ``VersionedTable`` and is written last: a version counts once its manifest is
 
 The number of buckets is set when a table is created. It bounds the rows of the manifest and what a small
 merge rewrites (one bucket for one key); it is no limit on the data, as a bucket may hold any number of files.
+``deal`` gives a table another number. Keys are dealt by their text, so tables that hold one key as a number and as
+text (a staging table and its document index) have it in the same bucket if they have the same number of buckets.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartflow.operators.upsert import upsert
+from cartflow.settings import scratch_path
 from cartflow.sources.versioned import VersionedTable, child_names, delete_path
 
 BUCKETS = 16
@@ -33,6 +36,7 @@ class KeyedTable:
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.buckets, self.keep = buckets, keep
         self.manifest = VersionedTable(spark, f"{self.path}/manifest")
+        self._places: dict[int, list[T.Row]] = {}  # of committed versions, which never change
 
     # --- reading ---
 
@@ -47,21 +51,38 @@ class KeyedTable:
 
     def places(self, version: int | None = None) -> list[T.Row]:
         """``bucket``, ``version``, ``buckets`` and ``schema`` of every bucket: at most as many rows as buckets."""
-        return self.manifest.read(version).orderBy("bucket").collect()
-
-    def _rows(self, places: list[T.Row], schema: T.StructType) -> DataFrame:
+        chosen = self.current() if version is None else version
+        if chosen is None:
+            raise FileNotFoundError(f"no committed version of {self.path}")
+        if chosen not in self._places:
+            rows = self.spark.read.schema(MANIFEST).parquet(self.manifest.folder(chosen)).collect()
+            self._places[chosen] = sorted(rows, key=lambda r: r["bucket"])
+        return self._places[chosen]
+
+    def _rows(self, places: list[T.Row], schema: T.StructType, with_bucket: bool = False) -> DataFrame:
         if not places:
-            return self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn(BUCKET, F.lit(0)) if with_bucket else empty
         folders = [f"{self.path}/data/_v={p['version']}/{BUCKET}={p['bucket']}" for p in places]
         rows = self.spark.read.option("basePath", f"{self.path}/data").schema(schema).parquet(*folders)
-        return rows.select(*schema.fieldNames())
-
-    def read(self, version: int | None = None, since: int | None = None) -> DataFrame:
-        """All rows of a version; with ``since`` only those of buckets that were written after that version."""
+        return rows.select(*schema.fieldNames(), *([BUCKET] if with_bucket else []))
+
+    def read(
+        self,
+        version: int | None = None,
+        since: int | None = None,
+        buckets: Collection[int] | None = None,
+        with_bucket: bool = False,
+    ) -> DataFrame:
+        """All rows of a version, or those of some buckets only; ``since`` names those written after that version."""
         places = self.places(version)
         schema = T.StructType.fromJson(_json(places[0]["schema"]))
-        chosen = [p for p in places if p["bucket"] >= 0 and (since is None or p["version"] > since)]
-        return self._rows(chosen, schema)
+        chosen = [
+            p
+            for p in places
+            if p["bucket"] >= 0 and (since is None or p["version"] > since) and (buckets is None or p["bucket"] in buckets)
+        ]
+        return self._rows(chosen, schema, with_bucket)
 
     def read_or_none(self) -> DataFrame | None:
         chosen = self.current()
@@ -73,16 +94,24 @@ class KeyedTable:
         schema = T.StructType.fromJson(_json(places[0]["schema"]))
         return self._rows([p for p in places if p["version"] == version and p["bucket"] >= 0], schema)
 
-    # --- writing ---
+    def bucket_count(self) -> int:
+        """Buckets of the committed table, or those a first commit will have."""
+        committed = self.current()
+        return self.buckets if committed is None else self.places(committed)[0]["buckets"]
 
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(buckets)).cast("int").alias(BUCKET)
+    def bucket_of(self, key: Column) -> Column:
+        """The bucket of a key of this table."""
+        return _bucket_of(key, self.bucket_count())
+
+    # --- writing ---
 
     def _commit(self, version: int, places: dict[int, int], buckets: int, schema: T.StructType) -> None:
         # Bucket -1 holds no rows; it keeps the schema of a table without any.
         rows = [(b, v, buckets, schema.json()) for b, v in {-1: version, **places}.items()]
         manifest = self.spark.createDataFrame(rows, MANIFEST)
         self.manifest.write(manifest.coalesce(1), version)
+        place = T.Row("bucket", "version", "buckets", "schema")
+        self._places[version] = sorted((place(*row) for row in rows), key=lambda r: r["bucket"])
         self.expire()
 
     def create(self, schema: T.StructType) -> None:
@@ -90,36 +119,77 @@ class KeyedTable:
         if self.current() is None:
             self._commit(self.next_version(), {}, self.buckets, schema)
 
+    def _write(self, rows: DataFrame, version: int, buckets: int) -> dict[int, int]:
+        """Write rows into their buckets; the version of each bucket that got any."""
+        folder = f"{self.path}/data/_v={version}"
+        dealt = rows.withColumn(BUCKET, _bucket_of(F.col(self.key), buckets))
+        # Large buckets become several files, small ones a file each.
+        dealt.hint("rebalance", BUCKET).write.mode("error").partitionBy(BUCKET).parquet(folder)
+        names = (n for n in child_names(self.spark, folder) if n.startswith(f"{BUCKET}="))
+        return {int(n.split("=")[1]): version for n in names}
+
     def merge(
-        self, new: DataFrame, version: int | None = None, update_columns: Collection[str] | None = None
+        self,
+        new: DataFrame,
+        version: int | None = None,
+        update_columns: Collection[str] | None = None,
+        withdrawn: DataFrame | None = None,
+        stamps: Collection[str] = (),
+        touched: Collection[int] | None = None,
     ) -> int:
-        """Commit ``new`` merged into the table (see ``upsert``); only the buckets of its keys are read and rewritten."""
+        """Commit ``new`` merged into the table (see ``upsert``); only the buckets of its keys are read and rewritten.
+
+        The plan of ``new`` is evaluated once: unless the table is still empty, its rows are written down first. A caller
+        that reads them from a file anyway names their buckets in ``touched``. ``withdrawn`` holds keys that leave the table.
+        """
         version = self.next_version() if version is None else version
         committed = self.current()
         held = self.places(committed) if committed is not None else []
         buckets = held[0]["buckets"] if held else self.buckets
         places = {p["bucket"]: p["version"] for p in held if p["bucket"] >= 0}
-        # Only the key is needed here, so most of the plan of ``new`` is pruned; one row for each bucket comes back.
-        touched = {r[0] for r in new.select(self._bucket(buckets)).distinct().collect()}
-        old = None
-        if held:
-            schema = T.StructType.fromJson(_json(held[0]["schema"]))
+        staged, old = None, None
+        if places:
+            if touched is None:
+                staged = scratch_path(self.spark, "merge")
+                new.write.parquet(staged)
+                new = self.spark.read.schema(new.schema).parquet(staged)
+                touched = self.buckets_of(new, buckets)
+            if withdrawn is not None:
+                touched = {*touched, *self.buckets_of(withdrawn, buckets)}
+            known = T.StructType.fromJson(_json(held[0]["schema"]))
+            # Columns that the table does not have yet are NULL in its old rows.
+            schema = T.StructType([*known.fields, *[f for f in new.schema.fields if f.name not in known.names]])
             old = self._rows([p for p in held if p["bucket"] in touched], schema)
-        merged = upsert(old, new, self.key, update_columns)
-        # Large buckets become several files, small ones a file each.
-        rows = merged.select("*", self._bucket(buckets)).hint("rebalance", BUCKET)
-        folder = f"{self.path}/data/_v={version}"
-        rows.write.mode("error").partitionBy(BUCKET).parquet(folder)
-        found = {int(n.split("=")[1]) for n in child_names(self.spark, folder) if n.startswith(f"{BUCKET}=")}
-        self._commit(version, {**places, **dict.fromkeys(found, version)}, buckets, merged.schema)
+        merged = upsert(old, new, self.key, update_columns, withdrawn, stamps)
+        found = self._write(merged, version, buckets)
+        untouched = {b: v for b, v in places.items() if b not in touched}
+        self._commit(version, {**untouched, **found}, buckets, merged.schema)
+        if staged is not None:
+            delete_path(self.spark, staged)
+        return version
+
+    def buckets_of(self, rows: DataFrame, buckets: int | None = None) -> set[int]:
+        """The buckets of the keys of ``rows``: at most as many numbers as there are buckets."""
+        count = self.bucket_count() if buckets is None else buckets
+        return {r[0] for r in rows.select(_bucket_of(F.col(self.key), count)).distinct().collect()}
+
+    def deal(self, buckets: int) -> int:
+        """Commit all rows in another number of buckets, which the table keeps from then on."""
+        version, rows = self.next_version(), self.read()
+        self._commit(version, self._write(rows, version, buckets), buckets, rows.schema)
         return version
 
     def expire(self) -> None:
         """Drop old manifests and the folders of buckets that the kept versions do not use."""
+        if len(self.manifest.committed()) <= self.keep:
+            return
         self.manifest.expire(self.keep)
         kept = self.manifest.committed()
-        manifests = self.spark.read.schema(MANIFEST).parquet(*[self.manifest.folder(v) for v in kept])
-        used = {(p["version"], p["bucket"]) for p in manifests.collect()}
+        unread = [v for v in kept if v not in self._places]
+        manifests = [p for v in kept if v in self._places for p in self._places[v]]
+        if unread:
+            manifests += self.spark.read.schema(MANIFEST).parquet(*[self.manifest.folder(v) for v in unread]).collect()
+        used = {(p["version"], p["bucket"]) for p in manifests}
         newest = max(kept)
         for folder in child_names(self.spark, f"{self.path}/data"):
             if not folder.startswith("_v=") or int(folder[3:]) > newest:
@@ -134,6 +204,10 @@ class KeyedTable:
                     delete_path(self.spark, f"{self.path}/data/{folder}/{child}")
 
 
+def _bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
 def _json(text: str) -> dict:
     import json
 

@@ -225,7 +225,7 @@ class StarViews(Mapping[str, DataFrame]):
         )
 
     def _run_events(self) -> DataFrame:
-        """Every event as a job run: signups are still running, errors have failed."""
+        """Every event as a job run: signups are still running; errors and runs that ended within 15 seconds have failed."""
         kind = F.col("event_type")
         seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value").cast("decimal(18,6)"))
 
@@ -239,13 +239,14 @@ class StarViews(Mapping[str, DataFrame]):
             )
 
         none = F.lit(None)
+        failed = (kind == "error") | (F.col("value") < 15)
         started = step(0, F.lit("running"), F.lit(0), F.col("ts"), none)
         finished = step(
             1,
-            F.when(kind == "error", F.lit("failed")).otherwise(F.lit("success")),
+            F.when(failed, F.lit("failed")).otherwise(F.lit("success")),
             F.col("user_id"),
             F.col("ts") + seconds,
-            F.when(kind == "error", F.col("props")),
+            F.when(failed, F.col("props")),
         )
         steps = F.array_compact(F.array(started, F.when(kind != "signup", finished)))
         return self.star("events").select(
