@@ -684,14 +684,14 @@ def recent_runs(raw):
 
 @query
 def recent_failed_runs(raw):
-    """Failed runs among the last five of two kinds; failed ones before them do not count."""
-    return runs.recent_failed_runs(scenarios.troubled_runs(raw))
+    """Failed runs among the last five of all kinds; failed ones before them do not count."""
+    return runs.recent_failed_runs(runs.run_state(raw["run_events"]))
 
 
 @query
 def health_checks(raw):
     docs = documents.order_documents(_enriched(raw), iso_dates=False)
-    return runs.health_checks(raw["orders"], docs, scenarios.troubled_runs(raw))
+    return runs.health_checks(raw["orders"], docs, runs.run_state(raw["run_events"]))
 
 
 @with_spark

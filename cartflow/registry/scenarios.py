@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartflow.functions import iso_text
-from cartflow.plans.runs import run_state
 from cartflow.sources.star import StarViews
 
 #: Orders known at the first run, and orders still delivered by the second run.
@@ -17,10 +16,6 @@ KEPT_SINCE = "1996-01-01"
 PUBLISHED_THROUGH = 4
 
 
-#: Kinds of runs in the history that the failure checks look at.
-TROUBLED = ("error", "signup")
-
-
 def _moment(text: str):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -72,12 +67,6 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("total_payment") == 0).select("order_id", "row_version")
 
 
-def troubled_runs(raw: StarViews) -> DataFrame:
-    """States of the runs that failed or are still running."""
-    state = run_state(raw["run_events"])
-    return state.where(F.col("run_type").isin(*TROUBLED))
-
-
 def text_documents(raw: StarViews) -> DataFrame:
     """Order documents as text, some with words where the index wants numbers."""
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
