@@ -8,6 +8,11 @@ Of two tokens that end together in one text the shorter is a suffix of the longe
 from the vocabularies alone (some 10^5 pairs): links are kept as places in that list, and the corpus-wide counts
 are at most one number for each place. They are summed with a map-side step and broadcast, whatever the input's size.
 
+Neither tokenizer has a token that goes on over white space behind another character, or over a mark of punctuation behind a
+letter or digit. So tokens of both lists end there, texts are cut there, and equal stretches are aligned once: a worker
+keeps those it has met, up to a bound in bytes, and aligns those that are new in a batch of texts together. If a vocabulary has
+such a token, or a text has characters beyond U+0300, the text is aligned whole.
+
 Three passes, so that no text is encoded twice: encode and slice, written to the shared folder with one small number
 for each link; count the pairs; look the counts up.
 
@@ -18,47 +23,55 @@ Empty tables have no rows and no counts. Columns other than those asked for are
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Callable
+from itertools import accumulate, chain
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartflow.llm.byte_bpe import byte_table
 from cartflow.llm.common import materialize, table
-from cartflow.llm.pieces import Memory, Splitter, is_latin, map_texts, number_lists, once_a_worker
+from cartflow.llm.pieces import Memory, Splitter, is_latin, latin_class, map_texts, once_a_worker
 
 LEFT = "byte_bpe_50k.json"
 RIGHT = "piece_bpe_32k.model"
-#: Bytes of pieces a worker remembers, in each of two generations.
-ROOM = 64 << 20
-MADE = "n_a bigint, n_b bigint, n_groups bigint, groups string, links array<int>"
+#: Bytes of stretches a worker remembers, in each of two generations.
+ROOM = 40 << 20
+#: Bytes of texts that are aligned together.
+TEXT_BYTES = 2 << 20
+#: Merged into a piece model, this turns off the blank that it puts before each text: the normalizer's settings
+#: (field 3) with only their third field. Blanks are then put by whoever encodes.
+NO_BLANK = bytes([3 << 3 | 2, 2, 3 << 3, 0])
+MADE = "n_a bigint, n_b bigint, n_groups bigint, groups string, links binary"
 
 
 class ByteLevel:
-    """A byte-level BPE tokenizer file at work: ids of a text and the bytes of each token."""
+    """A byte-level BPE tokenizer file at work."""
 
-    def __init__(self, settings: str, pattern: str, room: int = ROOM) -> None:
+    def __init__(self, settings: str, pattern: str) -> None:
         import os
-        from array import array
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.whole = Tokenizer.from_str(settings)
-        self.whole.encode_special_tokens = True  # their strings in a text are plain text
-        # The same merges for pieces that are split already.
-        single = Tokenizer.from_str(settings)
-        single.encode_special_tokens = True
-        single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(settings)
+        self.library.encode_special_tokens = True  # their strings in a text are plain text
+        self.merge = self.library.model.tokenize
+        self.characters = dict(enumerate(byte_table()))
         self.split = Splitter(pattern).latin
-        self.memory = Memory(lambda piece: array("i", single.encode(piece, add_special_tokens=False).ids).tobytes(), room)
 
-    def encode(self, text: str):
-        import numpy as np
+    def encode(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
 
-        if is_latin(text):
-            return np.frombuffer(b"".join(map(self.memory.__getitem__, self.split(text))), np.int32)
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.int32)  # classes as the library has them
+    def encode_latin(self, text: str) -> list[int]:
+        """The same for a short Latin text: its pieces merged one by one."""
+        merge, characters = self.merge, self.characters
+        return [
+            token.id for piece in self.split(text) for token in merge(piece.encode().decode("latin-1").translate(characters))
+        ]
 
 
 def byte_level_tokens(settings: str) -> list[bytes]:
@@ -87,20 +100,6 @@ def piece_tokens(model: bytes) -> list[bytes]:
     return found
 
 
-class TokenTable:
-    """Bytes of a vocabulary: sizes by id, and the bytes that a list of ids joins to."""
-
-    def __init__(self, tokens: list[bytes]) -> None:
-        import numpy as np
-
-        self.tokens = tokens
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
-        self.names = [str(i) for i in range(len(tokens))]
-
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
 def linkable_pairs(left: list[bytes], right: list[bytes]):
     """Sorted codes ``a * len(right) + b`` of all id pairs of which one token is a suffix of the other."""
     import numpy as np
@@ -123,11 +122,22 @@ def linkable_pairs(left: list[bytes], right: list[bytes]):
     return np.array(sorted(codes), np.int64)
 
 
-def sliced(left_ends: list[int], right_ends: list[int]) -> list[tuple[int, int]]:
-    """Index pairs, end exclusive, up to which the two lists are cut: one for each common end, in order."""
-    left = {end: i for i, end in enumerate(left_ends, 1)}
-    right = {end: j for j, end in enumerate(right_ends, 1)}
-    return [(left[end], right[end]) for end in sorted(left.keys() & right.keys())]
+def ends(ids: list[int], sizes) -> dict[int, int]:
+    """From the byte where a token ends to its index, counted from one."""
+    return dict(zip(accumulate(map(sizes.__getitem__, ids)), range(1, len(ids) + 1), strict=True))
+
+
+def sliced(left: dict[int, int], right: dict[int, int]) -> tuple[list[int], list[int]]:
+    """Indices, end exclusive, up to which the two lists are cut: one of each for every common end, in order."""
+    common = sorted(left.keys() & right.keys())
+    return list(map(left.__getitem__, common)), list(map(right.__getitem__, common))
+
+
+#: A Latin text, cut before each blank, line end or tab that stands behind a character that is no white space, and before
+#: each mark that stands behind a letter or digit.
+stretches = re.compile(
+    rf"(?s).(?:[^ \t\n.,;:!?]++|(?<=[{latin_class('s')}])[ \t\n]|(?<![{latin_class('L')}0-9])[.,;:!?])*+"
+).findall
 
 
 class Vocabularies:
@@ -137,6 +147,9 @@ class Vocabularies:
         self.left, self.pattern, self.right = left, pattern, right
         self.left_tokens, self.right_tokens = byte_level_tokens(left), piece_tokens(right)
         self.pairs = linkable_pairs(self.left_tokens, self.right_tokens)
+        # The left one splits texts by a pattern that begins a new piece at each cut; its tokens show that.
+        tokens = [t.decode("utf-8", "replace") for t in (*self.left_tokens, *self.right_tokens)]
+        self.local = not any(len(stretches(t)) > 1 for t in tokens)
 
     def right_of_pairs(self):
         return self.pairs % len(self.right_tokens)
@@ -149,55 +162,114 @@ def default_vocabularies() -> Vocabularies:
         return Vocabularies(left.read(), public_tokenizers.PATTERN, right.read())
 
 
+class Aligned(NamedTuple):
+    """Token counts, number of groups, the groups as text, links as 64-bit codes of id pairs."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    links: bytes
+
+
+NOTHING = Aligned(0, 0, 0, "", b"")
+_UNKNOWN = object()
+
+
 class Aligner:
     """Aligns texts in one process."""
 
     def __init__(self, known: Vocabularies, room: int = ROOM) -> None:
+        import numpy as np
         import sentencepiece
 
-        self.byte_level = ByteLevel(known.left, known.pattern, room)
-        self.pieces = sentencepiece.SentencePieceProcessor(model_proto=known.right)
-        self.left, self.right = TokenTable(known.left_tokens), TokenTable(known.right_tokens)
+        self.left = ByteLevel(known.left, known.pattern)
+        self.right = sentencepiece.SentencePieceProcessor(model_proto=known.right + NO_BLANK)
+        self.tokens = known.left_tokens, known.right_tokens
+        self.sizes = tuple(array("i", map(len, tokens)) for tokens in self.tokens)
+        self.names = tuple(list(map(str, range(len(tokens)))) for tokens in self.tokens)
+        # Names with what follows them: within their half of a group, and at the end of the half.
+        self.within = tuple(np.array([f"{n}," for n in names], object) for names in self.names)
+        self.last = tuple(np.array([n + end for n in names], object) for names, end in zip(self.names, "|;", strict=True))
         self.pairs = known.pairs
+        self.local = known.local
+        # What a batch needs beside the memory: new stretches, and those that the memory might lose meanwhile.
+        self.fresh: dict[str, Aligned | None] = {}
+        self.ageing: dict[str, Aligned | None] = {}
+        self.memory = Memory(self._found, room, lambda found: 150 + len(found.groups) + len(found.links) if found else 0)
+
+    def _found(self, stretch: str) -> Aligned | None:
+        for known in (self.fresh, self.ageing):
+            found = known.get(stretch, _UNKNOWN)
+            if found is not _UNKNOWN:
+                return found
+        return self.whole(stretch)
+
+    def whole(self, spaced: str) -> Aligned | None:
+        """A stretch, or a text behind a blank; None if its bytes are not those of both id lists."""
+        return self.together([spaced], [self.left.encode(spaced)], [self.right.encode(spaced, num_threads=1)])[0]
+
+    def together(self, stretches: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> list[Aligned | None]:
+        """Stretches aligned as one text: wherever one ends, tokens of both sides do."""
+        import numpy as np
 
-    def both(self, text: str):
-        """Both id lists, or None if the text has none."""
+        a, b = list(chain.from_iterable(a_lists)), list(chain.from_iterable(b_lists))
+        data = "".join(stretches).encode()
+        if any(b"".join(map(tokens.__getitem__, ids)) != data for tokens, ids in zip(self.tokens, (a, b), strict=True)):
+            # Some stretch differs from one of its lists.
+            if len(stretches) == 1:
+                return [None]
+            return [x for one in zip(stretches, a_lists, b_lists, strict=True) for x in self.together(*([part] for part in one))]
+        a_ends, b_ends = ends(a, self.sizes[0]), ends(b, self.sizes[1])
+        a_cuts, b_cuts = (np.array(cuts, np.int64) for cuts in sliced(a_ends, b_ends))
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        # Only the last tokens of a slice end at its end.
+        links = a[a_cuts - 1] * len(self.tokens[1]) + b[b_cuts - 1]
+        names = np.empty(len(a) + len(b), object)
+        a_names, b_names = self.within[0][a], self.within[1][b]
+        a_names[a_cuts - 1], b_names[b_cuts - 1] = self.last[0][a[a_cuts - 1]], self.last[1][b[b_cuts - 1]]
+        # A name stands behind those of all earlier slices, and one of the right behind those of the left.
+        names[np.arange(len(a)) + np.repeat(b_cuts - np.diff(b_cuts, prepend=0), np.diff(a_cuts, prepend=0))] = a_names
+        names[np.arange(len(b)) + np.repeat(a_cuts, np.diff(b_cuts, prepend=0))] = b_names
+        names, links = names.tolist(), links.tobytes()
+        # Where each stretch ends: in both lists, and in the slices.
+        a_sizes, b_sizes = list(map(len, a_lists)), list(map(len, b_lists))
+        slices = np.searchsorted(a_cuts, np.cumsum(a_sizes), "right").tolist()
+        made, at, first = [], 0, 0
+        for n_a, n_b, end in zip(a_sizes, b_sizes, slices, strict=True):
+            text = "".join(names[at : at + n_a + n_b])[:-1]
+            made.append(Aligned(n_a, n_b, end - first, text, links[8 * first : 8 * end]))
+            at, first = at + n_a + n_b, end
+        return made
+
+    def align(self, texts: list[str]) -> list[Aligned]:
+        """A batch of texts."""
+        cut = [stretches(" " + text) if text and self.local and is_latin(text) else None for text in texts]
+        held, older = self.memory, self.memory.older
+        new = list({s for own in cut if own for s in own if s not in held and s not in older})
+        lists = list(map(self.left.encode_latin, new)), self.right.encode(new, num_threads=1) if new else []
+        self.fresh, self.ageing = dict(zip(new, self.together(new, *lists), strict=True)) if new else {}, older
+        return [self._joined(text, own) for text, own in zip(texts, cut, strict=True)]
+
+    def _joined(self, text: str, own: list[str] | None) -> Aligned:
         if not text:
-            return None
-        spaced = " " + text
-        a, b = self.byte_level.encode(spaced), self.pieces.encode(text, num_threads=1)
-        listed, data = a.tolist(), spaced.encode()
-        if self.left.joined(listed) != data or self.right.joined(b) != data:
-            return None
-        return a, b, listed
-
-    def align(self, text: str):
-        """Token counts, groups as text, and the links as places in the list of pairs."""
+            return NOTHING
+        if own is not None:
+            found = list(map(self.memory.__getitem__, own))
+            if None not in found:
+                n_a, n_b, n_groups, groups, links = zip(*found, strict=True)
+                return Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+        return self.whole(" " + text) or NOTHING
+
+    def places(self, links: bytes) -> bytes:
+        """Links as 32-bit places in the list of pairs."""
         import numpy as np
 
-        found = self.both(text)
-        if found is None:
-            return 0, 0, 0, "", np.zeros(0, np.int32)
-        a, b, listed = found
-        right = np.array(b, np.int64)
-        cuts = sliced(np.cumsum(self.left.sizes[a]).tolist(), np.cumsum(self.right.sizes[right]).tolist())
-        a_names = list(map(self.left.names.__getitem__, listed))
-        b_names = list(map(self.right.names.__getitem__, b))
-        groups, i, j = [], 0, 0
-        for to_i, to_j in cuts:
-            groups.append(
-                (a_names[i] if to_i == i + 1 else ",".join(a_names[i:to_i]))
-                + "|"
-                + (b_names[j] if to_j == j + 1 else ",".join(b_names[j:to_j]))
-            )
-            i, j = to_i, to_j
-        last = np.array(cuts, np.int64) - 1
-        codes = a[last[:, 0]].astype(np.int64) * len(self.right.tokens) + right[last[:, 1]]
-        return len(listed), len(b), len(cuts), ";".join(groups), np.searchsorted(self.pairs, codes).astype(np.int32)
+        return np.searchsorted(self.pairs, np.frombuffer(links, np.int64)).astype("<i4").tobytes()
 
 
 def aligned(docs: DataFrame, made, *keep: str, text: str = "text") -> DataFrame:
-    """Columns ``keep`` with token counts, ``groups`` (``a1,a2|b1;a3|b2,b3``) and ``links`` (places in the pairs' list).
+    """Columns ``keep`` with token counts, ``groups`` (``a1,a2|b1;a3|b2,b3``) and ``links`` (32-bit places in the pairs' list).
 
     ``made`` is the broadcast :class:`Vocabularies`.
     """
@@ -209,13 +281,13 @@ def aligned(docs: DataFrame, made, *keep: str, text: str = "text") -> DataFrame:
         aligner = once_a_worker("aligner", (hash(known.left), hash(known.right)), lambda: Aligner(known))
 
         def of_texts(texts):
-            rows = [aligner.align(text or "") for text in texts]
-            numbers = [pa.array([row[k] for row in rows], pa.int64()) for k in range(3)]
-            return *numbers, pa.array([row[3] for row in rows], pa.string()), number_lists([row[4] for row in rows])
+            n_a, n_b, n_groups, groups, links = zip(*aligner.align([text or "" for text in texts]), strict=True)
+            numbers = [pa.array(n, pa.int64()) for n in (n_a, n_b, n_groups)]
+            return *numbers, pa.array(groups, pa.string()), pa.array(map(aligner.places, links), pa.binary())
 
         return of_texts
 
-    return map_texts(docs, keep, text, MADE, worker)
+    return map_texts(docs, keep, text, MADE, worker, TEXT_BYTES)
 
 
 def pair_counts(rows: DataFrame, made) -> DataFrame:
@@ -227,8 +299,7 @@ def pair_counts(rows: DataFrame, made) -> DataFrame:
 
         total = np.zeros(len(made.value.pairs), np.int64)
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            total += np.bincount(values, minlength=len(total))
+            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i4"), minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["pair", "n"])
 
@@ -251,17 +322,16 @@ def link_scores(rows: DataFrame, made, counts, *keep: str) -> DataFrame:
         highest = np.zeros(len(made.value.right_tokens), np.int64)
         np.maximum.at(highest, right, counts.value)
         best = counts.value == highest[right]
-
-        def by_row(values, ends):
-            return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[ends])
-
-        for links in batches:
-            values = links.values.to_numpy(zero_copy_only=False)
-            ends = links.offsets.to_numpy()
-            columns = [pa.array(by_row(found[values], ends), pa.int64()) for found in (best, counts.value)]
-            yield pa.StructArray.from_arrays(columns, ["n_best", "count_sum"])
-
-    scored = rows.select(*keep, F.size("links").cast("bigint").alias("n_links"), scores("links").alias("s"))
+        for packed in batches:
+            n_best, sums = [], []
+            for links in packed:
+                places = np.frombuffer(links.as_py(), "<i4")
+                n_best.append(int(best[places].sum()))
+                sums.append(int(counts.value[places].sum()))
+            yield pa.StructArray.from_arrays([pa.array(n_best, pa.int64()), pa.array(sums, pa.int64())], ["n_best", "count_sum"])
+
+    n_links = (F.length("links") / 4).cast("bigint").alias("n_links")
+    scored = rows.select(*keep, n_links, scores("links").alias("s"))
     return scored.select(*keep, "n_links", "s.*")
 
 

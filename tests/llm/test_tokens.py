@@ -276,9 +276,37 @@ def test_linkable_pairs_are_suffixes():
 
 
 def test_slices_end_together():
-    assert alignment.sliced([1, 3, 6], [3, 4, 6]) == [(2, 1), (3, 3)]
-    assert alignment.sliced([2], [1, 2]) == [(1, 2)]
-    assert alignment.sliced([], []) == []
+    sizes = [1, 2, 3]
+    assert alignment.ends([0, 1, 2], sizes) == {1: 1, 3: 2, 6: 3}
+    assert alignment.sliced({1: 1, 3: 2, 6: 3}, {3: 1, 4: 2, 6: 3}) == ([2, 3], [1, 3])
+    assert alignment.sliced({2: 1}, {1: 1, 2: 2}) == ([1], [2])
+    assert alignment.sliced({}, alignment.ends([], sizes)) == ([], [])
+
+
+def test_stretches_are_aligned_as_the_whole_text():
+    known = alignment.default_vocabularies()
+    assert known.local
+    aligner = alignment.Aligner(known, room=40_000)
+    rng = random.Random(12)
+    parts = ["the", "Of", "naïve", "x1", "...", "it's", "42", "—", "<s>", "\x1c", "\x85", "\xa0", "'", "a.b", "▁", "ß", "\x00", "I'LL", "(("]
+    blanks = [" ", " ", " ", "  ", "   ", "\n", " \n", "\n ", "\n  ", "\t", " \t ", "", "\r\n", "\xa0", " \xa0 ", "\x0b "]
+    for _ in range(60):
+        texts = []
+        for _ in range(50):
+            text = "".join(rng.choice(parts) + rng.choice(blanks) for _ in range(rng.randint(0, 9)))
+            texts.append(rng.choice(["", "", " ", "\n"]) + text)
+        for text, found in zip(texts, aligner.align(texts), strict=True):
+            assert found == ((aligner.whole(" " + text) or alignment.NOTHING) if text else alignment.NOTHING), repr(text)
+
+
+def test_a_stretch_that_differs_is_told_from_the_others():
+    aligner = alignment.Aligner(alignment.default_vocabularies())
+    words = [" the", " cat", " sat"]
+    lists = [aligner.left.encode(w) for w in words], [aligner.right.encode(w, num_threads=1) for w in words]
+    alone = [aligner.whole(w) for w in words]
+    assert aligner.together(words, *lists) == alone
+    lists[1][1] = lists[1][2]
+    assert aligner.together(words, *lists) == [alone[0], None, alone[2]]
 
 
 # --- 13 ---
