@@ -6,6 +6,10 @@ before and keeping for each rewritten stretch where it came from, so mixed disgu
 patterns run on the last result and their spans are mapped back step by step. Spans inside one base span of their kind add nothing; wider
 ones stand beside the base spans, which may be only a fragment of a partly disguised identifier.
 
+A bare " at " alone is prose ("sold at example.com"): it makes an address only with a second sign of disguise, which is
+a bare or bracketed dot or a rewritten character in the same address, or after a word of contact ("mail jane at example.com").
+Words of prose, such as "us" or "available", and hosts that start with "www." are never made addresses by a bare " at ".
+
 Texts are scanned whole, in one pass each and without backtracking over long runs; NULL and empty texts
 have no spans; rows are scanned one by one, and other columns are carried along whatever their names.
 """
@@ -83,8 +87,8 @@ def found(text: str) -> list[tuple[str, int, int]]:
 #: Letters of other scripts that look like Latin ones (fixed values).
 LOOKALIKES = dict(
     zip(
-        "аеорсухіјѕԁһԛԝьАВЕКМНОРСТУХІЈЅ" "οαινρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
-        "aeopcyxijsdhqwbABEKMHOPCTYXIJS" "oaivptukABEZHIKMNOPTYX",
+        "аеорсухіјѕԁһԛԝьАВЕКМНОРСТУХІЈЅ" "οαινρτυκΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "ɑɡıɩʏʀʟɴᴄᴏᴠᴢ",
+        "aeopcyxijsdhqwbABEKMHOPCTYXIJS" "oaivptukABEZHIKMNOPTYX" "agiiyrlncovz",
         strict=True,
     )
 )
@@ -121,6 +125,11 @@ class _Plain(dict):
                 plain = "-"
             elif char in _BLANKS:
                 plain = " "
+            elif unicodedata.category(char) in ("Lu", "Ll", "So"):
+                # Mathematical, circled and other letters that stand for a plain one.
+                folded = unicodedata.normalize("NFKC", char)
+                if len(folded) == 1 and folded.isascii():
+                    plain = folded
         self[code] = plain
         return plain
 
@@ -235,6 +244,34 @@ def source_span(start: int, end: int, stretches: Stretches, firsts: list[int]) -
     return at(start)[0], at(end - 1)[1]
 
 
+#: Words that stand before " at " in prose and are no names (fixed values).
+PROSE = frozenset(
+    "a about again all also and any anyone are around arrive arrived as available back be been bought but buy buying call called "
+    "check checked click come day directly down download downloaded eat everyone find for found free from get go going good had hand "
+    "has have he help her here hers him his home hosted i information is it items join just last listed live lived living look "
+    "looked looking looks me meet meeting met more most my new not now of offered on once one online only open or order ordered our "
+    "ours out over page people play price prices published read register registered said sale saw school see seen sell selling she "
+    "shop shopping shown sign site sold stay store stored store's that the them then there these they this those time to today "
+    "up us visit was we website week went were what when which while who with work worked working works you your yours".split()
+)
+#: Words that say that an address follows (fixed values).
+_CONTACT = re.compile(r"(?:\be-?mails?|\bmail(?:\x20me|\x20us)?|\bcontact|\bwrite\x20to|\bwrites?|\breach|\baddress)(?:\x20to)?:?\x20$", re.IGNORECASE)
+_BARE_AT = re.compile(r"([^\s@]+(?:\x20dot\x20[^\s@]+)*)\x20at\x20(.*)", re.IGNORECASE | re.DOTALL)
+_PLAIN_HOST = re.compile(rf"{_LABEL}(?:\.{_LABEL})+")
+
+
+def _prose(text: str, start: int, end: int) -> bool:
+    """Whether what was taken for an address is a bare " at " of prose."""
+    parts = _BARE_AT.fullmatch(text, start, end)
+    if parts is None:
+        return False
+    name, host = parts[1], parts[2]
+    if name.lower() in PROSE or host.lower().startswith("www."):
+        return True
+    plain = name.isascii() and _PLAIN_HOST.fullmatch(host) is not None and " " not in name
+    return plain and _CONTACT.search(text, max(0, start - 20), start) is None
+
+
 def find(text: str, plain: dict[int, str] | None = None) -> list[Span]:
     """Base spans and those found behind disguises."""
     base = found(text)
@@ -246,7 +283,7 @@ def find(text: str, plain: dict[int, str] | None = None) -> list[Span]:
         for kind, start, end in found(rewritten):
             for way in ways:
                 start, end = source_span(start, end, *way)
-            if not known[kind].cover(start, end):
+            if not known[kind].cover(start, end) and not (kind == "email" and _prose(text, start, end)):
                 spans.append((kind, start, end, False))
     return ordered(spans, KINDS)
 
