@@ -3,8 +3,8 @@
 Texts and items are lower-cased (A-Z) and cut into words of ASCII letters, digits and any non-ASCII
 characters. The automaton's symbols are words, so a text is scanned once, word by word, and hits
 are mapped back to code points of the original text. NULL and blank texts have no words and no hits; items
-without words or without an id are left out; repeated items count once; repeated documents are
-judged one by one. Columns of the documents are carried along whatever their names.
+without words are left out; the windows of items without an id hit like all others, but there is no id to list;
+repeated items count once; repeated documents are judged one by one. Columns of the documents are carried along whatever their names.
 """
 
 from __future__ import annotations
@@ -37,17 +37,17 @@ def item_words(text: bytes | None) -> list[bytes]:
 
 def item_blocks(
     items: DataFrame, id_col: str, text_col: str, limit: int, window: int = WINDOW
-) -> Iterator[list[tuple[str, bytes]]]:
+) -> Iterator[list[tuple[str | None, bytes]]]:
     """Items as (id, normalised words), in blocks of at most ``limit`` words (or one window); one block is held at a time.
 
     Items that do not fit are cut into pieces that overlap by all but one word of a window, so each of their windows lies
     in one piece.
     """
     limit = max(limit, window)
-    rows = items.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = items.filter(F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text")
     )
-    block: list[tuple[str, bytes]] = []
+    block: list[tuple[str | None, bytes]] = []
     size = 0
     for row in rows.toLocalIterator():
         words = item_words(bytes(row["text"]))
@@ -64,7 +64,7 @@ def item_blocks(
         yield block
 
 
-def build_automaton(block: list[tuple[str, bytes]], window: int) -> tuple[object, dict[bytes, int]]:
+def build_automaton(block: list[tuple[str | None, bytes]], window: int) -> tuple[object, dict[bytes, int]]:
     """The automaton over word numbers, with ``(length, item ids)`` at each window, and the numbers of the words."""
     import ahocorasick
 
@@ -73,7 +73,7 @@ def build_automaton(block: list[tuple[str, bytes]], window: int) -> tuple[object
     for item, text in block:
         words = [numbers.setdefault(w, len(numbers) + 1) for w in text.split()]
         for i in range(max(1, len(words) - window + 1)) if words else ():
-            owners.setdefault(tuple(words[i : i + window]), set()).add(item)
+            owners.setdefault(tuple(words[i : i + window]), set()).update([] if item is None else [item])
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for key, ids in owners.items():
         automaton.add_word(key, (len(key), sorted(ids)))
@@ -189,7 +189,7 @@ def oracle_sql() -> str:
     words = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
     return f"""
-WITH item AS (SELECT item_id, {words} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT item_id, {words} AS w FROM benchmark),
 pattern AS (
   SELECT DISTINCT item_id, m, array_to_string(w[g:g + m - 1], ' ') AS k
   FROM (SELECT item_id, w, least({WINDOW}, len(w)) AS m, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS g
@@ -204,7 +204,7 @@ hit AS (
 covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(g, g + m)) AS p FROM hit) GROUP BY r),
 named AS (
   SELECT r, count(*) AS n, string_agg(i, ',' ORDER BY encode(i)) AS ids
-  FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hit) GROUP BY r)
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered AS c USING (r) LEFT JOIN named AS i USING (r)
