@@ -1,8 +1,9 @@
 """Quality rules: a threshold table compiled into one projection of built-in expressions.
 
 Every text is measured as a whole; NULL counts as a text without words. Rows are judged one by
-one, so repeated rows get equal verdicts, and only the text column is looked at, so other
-columns may have any names.
+one, so repeated rows get equal verdicts, and only the text and its language are looked at, so other
+columns may have any names. Stop words are asked of texts in the languages whose words are listed; a text in another
+language, or whose language is NULL or not given, is judged by the other rules.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ from cartflow.llm.common import let, table, words
 
 SYMBOLS = "#*$%&|<>"
 BULLETS = ("-", "*", "•", "‣", "·", "|")
-#: Frequent function words of English, French, German and Spanish, as they stand inside and at the start of sentences.
+#: Languages whose stop words are listed.
+LANGUAGES = ("en", "fr", "de", "es")
+#: Frequent function words of these languages, as they stand inside and at the start of sentences and in capitals.
 STOP_WORDS = tuple(
     form
     for word in (
@@ -25,7 +28,7 @@ STOP_WORDS = tuple(
         "der die das und ist ein eine zu von den mit für auf nicht im dem "
         "el los las del y se no con una su para es por lo como"
     ).split()
-    for form in (word, word.capitalize())
+    for form in dict.fromkeys((word, word.capitalize(), word.upper()))
 )
 
 
@@ -33,7 +36,7 @@ STOP_WORDS = tuple(
 class Rule:
     """``measure`` must lie between ``low`` and ``high`` times ``per`` (a measure, or one if None).
 
-    Bounds are compared as products, so a text without words or lines divides by nothing.
+    A rule with ``langs`` holds for texts in these languages only. Bounds are compared as products, so a text without words or lines divides by nothing.
     """
 
     name: str
@@ -41,6 +44,7 @@ class Rule:
     per: str | None = None
     low: float | None = None
     high: float | None = None
+    langs: tuple[str, ...] | None = None
 
 
 #: Rejected by the base: short texts, and texts most of whose words stand in repeated 3-word windows.
@@ -52,7 +56,7 @@ BASE_RULES = (
 METHOD_RULES = (
     Rule("word_length", "word_chars", "n_words", low=2.5, high=15.0),
     Rule("symbols", "n_symbols", "n_words", high=0.1),
-    Rule("stop_words", "n_stop_words", low=2),
+    Rule("stop_words", "n_stop_words", low=2, langs=LANGUAGES),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=0.9),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", high=0.3),
@@ -131,21 +135,27 @@ def measures(text: Column) -> Column:
     return let(words(text), lambda tokens: let(lines, lambda ls: build(tokens, ls)))
 
 
-def _fails(rule: Rule, found: Column) -> Column:
+def _fails(rule: Rule, found: Column, lang: Column) -> Column:
     value, unit = found[rule.measure], found[rule.per] if rule.per else F.lit(1)
     low = F.lit(False) if rule.low is None else value < unit * F.lit(rule.low)
     high = F.lit(False) if rule.high is None else value > unit * F.lit(rule.high)
-    return low | high
+    if rule.langs is None:
+        return low | high
+    main = F.lower(F.substring_index(lang, "-", 1))  # "en-GB" is English
+    return (low | high) & F.coalesce(main.isin(*rule.langs), F.lit(False))
 
 
-def verdict(text: Column, base: tuple[Rule, ...] = BASE_RULES, method: tuple[Rule, ...] = METHOD_RULES) -> Column:
+def verdict(
+    text: Column, lang: Column | None = None, base: tuple[Rule, ...] = BASE_RULES, method: tuple[Rule, ...] = METHOD_RULES
+) -> Column:
     """Struct of the measures, ``base_failed``, ``kept`` and the names of the failed rules in table order."""
+    lang = F.lit(None).cast("string") if lang is None else lang.cast("string")
 
     def judge(found: Column) -> Column:
         failed = F.filter(
-            F.array(*[F.when(_fails(r, found), F.lit(r.name)) for r in (*base, *method)]), lambda n: n.isNotNull()
+            F.array(*[F.when(_fails(r, found, lang), F.lit(r.name)) for r in (*base, *method)]), lambda n: n.isNotNull()
         )
-        base_failed = F.exists(F.array(*[_fails(r, found) for r in base]), lambda x: x)
+        base_failed = F.exists(F.array(*[_fails(r, found, lang) for r in base]), lambda x: x)
         return let(
             failed,
             lambda names: F.struct(
@@ -159,15 +169,19 @@ def verdict(text: Column, base: tuple[Rule, ...] = BASE_RULES, method: tuple[Rul
     return let(measures(text), judge)
 
 
-def judged(docs: DataFrame, *keep: str, text: str = "text", **tables: tuple[Rule, ...]) -> DataFrame:
+def _lang(docs: DataFrame, name: str) -> Column | None:
+    return F.col(name) if name in docs.columns else None
+
+
+def judged(docs: DataFrame, *keep: str, text: str = "text", lang: str = "lang", **tables: tuple[Rule, ...]) -> DataFrame:
     """Columns ``keep`` of every row with its measures and verdict."""
-    result = verdict(F.col(text), **tables)
+    result = verdict(F.col(text), _lang(docs, lang), **tables)
     return docs.select(*keep, F.inline(F.array(result)))
 
 
-def kept_rows(docs: DataFrame, text: str = "text") -> DataFrame:
+def kept_rows(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Rows that pass all rules, with exactly the columns they came with."""
-    return docs.filter(verdict(F.col(text))["kept"])
+    return docs.filter(verdict(F.col(text), _lang(docs, lang))["kept"])
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -190,7 +204,10 @@ def _sql_rule(rule: Rule) -> str:
     unit = rule.per or "1"
     tests = [f"{rule.measure} < {unit} * {rule.low}::DOUBLE"] if rule.low is not None else []
     tests += [f"{rule.measure} > {unit} * {rule.high}::DOUBLE"] if rule.high is not None else []
-    return "(" + " OR ".join(tests) + ")"
+    test = "(" + " OR ".join(tests) + ")"
+    if rule.langs is None:
+        return test
+    return f"({test} AND coalesce(list_contains({_sql_list(rule.langs)}, lower(split_part(lang, '-', 1))), FALSE))"
 
 
 def _sql_list(values: tuple[str, ...]) -> str:
@@ -202,7 +219,7 @@ def oracle_sql() -> str:
     base = " OR ".join(_sql_rule(r) for r in BASE_RULES)
     return rf"""
 WITH split AS (
-  SELECT doc_id, coalesce(text, '') AS t,
+  SELECT doc_id, lang, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
@@ -215,7 +232,7 @@ spans AS (
   FROM (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, k) AS c FROM windows) WHERE c > 1),
 repeats AS (SELECT row_id, count(DISTINCT p) AS n FROM spans GROUP BY row_id),
 measured AS (
-  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
          len(list_distinct(list_filter(w, lambda x: list_contains({_sql_list(STOP_WORDS)}, x)))) AS n_stop_words,
