@@ -10,7 +10,9 @@ Writing goes through these steps, each of which survives lost executors:
 3. Records are sorted by page id in their shard and written as gzip members; a file is closed once its compressed
    size reaches ``roll_bytes``. Tasks write under temporary names of their own.
 4. The files of the attempts that counted make a manifest; then they are renamed, and the final manifest is written
-   last. Renaming again does nothing, and files that no manifest names are never read.
+   last. Renaming again does nothing, and files that no manifest names are never read. What other attempts left is removed then.
+
+Each shard is written by a task of its own, and files are renamed and read back in as many tasks as there are files.
 
 NULL payloads are empty; NULL page ids come first and are left out of the record; a NULL URL becomes a page
 name. Of repeated rows (equal id and payload of at least ``REVISIT_BYTES``) the first is the response and the
@@ -32,13 +34,15 @@ from pyspark.sql.window import Window
 
 from cartflow.llm.common import materialize, table
 from cartflow.settings import scratch_path
+from cartflow.sources.versioned import delete_path
 
 REVISIT_BYTES = 1000
 #: Payload bytes of a shard, at least; with more than MAX_SHARDS of them shards get larger instead.
 SHARD_BYTES = 32 << 20
 MAX_SHARDS = 20_000
-#: Compressed bytes after which the next record starts a new file.
-ROLL_BYTES = 1 << 30
+#: The compressed bytes after which the next record starts a new file are this share of a shard's payload, so that files grow
+#: with their shards: 4 MB for the smallest, some 600 MB for those of an archive of 100 TB.
+ROLL_SHARE = 8
 LEVEL = 5
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -282,7 +286,18 @@ def _reader(root: str, payloads: bool):
 # --- the writer ---
 
 
-def _shard_starts(spark: SparkSession, sizes: DataFrame, shard_bytes: int) -> list[int]:
+def _spread(files: DataFrame) -> DataFrame:
+    """A few files a task at most; given a number of tasks, Spark doesn't take small lists together."""
+    return files.repartition(min(max(1, files.count()), MAX_SHARDS))
+
+
+def _shard_size(sizes: DataFrame, shard_bytes: int) -> int:
+    """Payload bytes of a shard, so that there are at most about MAX_SHARDS of them."""
+    total = sizes.agg(F.sum("payload_bytes")).first()[0] or 0
+    return max(shard_bytes, total // MAX_SHARDS)
+
+
+def _shard_starts(spark: SparkSession, sizes: DataFrame, step: int) -> list[int]:
     """The first page id of every shard; as many values as shards, so at most about MAX_SHARDS."""
     sums = sizes.filter("page_id IS NOT NULL").groupBy("page_id").agg(F.sum("payload_bytes").alias("size"))
     ranged = materialize(
@@ -294,8 +309,6 @@ def _shard_starts(spark: SparkSession, sizes: DataFrame, shard_bytes: int) -> li
     totals = totals.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     own = F.sum("size").over(Window.partitionBy("part").orderBy("page_id")) - F.col("size")
     placed = ranged.withColumn("own", own).join(totals, "part")
-    total = sizes.agg(F.sum("payload_bytes")).first()[0] or 0
-    step = max(shard_bytes, total // MAX_SHARDS)
     shard = F.floor((F.col("before") + F.col("own")) / F.lit(step))
     return sorted(r[0] for r in placed.groupBy(shard.alias("shard")).agg(F.min("page_id")).select("min(page_id)").collect())
 
@@ -320,10 +333,13 @@ def write_archive(
     url_col: str = "url",
     payload_col: str = "html",
     shard_bytes: int = SHARD_BYTES,
-    roll_bytes: int = ROLL_BYTES,
+    roll_bytes: int | None = None,
     level: int = LEVEL,
 ) -> DataFrame:
-    """Writes an archive below ``root`` (a new folder all executors reach) and returns its manifest."""
+    """Writes an archive below ``root`` (a new folder all executors reach) and returns its manifest.
+
+    Files are closed beyond ``roll_bytes`` compressed bytes, by default a ROLL_SHARE of the payload bytes of a shard.
+    """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     records = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"),
@@ -335,7 +351,9 @@ def write_archive(
     sizes = materialize(
         spark, records.select("page_id", "key", F.octet_length("payload").cast("bigint").alias("payload_bytes")), "warc-keys"
     )
-    starts = _shard_starts(spark, sizes, shard_bytes)
+    step = _shard_size(sizes, shard_bytes)
+    starts = _shard_starts(spark, sizes, step)
+    roll_bytes = max(1, step // ROLL_SHARE) if roll_bytes is None else roll_bytes
     owners = (
         sizes.filter(F.col("payload_bytes") >= REVISIT_BYTES)
         .groupBy("key")
@@ -351,21 +369,21 @@ def write_archive(
     )
     placed = records.unionByName(roles).withColumn("shard", _shard_of(F.col("page_id"), starts))
     parts = (
-        # More partitions than shards, so that few shards share a task.
-        placed.repartition(max(1, 4 * len(starts)), "shard")
+        placed.repartitionById(max(1, len(starts)), "shard")
         .sortWithinPartitions("shard", "page_id", "key", F.col("payload").isNotNull())
         .mapInArrow(_writer(root, roll_bytes, level), FILES)
     )
     files = materialize(spark, parts, "warc-files")
-    final = files.repartition("name").mapInArrow(_rename(root), FILES).drop("temporary")
+    final = _spread(files).mapInArrow(_rename(root), FILES).drop("temporary")
     final.write.parquet(f"{root}/manifest")
+    delete_path(spark, f"{root}/_temporary")
     return spark.read.schema(final.schema).parquet(f"{root}/manifest")
 
 
 def read_archive(spark: SparkSession, root: str, payloads: bool = True) -> DataFrame:
     """The page records of an archive, all digests checked; ``payload`` is NULL for revisits and without ``payloads``."""
     files = spark.read.schema(FILES).parquet(f"{root}/manifest")
-    return files.select("name", "records").repartition("name").mapInArrow(_reader(root, payloads), RECORDS)
+    return _spread(files.select("name", "records")).mapInArrow(_reader(root, payloads), RECORDS)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

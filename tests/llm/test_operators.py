@@ -9,6 +9,7 @@ import os
 import numpy as np
 import pytest
 from fixtures import odd_dir, page_rows  # noqa: F401
+from pyspark.sql import functions as F
 
 from cartflow.llm import decontaminate, jump_shards, quality, repeats, url_lists, warc
 
@@ -32,6 +33,28 @@ def test_archives_are_the_same_however_pages_lie(spark, odd_dir, tmp_path):
     assert whole.count(b"WARC/1.1\r\n") == len(page_rows()) + len(made[0])
 
 
+def test_shards_files_and_reads_have_tasks_of_their_own(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.col("id").alias("page_id"), F.lit("http://a.b/").alias("url"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 20).alias("html")
+    )
+    root = f"{tmp_path}/a"
+    manifest = warc.write_archive(spark, rows, root, shard_bytes=64_000, roll_bytes=5_000)
+    shards = {r["shard"] for r in manifest.collect()}
+    assert len(shards) > 10 and manifest.count() > len(shards)
+    read = warc.read_archive(spark, root)
+    counts = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) > manifest.count() // 2 and sum(r["count"] for r in counts) == 400
+    assert "_temporary" not in os.listdir(root)
+
+
+def test_default_files_roll(spark, tmp_path):
+    # Payloads that don't compress: a shard of them is several files, as the roll size is a share of the shard.
+    rows = spark.createDataFrame([(i, "http://a.b/", os.urandom(9000)) for i in range(60)], "page_id int, url string, html binary")
+    manifest = warc.write_archive(spark, rows, f"{tmp_path}/a", shard_bytes=200_000)
+    assert max(r["number"] for r in manifest.collect()) >= 4
+    assert warc.read_archive(spark, f"{tmp_path}/a").count() == 60
+
+
 def test_archives_keep_payloads(spark, odd_dir, tmp_path):
     warc.write_archive(spark, spark.read.parquet(f"{odd_dir}/pages.parquet"), f"{tmp_path}/a")
     read = warc.read_archive(spark, f"{tmp_path}/a").collect()
@@ -123,6 +146,26 @@ def test_blocks_keep_to_their_limit(spark):
         assert [k for b in blocks for k, _ in b if k != "2"] == ["1", "3", "4"]
 
 
+def test_items_without_an_id_hit_but_are_not_listed(spark):
+    docs = spark.createDataFrame([(1, "say one two now"), (2, "one three")], "doc_id int, text string")
+    items = spark.createDataFrame([(None, "one two"), (7, "say one")], "item_id int, text string")
+    rows = {r["row"]["doc_id"]: r["found"] for r in decontaminate.scanned(spark, docs, items).collect()}
+    assert (rows[1]["n_hit"], rows[1]["items"], rows[1]["runs"]) == (3, ["7"], [0, 3])
+    assert rows[2]["n_hit"] == 0
+    assert [r["doc_id"] for r in decontaminate.clean_rows(spark, docs, items).collect()] == [2]
+
+
+def test_stop_words_are_asked_of_listed_languages_only(spark):
+    polish = " ".join(f"zażółć gęślą{i} jaźń numer{i} bardzo" for i in range(20))
+    english = " ".join(f"the word{i} of sentence{i}" for i in range(20))
+    texts = [(1, polish, "pl"), (2, polish, None), (3, polish, "en"), (4, polish, "EN-gb"), (5, english.upper(), "en"), (6, english, "de")]
+    docs = spark.createDataFrame(texts, "doc_id int, text string, lang string")
+    failed = {r["doc_id"]: r["failed_rules"] for r in quality.judged(docs, "doc_id").collect()}
+    assert failed == {1: "", 2: "", 3: "stop_words", 4: "stop_words", 5: "", 6: ""}
+    assert sorted(r["doc_id"] for r in quality.kept_rows(docs).collect()) == [1, 2, 5, 6]
+    assert quality.kept_rows(docs.drop("lang")).count() == 6
+
+
 def test_rule_table_is_one_projection(spark, odd_dir):
     rows = quality.judged(spark.read.parquet(f"{odd_dir}/documents.parquet"), "doc_id")
     plan = rows._jdf.queryExecution().executedPlan().toString()
