@@ -431,6 +431,9 @@ def test_settings_from_environment():
     found = Settings.from_env({"CARTFLOW_CSV_DIR": "/c", "CARTFLOW_ROOT": "/r", "CARTFLOW_INDEX_ORDERS": "o"})
     assert found.index("orders") == "/r/documents/o"
     assert found.index("sellers") == "/r/documents/sellers"
+    assert (found.batch, found.detect_changes) == (8, False)
+    env = {"CARTFLOW_CSV_DIR": "/c", "CARTFLOW_ROOT": "/r", "CARTFLOW_BATCH": "3", "CARTFLOW_DETECT_CHANGES": "true"}
+    assert (Settings.from_env(env).batch, Settings.from_env(env).detect_changes) == (3, True)
 
 
 class StubSession:
