@@ -214,7 +214,7 @@ def publish_orders(spark: SparkSession, settings: Settings) -> int:
         batch = set(waiting[at : at + settings.batch])
         # The rejects are read anew, as each batch replaces the files of the ones it accepts.
         rows = state.waiting(fresh & batch, retried & batch, state.rejected() if retried & batch else None)
-        indexed += _publish_order_rows(spark, settings, rows).indexed
+        indexed += _publish_order_rows(spark, settings, rows, by_bucket=state.buckets == settings.buckets).indexed
         # Marked only after the documents are committed: a crash in between publishes
         # the same documents again, which leaves the index unchanged.
         if batch & fresh:
@@ -222,7 +222,9 @@ def publish_orders(spark: SparkSession, settings: Settings) -> int:
     return indexed
 
 
-def _publish_order_rows(spark: SparkSession, settings: Settings, rows: DataFrame, keep_equal: bool = False) -> PublishResult:
+def _publish_order_rows(
+    spark: SparkSession, settings: Settings, rows: DataFrame, keep_equal: bool = False, by_bucket: bool = False
+) -> PublishResult:
     return upsert_documents(
         spark,
         documents.order_documents(rows, iso_dates=False),
@@ -232,6 +234,7 @@ def _publish_order_rows(spark: SparkSession, settings: Settings, rows: DataFrame
         buckets=settings.buckets,
         keep=settings.keep,
         keep_equal=keep_equal,
+        by_bucket=by_bucket,
     )
 
 

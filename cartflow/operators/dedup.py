@@ -35,18 +35,10 @@ def first_per_key(
     )
 
 
-def unique_per_key(rows: DataFrame, key: str, message: str) -> DataFrame:
-    """``rows``, failing at run time if a value of ``key`` stands twice.
-
-    The check is an aggregate on the key, whose partitioning a following join on the key shares.
-    """
-    rest = [c for c in rows.columns if c != key]
-    checked = rows.groupBy(key).agg(F.first(F.struct(*rest)).alias("_row"), F.count("*").alias("_n"))
-    failed = F.raise_error(F.concat(F.lit(message), F.col(key).cast("string")))
-    kind = rows.schema[key].dataType
-    return checked.select(
-        F.when(F.col("_n") > 1, failed.cast(kind)).otherwise(F.col(key)).alias(key), *[f"_row.{c}" for c in rest]
-    ).select(*rows.columns)
+def repeated_key(rows: DataFrame, key: str) -> object | None:
+    """A value of ``key`` that stands twice; None if there is none. Only keys are shuffled, the rows stay where they are."""
+    found = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > 1).agg(F.min(key).alias("key")).first()
+    return found["key"]
 
 
 def last_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

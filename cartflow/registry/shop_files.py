@@ -15,6 +15,9 @@ CSV_OUT = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+#: Written files are compressed. Spark reads such a file in one task, so none holds more rows than these.
+FILE_ROWS = 1_000_000
+
 
 def item_rows(raw: StarViews) -> DataFrame:
     """Item rows in the order that says which copy of a key is the first."""
@@ -63,4 +66,4 @@ def write_shop_files(spark: SparkSession, raw: StarViews, folder: str) -> None:
     for name, rows in tables.items():
         moments = [c for c, kind in rows.dtypes if kind == "timestamp_ntz"]
         text = rows.withColumns({c: F.col(c).cast("string") for c in moments}) if moments else rows
-        text.write.options(**CSV_OUT).csv(f"{folder}/{name}")
+        text.write.options(**CSV_OUT, compression="gzip", maxRecordsPerFile=FILE_ROWS).csv(f"{folder}/{name}")

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartflow.operators.conform import check_mapping
-from cartflow.operators.dedup import last_per_key, unique_per_key
+from cartflow.operators.dedup import last_per_key, repeated_key
 from cartflow.settings import scratch_path
 from cartflow.sources.keyed import BUCKETS, KEEP, KeyedTable
-from cartflow.sources.versioned import delete_path
+from cartflow.sources.versioned import COMPRESSION, delete_path
 
 
 @dataclass(frozen=True)
@@ -104,13 +104,15 @@ def upsert_documents(
     buckets: int = BUCKETS,
     keep: int = KEEP,
     keep_equal: bool = False,
+    by_bucket: bool = False,
 ) -> PublishResult:
     """Write ``docs`` into the index at ``path``; unfit ones go to its rejects table.
 
     Of several documents with one id the last in ``order`` wins; without an order such ids fail the publication
     before anything is committed. Documents without an id get a random one. Writing the same documents again
     leaves the index as it is, but for ``_version``, which stays too with ``keep_equal``. The rejects table keeps the
-    rejects of earlier publications until their ids are accepted.
+    rejects of earlier publications until their ids are accepted. ``by_bucket`` says that ``docs`` are read from a table keyed
+    by the same ids: if the index has as many buckets and no rows yet, they are written as they lie.
 
     The plan of ``docs`` is evaluated once: its checked documents are written down, and ids, counts, buckets,
     rejects and the merge are derived from that file. So no retried task makes other random ids or counts twice.
@@ -123,7 +125,7 @@ def upsert_documents(
     fields = mapping if order is None else T.StructType([*mapping.fields, ranked.schema["_order"]])
     staged_path = scratch_path(spark, "documents")
     checked = identified(ranked, fields, key)
-    checked.withColumn("_id", F.coalesce("_id", F.uuid())).write.parquet(staged_path)
+    checked.withColumn("_id", F.coalesce("_id", F.uuid())).write.parquet(staged_path, compression=COMPRESSION)
     staged = spark.read.schema(checked.schema).parquet(staged_path)
     states = staged.select("_id", (F.size("_unfit") > 0).alias("unfit"))
     if order is not None:
@@ -137,9 +139,13 @@ def upsert_documents(
     errors = sum(r["count"] for r in counted if r["unfit"])
     good = _fit(staged).withColumn("_version", F.lit(version).cast("bigint"))
     if indexed:
-        unique = good if order is not None else unique_per_key(good, "_id", f"{path}: several documents with the id ")
+        repeated = repeated_key(good, "_id") if order is None else None
+        if repeated is not None:
+            delete_path(spark, staged_path)
+            raise ValueError(f"{path}: several documents with the id {repeated}")
         touched = {r[0] for r in counted if not r["unfit"]}
-        index.merge(unique, version, touched=touched, stamps=["_version"] if keep_equal else ())
+        stamps = ["_version"] if keep_equal else ()
+        index.merge(good, version, touched=touched, stamps=stamps, by_bucket=by_bucket)
     else:
         index.create(index_schema(mapping))
     rejected = _record_rejects(spark, rejects, good.select("_id"), _unfit(staged) if errors else None)

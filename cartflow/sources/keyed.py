@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from cartflow.operators.upsert import upsert
 from cartflow.settings import scratch_path
-from cartflow.sources.versioned import VersionedTable, child_names, delete_path
+from cartflow.sources.versioned import COMPRESSION, VersionedTable, child_names, delete_path
 
 BUCKETS = 16
 MANIFEST = "bucket int, version bigint, buckets int, schema string"
@@ -119,12 +119,16 @@ class KeyedTable:
         if self.current() is None:
             self._commit(self.next_version(), {}, self.buckets, schema)
 
-    def _write(self, rows: DataFrame, version: int, buckets: int) -> dict[int, int]:
-        """Write rows into their buckets; the version of each bucket that got any."""
+    def _write(self, rows: DataFrame, version: int, buckets: int, by_bucket: bool = False) -> dict[int, int]:
+        """Write rows into their buckets; the version of each bucket that got any.
+
+        ``by_bucket`` says that the tasks find the rows of a bucket together, so that they need not be moved.
+        """
         folder = f"{self.path}/data/_v={version}"
         dealt = rows.withColumn(BUCKET, _bucket_of(F.col(self.key), buckets))
         # Large buckets become several files, small ones a file each.
-        dealt.hint("rebalance", BUCKET).write.mode("error").partitionBy(BUCKET).parquet(folder)
+        placed = dealt if by_bucket else dealt.hint("rebalance", BUCKET)
+        placed.write.mode("error").partitionBy(BUCKET).parquet(folder, compression=COMPRESSION)
         names = (n for n in child_names(self.spark, folder) if n.startswith(f"{BUCKET}="))
         return {int(n.split("=")[1]): version for n in names}
 
@@ -136,11 +140,13 @@ class KeyedTable:
         withdrawn: DataFrame | None = None,
         stamps: Collection[str] = (),
         touched: Collection[int] | None = None,
+        by_bucket: bool = False,
     ) -> int:
         """Commit ``new`` merged into the table (see ``upsert``); only the buckets of its keys are read and rewritten.
 
         The plan of ``new`` is evaluated once: unless the table is still empty, its rows are written down first. A caller
-        that reads them from a file anyway names their buckets in ``touched``. ``withdrawn`` holds keys that leave the table.
+        that reads them from a file anyway names their buckets in ``touched``, and says with ``by_bucket`` if the file holds the
+        rows of a bucket together. ``withdrawn`` holds keys that leave the table.
         """
         version = self.next_version() if version is None else version
         committed = self.current()
@@ -151,7 +157,7 @@ class KeyedTable:
         if places:
             if touched is None:
                 staged = scratch_path(self.spark, "merge")
-                new.write.parquet(staged)
+                new.write.parquet(staged, compression=COMPRESSION)
                 new = self.spark.read.schema(new.schema).parquet(staged)
                 touched = self.buckets_of(new, buckets)
             if withdrawn is not None:
@@ -159,9 +165,11 @@ class KeyedTable:
             known = T.StructType.fromJson(_json(held[0]["schema"]))
             # Columns that the table does not have yet are NULL in its old rows.
             schema = T.StructType([*known.fields, *[f for f in new.schema.fields if f.name not in known.names]])
-            old = self._rows([p for p in held if p["bucket"] in touched], schema)
+            rewritten = [p for p in held if p["bucket"] in touched]
+            old = self._rows(rewritten, schema) if rewritten else None
         merged = upsert(old, new, self.key, update_columns, withdrawn, stamps)
-        found = self._write(merged, version, buckets)
+        # A join with rows of the table moves the new ones anyway.
+        found = self._write(merged, version, buckets, by_bucket and old is None)
         untouched = {b: v for b, v in places.items() if b not in touched}
         self._commit(version, {**untouched, **found}, buckets, merged.schema)
         if staged is not None:

@@ -12,6 +12,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: Takes about a quarter less room than Spark's default.
+COMPRESSION = "zstd"
+
 _VERSION = re.compile(r"^v=(\d+)$")
 
 
@@ -77,7 +80,7 @@ class VersionedTable:
         (
             rows.write.mode("error")
             .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-            .parquet(self.folder(chosen))
+            .parquet(self.folder(chosen), compression=COMPRESSION)
         )
         return chosen
 

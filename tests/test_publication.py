@@ -6,6 +6,7 @@ import dataclasses
 import os
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from test_jobs import documents, orders, put, shop  # noqa: F401
 
@@ -13,9 +14,12 @@ from cartflow import jobs
 from cartflow.operators.changes import ROW_HASH, changed_rows, with_row_hash
 from cartflow.operators.upsert import upsert
 from cartflow.plans import staging
+from cartflow.registry import shop_files
 from cartflow.schemas import DOCUMENT_SCHEMAS
+from cartflow.sources.csv_files import read_rows
 from cartflow.sources.documents import index_table, pending_rejects, rejects_table, upsert_documents
 from cartflow.sources.keyed import KeyedTable
+from cartflow.sources.star import StarViews
 from cartflow.streaming.orders import publish_orders_stream
 
 HEADER = "order_id,customer_id,order_status\n"
@@ -372,3 +376,33 @@ def test_stream_and_batch_job_share_the_marks(spark, staged, streaming, monkeypa
     stage(spark, staged, ["o1"], "sent")
     streaming()
     assert jobs.changes_table(spark, staged).committed() == [3]
+
+
+def test_first_publication_moves_only_keys(spark, settings, monkeypatch):
+    hints = []
+    frame = type(spark.range(1))
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda rows, name, *of: hints.append(name) or hint(rows, name, *of))
+    stage(spark, settings, ["a", "b", "c", "d"])
+    hints.clear()
+    assert jobs.publish_orders(spark, settings) == 4
+    assert hints == []  # they lie in the buckets of the index already
+    assert sorted(r["_id"] for r in index_table(spark, settings.index("orders")).read().collect()) == ["a", "b", "c", "d"]
+    stage(spark, settings, ["a", "e"], status="shipped")
+    hints.clear()
+    assert jobs.publish_orders(spark, settings) == 2
+    assert "rebalance" in hints
+    found = index_table(spark, settings.index("orders")).read().collect()
+    assert {r["_id"]: r["order_status"] for r in found} == dict.fromkeys("bcd", "created") | dict.fromkeys("ae", "shipped")
+
+
+def test_shop_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shop_files, "FILE_ROWS", 500)
+    raw = StarViews(spark, SF_SMALL)
+    shop_files.write_shop_files(spark, raw, f"{tmp_path}/csv")
+    folder = tmp_path / "csv" / "shop_orders_dataset.csv"
+    parts = [p for p in folder.iterdir() if p.name.startswith("part-")]
+    assert len(parts) > 1 and all(p.name.endswith(".csv.gz") for p in parts)
+    assert all(spark.read.csv(str(p), header=True).count() <= 500 for p in parts)
+    rows = read_rows(spark, str(folder), line_breaks=False)
+    assert rows.count() == raw["orders"].count()
