@@ -41,6 +41,8 @@ PART = 1 << 20
 #: Windows held by a task before it counts them, and windows estimated repeated before it groups them.
 CHUNK = 1 << 20
 CANDIDATE_CHUNK = 1 << 20
+#: Windows of a batch of candidates that a task sends on.
+SENT = 1 << 16
 #: Words hashed at once.
 SLICE_WORDS = 1 << 18
 LAST_ID = (1 << 63) - 1
@@ -269,7 +271,7 @@ def _candidates(bits, cells: int, window: int):
         import numpy as np
         import pyarrow as pa
 
-        sketch = bits.value
+        sketch = np.frombuffer(bits.value, np.uint8)
 
         def repeated(value):
             found = np.ones(len(value), bool)
@@ -278,73 +280,102 @@ def _candidates(bits, cells: int, window: int):
                 found &= (sketch[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
             return found
 
-        def grouped(held: list[tuple]):
+        def grouped(held: list[tuple], documents: list[tuple]):
+            ids, tags = (np.concatenate(parts) for parts in zip(*documents, strict=True))
+            order = np.lexsort((tags, ids))
+            ids, tags = ids[order], tags[order]
+            differs = np.ones(len(ids), bool)
+            differs[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+            rank = np.empty(len(ids), np.int32)  # of a document by id and text; rows equal in both share it
+            rank[order] = np.cumsum(differs) - 1
+            ids, tags = ids[differs], tags[differs]
+
             columns = _columns(held)
-            high, low, deal, ids, tags, place = _reordered(columns, np.lexsort([columns[i] for i in (5, 4, 3, 1, 0)]))
+            columns[3] = rank[columns[3]]
+            high, low, deal, document, place = _reordered(columns, np.lexsort([columns[i] for i in (4, 3, 1, 0)]))
             once = np.ones(len(high), bool)  # rows equal in id and text have the same windows
-            once[1:] = np.any([x[1:] != x[:-1] for x in (high, low, ids, tags, place)], axis=0)
-            del high, low, deal, ids, tags, place
-            high, low, deal, ids, tags, place = _reordered(columns, once)
+            once[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            once[1:] |= (document[1:] != document[:-1]) | (place[1:] != place[:-1])
+            del high, low, deal, document, place
+            high, low, deal, document, place = _reordered(columns, once)
             columns.clear()
             starts = np.ones(len(high), bool)
             starts[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-            group = np.cumsum(starts) - 1
-            later = ids > ids[starts][group]
+            group = np.cumsum(starts, dtype=np.int32) - 1
+            later = ids[document] > ids[document[starts]][group]
+            del starts, group
+            own = document[later], place[later]
             first = np.flatnonzero(~later)
-            first = first[np.lexsort((place[first], tags[first], ids[first]))]
-            run = np.ones(len(first), bool)
-            run[1:] = np.diff(place[first]) != 1
-            for x in (ids, tags, deal):
-                run[1:] |= x[first][1:] != x[first][:-1]
-            heads = np.flatnonzero(run)
-            ends = pa.array(np.append(heads, len(first)).astype(np.int32))
-            columns = [
-                pa.array(deal[first][heads].view(np.int64)),
-                pa.array(np.zeros(len(heads), bool)),
-                pa.array(ids[first][heads]),
-                pa.array(tags[first][heads]),
-                pa.array(place[first][heads]),
-                pa.ListArray.from_arrays(ends, pa.array(high[first].view(np.int64))),
-                pa.ListArray.from_arrays(ends, pa.array(low[first].view(np.int32))),
-                pa.nulls(len(heads), pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
-            ids, tags, place = ids[later], tags[later], place[later]
-            if len(ids):
-                order = np.lexsort((place, tags, ids))
-                ids, tags, place = ids[order], tags[order], place[order]
-                cuts = np.flatnonzero((np.diff(ids) != 0) | (np.diff(tags) != 0)) + 1
-                firsts = np.concatenate(([0], cuts))
-                data = [x.astype("<i4").tobytes() for x in np.split(place, cuts)]
+            del later
+            first = first[np.lexsort((place[first], document[first]))]
+            columns = [high, low, deal, document, place]
+            del high, low, deal, document, place
+            high, low, deal, document, place = _reordered(columns, first)
+            columns.clear()
+            del first
+            run = np.ones(len(high), bool)
+            run[1:] = (np.diff(place) != 1) | (document[1:] != document[:-1]) | (deal[1:] != deal[:-1])
+            heads = np.append(np.flatnonzero(run), len(high))
+            del run
+            at = 0
+            while at < len(heads) - 1:  # whole rows, so that neither side holds all of a chunk once more
+                until = max(at + 1, int(np.searchsorted(heads, heads[at] + SENT, "right")) - 1)
+                of, sent = heads[at:until], slice(heads[at], heads[until])
+                ends = pa.array((heads[at : until + 1] - heads[at]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(deal[of].view(np.int64)),
+                        pa.array(np.zeros(len(of), bool)),
+                        pa.array(ids[document[of]]),
+                        pa.array(tags[document[of]]),
+                        pa.array(place[of]),
+                        pa.ListArray.from_arrays(ends, pa.array(high[sent].view(np.int64))),
+                        pa.ListArray.from_arrays(ends, pa.array(low[sent].view(np.int32))),
+                        pa.nulls(len(of), pa.binary()),
+                    ],
+                    names,
+                )
+                at = until
+            del high, low, deal, document, place, heads
+            document, place = own
+            if len(document):
+                order = np.lexsort((place, document))
+                document, place = document[order], place[order]
+                firsts = np.concatenate(([0], np.flatnonzero(np.diff(document)) + 1))
+                data = [x.astype("<i4").tobytes() for x in np.split(place, firsts[1:])]
+                ids, tags = ids[document[firsts]], tags[document[firsts]]
                 n = len(firsts)
                 one = pa.array(np.arange(n + 1, dtype=np.int32))  # lists of one element: the row itself
                 columns = [
-                    pa.array(ids[firsts] ^ tags[firsts]),  # documents without an id are many
+                    pa.array(ids ^ tags),  # documents without an id are many
                     pa.array(np.ones(n, bool)),
-                    pa.array(ids[firsts]),
-                    pa.array(tags[firsts]),
+                    pa.array(ids),
+                    pa.array(tags),
                     pa.nulls(n, pa.int32()),
-                    pa.ListArray.from_arrays(one, pa.array(ids[firsts])),
-                    pa.ListArray.from_arrays(one, pa.array(tags[firsts].astype(np.int32))),
+                    pa.ListArray.from_arrays(one, pa.array(ids)),
+                    pa.ListArray.from_arrays(one, pa.array(tags.astype(np.int32))),
                     pa.array(data, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
         names = ["deal", "own", "id", "tag", "place", "highs", "lows", "places"]
-        held, size = [], 0
+        held, size, documents, known = [], 0, [], 0
         for batch in batches:
-            ids, tags = batch.column("id").to_numpy(), batch.column("tag").to_numpy()
+            if not held:
+                documents, known = [], 0
+            documents.append((batch.column("id").to_numpy(), batch.column("tag").to_numpy()))
             for number, place, high, low, deal in window_hashes(_texts(batch), window, 2, deal=True):
                 keep = repeated(high)
-                number = number[keep]
+                number = (number[keep] + known).astype(np.int32)
                 low = (low[keep] >> np.uint64(32)).astype(np.uint32)
-                held.append((high[keep], low, deal[keep], ids[number], tags[number], place[keep]))
+                held.append((high[keep], low, deal[keep], number, place[keep]))
                 size += len(number)
                 if size >= CANDIDATE_CHUNK:
-                    yield from grouped(held)  # which empties it
-                    size = 0
+                    yield from grouped(held, documents)  # which empties the windows
+                    size, documents, known = 0, documents[-1:], 0
+            known += batch.num_rows
         if size:
-            yield from grouped(held)
+            yield from grouped(held, documents)
 
     return candidates
 
@@ -411,7 +442,8 @@ def without_repeats(
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = sketch_size(size, max_cells)
-    bits = spark.sparkContext.broadcast(repeated_cells(spark, rows, cells, window))
+    # As bytes, which a worker reads once and uses in place; an array would be held twice while it is unpacked.
+    bits = spark.sparkContext.broadcast(repeated_cells(spark, rows, cells, window).tobytes())
     windows = rows.select("id", "tag", "text").mapInArrow(_candidates(bits, cells, window), _CANDIDATES)
     # Equal windows are dealt out alike, so one shuffle by ``deal`` serves the grouping by whole hashes. A group has
     # a row for each chunk at most.

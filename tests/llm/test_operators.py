@@ -120,6 +120,28 @@ def test_rows_equal_in_id_and_text_are_candidates_once():
         assert [len(r["places"]) // 4 for r in made if r["own"]] == [18] * (len(set(ids)) - 1)
 
 
+def test_candidates_are_sent_in_small_batches(monkeypatch):
+    import pyarrow as pa
+
+    class Sketch:
+        value = np.full(repeats.ROWS * repeats.PART // 8, 255, np.uint8).tobytes()
+
+    rows = {"id": [3, 1, 2] * 20, "tag": list(range(60)), "text": [" ".join(f"w{i % 41}" for i in range(n, n + 60)).encode() for n in range(60)]}
+
+    def batches():
+        return list(repeats._candidates(Sketch, repeats.PART, 13)([pa.RecordBatch.from_pydict(rows)]))
+
+    def sent(found):
+        return sorted(map(repr, pa.Table.from_batches(found).to_pylist()))
+
+    whole = batches()
+    monkeypatch.setattr(repeats, "SENT", 8)
+    small = batches()
+    assert len(small) > len(whole) and sent(small) == sent(whole)
+    windows = [sum(map(len, b.column("highs").to_pylist())) for b in small if not b.column("own")[0].as_py()]
+    assert all(n <= 8 or b.num_rows == 1 for n, b in zip(windows, small, strict=False))
+
+
 def test_benchmark_in_blocks(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     items = spark.read.parquet(f"{odd_dir}/benchmark.parquet")
