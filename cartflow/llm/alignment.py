@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cartflow.llm.byte_bpe import byte_table
 from cartflow.llm.common import materialize, table
-from cartflow.llm.pieces import Memory, Splitter, is_latin, latin_class, map_texts, once_a_worker
+from cartflow.llm.pieces import Splitter, is_latin, latin_class, map_texts, once_a_worker
 
 LEFT = "byte_bpe_50k.json"
 RIGHT = "piece_bpe_32k.model"
@@ -163,7 +163,7 @@ def default_vocabularies() -> Vocabularies:
 
 
 class Aligned(NamedTuple):
-    """Token counts, number of groups, the groups as text, links as 64-bit codes of id pairs."""
+    """Token counts, number of groups, the groups as text, links as 32-bit places in the list of pairs."""
 
     n_a: int
     n_b: int
@@ -173,7 +173,14 @@ class Aligned(NamedTuple):
 
 
 NOTHING = Aligned(0, 0, 0, "", b"")
-_UNKNOWN = object()
+#: What is remembered of a stretch: both token counts in one number, groups, links (one for each group).
+Part = tuple[int, str, bytes]
+_HALF = 32
+
+
+def _unpacked(part: Part) -> Aligned:
+    counts, groups, links = part
+    return Aligned(counts & ((1 << _HALF) - 1), counts >> _HALF, len(links) // 4, groups, links)
 
 
 class Aligner:
@@ -193,17 +200,10 @@ class Aligner:
         self.last = tuple(np.array([n + end for n in names], object) for names, end in zip(self.names, "|;", strict=True))
         self.pairs = known.pairs
         self.local = known.local
-        # What a batch needs beside the memory: new stretches, and those that the memory might lose meanwhile.
-        self.fresh: dict[str, Aligned | None] = {}
-        self.ageing: dict[str, Aligned | None] = {}
-        self.memory = Memory(self._found, room, lambda found: 150 + len(found.groups) + len(found.links) if found else 0)
-
-    def _found(self, stretch: str) -> Aligned | None:
-        for known in (self.fresh, self.ageing):
-            found = known.get(stretch, _UNKNOWN)
-            if found is not _UNKNOWN:
-                return found
-        return self.whole(stretch)
+        # Two generations of ``room`` bytes each: what the older one is asked for moves on.
+        self.newer: dict[str, Part | None] = {}
+        self.older: dict[str, Part | None] = {}
+        self.room = self.free = room
 
     def whole(self, spaced: str) -> Aligned | None:
         """A stretch, or a text behind a blank; None if its bytes are not those of both id lists."""
@@ -211,6 +211,9 @@ class Aligner:
 
     def together(self, stretches: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> list[Aligned | None]:
         """Stretches aligned as one text: wherever one ends, tokens of both sides do."""
+        return [None if part is None else _unpacked(part) for part in self._parts(stretches, a_lists, b_lists)]
+
+    def _parts(self, stretches: list[str], a_lists: list[list[int]], b_lists: list[list[int]]) -> list[Part | None]:
         import numpy as np
 
         a, b = list(chain.from_iterable(a_lists)), list(chain.from_iterable(b_lists))
@@ -219,12 +222,12 @@ class Aligner:
             # Some stretch differs from one of its lists.
             if len(stretches) == 1:
                 return [None]
-            return [x for one in zip(stretches, a_lists, b_lists, strict=True) for x in self.together(*([part] for part in one))]
+            return [x for one in zip(stretches, a_lists, b_lists, strict=True) for x in self._parts(*([part] for part in one))]
         a_ends, b_ends = ends(a, self.sizes[0]), ends(b, self.sizes[1])
         a_cuts, b_cuts = (np.array(cuts, np.int64) for cuts in sliced(a_ends, b_ends))
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         # Only the last tokens of a slice end at its end.
-        links = a[a_cuts - 1] * len(self.tokens[1]) + b[b_cuts - 1]
+        links = np.searchsorted(self.pairs, a[a_cuts - 1] * len(self.tokens[1]) + b[b_cuts - 1]).astype("<i4")
         names = np.empty(len(a) + len(b), object)
         a_names, b_names = self.within[0][a], self.within[1][b]
         a_names[a_cuts - 1], b_names[b_cuts - 1] = self.last[0][a[a_cuts - 1]], self.last[1][b[b_cuts - 1]]
@@ -238,35 +241,47 @@ class Aligner:
         made, at, first = [], 0, 0
         for n_a, n_b, end in zip(a_sizes, b_sizes, slices, strict=True):
             text = "".join(names[at : at + n_a + n_b])[:-1]
-            made.append(Aligned(n_a, n_b, end - first, text, links[8 * first : 8 * end]))
+            made.append((n_a | n_b << _HALF, text, links[4 * first : 4 * end]))
             at, first = at + n_a + n_b, end
         return made
 
     def align(self, texts: list[str]) -> list[Aligned]:
         """A batch of texts."""
         cut = [stretches(" " + text) if text and self.local and is_latin(text) else None for text in texts]
-        held, older = self.memory, self.memory.older
-        new = list({s for own in cut if own for s in own if s not in held and s not in older})
-        lists = list(map(self.left.encode_latin, new)), self.right.encode(new, num_threads=1) if new else []
-        self.fresh, self.ageing = dict(zip(new, self.together(new, *lists), strict=True)) if new else {}, older
-        return [self._joined(text, own) for text, own in zip(texts, cut, strict=True)]
+        learned = self._learn(set(chain.from_iterable(filter(None, cut))))
+        found = [self._joined(text, own) for text, own in zip(texts, cut, strict=True)]
+        for stretch in learned:
+            if len(stretch) * 100 > self.room:
+                del self.newer[stretch]  # a single one, with some 12 bytes for a character, may not fill the memory
+        if self.free < 0:
+            self.newer, self.older, self.free = {}, self.newer, self.room
+        return found
+
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Sees that the newer generation has these stretches, which may take it over its room; those it had not."""
+        missing = wanted.difference(self.newer)
+        unknown = missing.difference(self.older)
+        again, new = list(missing - unknown), list(unknown)
+        values = list(map(self.older.pop, again))
+        if new:
+            values += self._parts(new, list(map(self.left.encode_latin, new)), self.right.encode(new, num_threads=1))
+        again += new
+        self.newer.update(zip(again, values, strict=True))
+        # Some 340 bytes for the objects and their place; two for a character at most.
+        held = [value for value in values if value is not None]
+        self.free -= 340 * len(again) + 2 * sum(map(len, again)) + sum(len(groups) + len(links) for _, groups, links in held)
+        return again
 
     def _joined(self, text: str, own: list[str] | None) -> Aligned:
         if not text:
             return NOTHING
         if own is not None:
-            found = list(map(self.memory.__getitem__, own))
+            found = list(map(self.newer.__getitem__, own))
             if None not in found:
-                n_a, n_b, n_groups, groups, links = zip(*found, strict=True)
-                return Aligned(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+                counts, groups, links = zip(*found, strict=True)
+                return _unpacked((sum(counts), ";".join(groups), b"".join(links)))
         return self.whole(" " + text) or NOTHING
 
-    def places(self, links: bytes) -> bytes:
-        """Links as 32-bit places in the list of pairs."""
-        import numpy as np
-
-        return np.searchsorted(self.pairs, np.frombuffer(links, np.int64)).astype("<i4").tobytes()
-
 
 def aligned(docs: DataFrame, made, *keep: str, text: str = "text") -> DataFrame:
     """Columns ``keep`` with token counts, ``groups`` (``a1,a2|b1;a3|b2,b3``) and ``links`` (32-bit places in the pairs' list).
@@ -283,7 +298,7 @@ def aligned(docs: DataFrame, made, *keep: str, text: str = "text") -> DataFrame:
         def of_texts(texts):
             n_a, n_b, n_groups, groups, links = zip(*aligner.align([text or "" for text in texts]), strict=True)
             numbers = [pa.array(n, pa.int64()) for n in (n_a, n_b, n_groups)]
-            return *numbers, pa.array(groups, pa.string()), pa.array(map(aligner.places, links), pa.binary())
+            return *numbers, pa.array(groups, pa.string()), pa.array(links, pa.binary())
 
         return of_texts
 

@@ -299,6 +299,17 @@ def test_stretches_are_aligned_as_the_whole_text():
             assert found == ((aligner.whole(" " + text) or alignment.NOTHING) if text else alignment.NOTHING), repr(text)
 
 
+def test_known_stretches_are_not_encoded_again(monkeypatch):
+    aligner = alignment.Aligner(alignment.default_vocabularies(), room=1000)
+    texts = ["the cat sat", "on the mat", "x" * 500]
+    once = aligner.align(texts)
+    assert all(len(found.links) == 4 * found.n_groups for found in once)  # places, found once for each stretch
+    assert max(map(len, [*aligner.newer, *aligner.older])) < 10  # the long one is not kept
+    assert aligner.older and not aligner.newer  # all others moved on when they outgrew their room
+    monkeypatch.setattr(aligner, "_parts", lambda *_: 1 / 0)
+    assert aligner.align(texts[:2]) == once[:2]
+
+
 def test_a_stretch_that_differs_is_told_from_the_others():
     aligner = alignment.Aligner(alignment.default_vocabularies())
     words = [" the", " cat", " sat"]
