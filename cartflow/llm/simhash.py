@@ -13,7 +13,7 @@ from itertools import combinations, repeat
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartflow.llm.common import materialize, table
+from cartflow.llm.common import materialize, table, unsized
 from cartflow.llm.components import components
 
 BITS = 64
@@ -113,7 +113,7 @@ def link_components(
         .select("k", "bits", F.col("low").bitwiseXOR(F.get(salts, F.col("k"))).alias("centre"))
     )
     stars = (
-        keyed.join(centres, ["k", "bits"])
+        keyed.join(unsized(centres), ["k", "bits"])
         .filter((F.col("fp") != F.col("centre")) & _close(F.col("fp"), F.col("centre"), distance))
         .select(F.col("fp").alias("a"), F.col("centre").alias("b"))
     )
@@ -125,7 +125,7 @@ def link_components(
     keyed = _blocked(labels, masks)
     mixed = keyed.groupBy("k", "bits").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     members = materialize(
-        spark, keyed.join(mixed.filter("low < high").select("k", "bits"), ["k", "bits"]), "simhash-mixed"
+        spark, keyed.join(unsized(mixed.filter("low < high").select("k", "bits")), ["k", "bits"]), "simhash-mixed"
     )
     frequent = (
         members.groupBy("k", "bits", "label")
@@ -133,9 +133,9 @@ def link_components(
         .groupBy("k", "bits")
         .agg(F.max(F.struct("count", "label"))["label"].alias("most"))
     )
-    few = members.join(frequent, ["k", "bits"]).filter("label <> most")
+    few = members.join(unsized(frequent), ["k", "bits"]).filter("label <> most")
     few = few.select("k", "bits", F.col("fp").alias("fp_b"), F.col("label").alias("b"))
-    pairs = members.join(few, ["k", "bits"]).filter(
+    pairs = members.join(unsized(few), ["k", "bits"]).filter(
         (F.col("label") != F.col("b")) & _close(F.col("fp"), F.col("fp_b"), distance)
     )
     links = pairs.select(F.least("label", "b").alias("a"), F.greatest("label", "b").alias("b")).distinct()
@@ -155,7 +155,7 @@ def _grouped(
     rows = docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp"))
     rows = materialize(spark, rows, "simhash-rows")
     classes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
-    return rows, classes.join(link_components(spark, classes, distance, blocks), "fp")
+    return rows, classes.join(unsized(link_components(spark, classes, distance, blocks)), "fp")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
@@ -166,7 +166,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, **how) -> DataFrame:
     rows, labels = _grouped(spark, docs, **how)
     names = labels.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = labels.select("fp", "label").join(names, "label").select("fp", "component_id", "label")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id", "label")
+    return rows.join(unsized(named), "fp").select("doc_id", "fp", "component_id", "label")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:

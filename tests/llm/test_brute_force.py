@@ -14,6 +14,7 @@ import pytest
 import tiktoken
 import xxhash
 from fixtures import document_rows, item_rows, odd_dir  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartflow.llm import byte_bpe, credentials, identifiers, jump_shards, simhash
@@ -453,6 +454,44 @@ def test_links_of_chains_and_dense_groups(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def joined(monkeypatch):
+    """Plans of what ``simhash`` writes or hands on, in which Spark's estimates decide what is broadcast."""
+    plans = []
+
+    def seen(f):
+        def call(spark, rows, name):
+            plans.append((name, plan_of(rows)))
+            return f(spark, rows, name)
+
+        return call
+
+    for name in ("materialize", "components"):
+        monkeypatch.setattr(simhash, name, seen(getattr(simhash, name)))
+    return plans
+
+
+def test_exploded_keys_are_not_broadcast(spark, joined, tmp_path):
+    spark.range(500).select(F.xxhash64("id").alias("fp")).write.parquet(f"{tmp_path}/classes")
+    found = simhash.link_components(spark, spark.read.parquet(f"{tmp_path}/classes"))
+    assert found.count() == 500
+    plans = dict(joined)
+    assert {"simhash-stars", "simhash-mixed", "simhash-rest"} <= set(plans)
+    for name in ("simhash-stars", "simhash-mixed", "simhash-rest"):
+        assert "SortMergeJoin" in plans[name] and "Broadcast" not in plans[name], plans[name]
+
+
+def test_fingerprints_of_all_rows_are_not_broadcast(spark, odd_dir):
+    plan = plan_of(QUERIES["op9_simhash"](spark, odd_dir))
+    # Only the components of linked fingerprints may be: they are looked up in files of their own size.
+    assert plan.count("SortMergeJoin") >= 3
+    assert all("LeftOuter" in line for line in plan.splitlines() if "BroadcastHashJoin" in line), plan
+
+
 def test_one_document_of_each_group_stays(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     kept = simhash.one_of_each(spark, docs)
