@@ -179,7 +179,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found, labels = _grouped(spark, docs)
     counted = found.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "copies")).alias("least")
-    classes = counted.groupBy("fp").agg(least).join(labels.select("fp", "label"), "fp")
+    classes = counted.groupBy("fp").agg(least).join(unsized(labels.select("fp", "label")), "fp")
     stay = materialize(
         spark,
         classes.groupBy("label").agg(F.min("least").alias("least")).select("least.doc_id", "least.fp", "least.copies"),
@@ -188,7 +188,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
     kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
     rows = docs.select(kept, F.col("doc_id").alias("id"), fingerprint(F.col("text")).alias("print"))
     on = rows["id"].eqNullSafe(stay["doc_id"]) & (rows["print"] == stay["fp"])
-    rows = rows.join(stay, on).select("kept", "id", "print", "copies")
+    rows = rows.join(unsized(stay), on).select("kept", "id", "print", "copies")
     if stay.filter("copies > 1").isEmpty():
         return rows.select("kept.*")
     single = rows.filter("copies = 1").select("kept.*")

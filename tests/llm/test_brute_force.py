@@ -492,6 +492,18 @@ def test_fingerprints_of_all_rows_are_not_broadcast(spark, odd_dir):
     assert all("LeftOuter" in line for line in plan.splitlines() if "BroadcastHashJoin" in line), plan
 
 
+def test_survivors_are_not_broadcast(spark, joined, odd_dir):
+    docs = corpus_pipeline.STAGES[0][1](spark, spark.read.parquet(f"{odd_dir}/documents.parquet"), odd_dir)
+    plan = plan_of(corpus_pipeline.STAGES[1][1](spark, docs, odd_dir))
+    plans = dict(joined)
+    assert {"simhash-stars", "simhash-mixed", "simhash-rest", "simhash-stay"} <= set(plans)
+    for name in ("simhash-stars", "simhash-mixed", "simhash-rest"):
+        assert "Broadcast" not in plans[name], plans[name]
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+    looked_up = [line for line in plans["simhash-stay"].splitlines() if "BroadcastHashJoin" in line]
+    assert all("LeftOuter" in line for line in looked_up), plans["simhash-stay"]
+
+
 def test_one_document_of_each_group_stays(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     kept = simhash.one_of_each(spark, docs)
