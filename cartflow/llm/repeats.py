@@ -1,18 +1,21 @@
 """Substring dedup: words in 13-word windows that also start in an earlier document are removed.
 
-1. *Sketch.* Every task counts hashed windows of its texts (once for each document) in the cells of
-   a count-min sketch and sends only the touched cells, as gaps. The parts are merged by cell range.
-   Counts are only ever too high, so every window of two documents has an estimate of two or more.
-2. *Exact groups.* Windows estimated repeated are grouped by a 96-bit hash of their word sequence. A
+1. *Sketch.* The anchor of a window is the smallest hash of its 8-word parts: equal windows have equal anchors, and
+   neighbours mostly share one, so a text has about two anchors for seven windows. Every task counts the anchors of its
+   texts (once for each document) in the cells of a count-min sketch and sends only the touched cells, as gaps. The parts
+   are merged by cell range. Counts are only ever too high, so the anchor of every window of two documents has an
+   estimate of two or more.
+2. *Exact groups.* Windows whose anchor is estimated repeated are grouped by their anchor and a 64-bit hash of their word sequence. A
    chunk of texts groups its own windows first and sends each of them once, with the smallest id;
    so a window in a third of all documents costs one row for each chunk, not for each document; so do rows equal in id
-   and text. Windows are dealt out
-   by the smallest hash of their 4-word parts: equal windows meet, and neighbours mostly travel together in one row.
-3. *Removal.* Distinct places to remove are gathered by document, which is an id and a 64-bit hash of the text, and cut out
+   and text. Windows are dealt out by their anchors: equal windows meet, and neighbours mostly travel together in one row.
+   They are sorted by anchor and id, so the first row with a window has the smallest id, and a task holds the windows of one
+   batch and those seen of one anchor. Rows whose anchor turns out to be in one document only are not taken apart into windows.
+3. *Removal.* Runs of places to remove are gathered by document, which is an id and a 64-bit hash of the text, and cut out
    of the whole text.
 
 The merged sketch is broadcast. Its cells grow with the text up to ``MAX_CELLS`` a row (a bit each, so
-64 MB a row at most); beyond, estimates get too high and more windows are grouped exactly, but none is lost.
+64 MB a row at most); beyond, estimates get too high and more anchors are compared exactly, but none is lost.
 
 Windows are judged on the input. NULL and blank texts have no words; texts of fewer words than a
 window keep them all. Documents with equal ids are not smaller than each other; a NULL id is greater
@@ -25,28 +28,29 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cartflow.llm.common import materialize, table
 
 WINDOW = 13
-#: Words of the parts whose smallest hash deals out a window.
-DEAL = 4
+#: Words of the parts whose smallest hash is the anchor of a window. Longer parts are rarer, but anchors are then more.
+ANCHOR = 8
 ROWS = 2
-#: Cells of a row for each byte of text, about two for each word, and their bound.
-CELLS_PER_BYTE = 5 / 16
+#: Cells of a row for each byte of text, about four for each anchor, and their bound.
+CELLS_PER_BYTE = 3 / 16
 MAX_CELLS = 1 << 29
 #: Cells of one part of the sketch: the unit that is sent and merged.
 PART = 1 << 20
-#: Windows held by a task before it counts them, and windows estimated repeated before it groups them.
+#: Anchors held by a task before it counts them, and windows estimated repeated before it groups them.
 CHUNK = 1 << 20
 CANDIDATE_CHUNK = 1 << 20
 #: Windows of a batch of candidates that a task sends on.
 SENT = 1 << 16
+#: Runs to remove held by a task before it sends them on, in a row for each document.
+RUNS = 1 << 19
 #: Words hashed at once.
 SLICE_WORDS = 1 << 18
 LAST_ID = (1 << 63) - 1
-#: Odd multipliers, fixed values: two sets for the window hash, one for the rows of the sketch.
+#: Odd multipliers, fixed values: a set each for the window hash, the rows of the sketch and the anchors.
 _SEED = 0x9E3779B97F4A7C15
 
 
@@ -66,15 +70,12 @@ def _mixed(values):
     return values
 
 
-def window_hashes(texts: Iterable[bytes | None], window: int, sets: int, deal: bool = False) -> Iterator[tuple]:
-    """For slices of ``texts``: text number and first word of each window, then ``sets`` hashes of its words.
-
-    With ``deal``, last the smallest hash of its parts.
-    """
+def anchored(texts: Iterable[bytes | None], window: int) -> Iterator[tuple]:
+    """For slices of ``texts``: text number, first word and anchor of each window, and a function to hash chosen windows."""
     import numpy as np
     import xxhash
 
-    def hashed(words: list[bytes], counts: list[int], first_text: int) -> tuple:
+    def of_slice(words: list[bytes], counts: list[int], first_text: int) -> tuple:
         h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         n = max(0, len(words) - window + 1)
         ends = np.cumsum(counts)
@@ -83,23 +84,25 @@ def window_hashes(texts: Iterable[bytes | None], window: int, sets: int, deal: b
         place = np.arange(n)
         whole = place + window <= ends[numbers[:n]]
         numbers, place = numbers[:n][whole], place[whole]
-        found = []
-        for salt in range(sets):
-            total = np.zeros(n, np.uint64)
-            for j, factor in enumerate(_multipliers(window, salt)):
-                total += h[j : j + n] * factor
-            found.append(_mixed(total[whole]))
-        if deal:
-            size = min(DEAL, window)
-            parts = np.zeros(max(0, len(words) - size + 1), np.uint64)
-            for j, factor in enumerate(_multipliers(size, 3)):
-                parts += h[j : j + len(parts)] * factor
-            _mixed(parts)
-            least = parts[:n].copy()
-            for j in range(1, window - size + 1):
-                np.minimum(least, parts[j : j + n], out=least)
-            found.append(least[whole])
-        return (numbers + first_text, (place - starts[numbers]).astype(np.int32), *found)
+        size = min(ANCHOR, window)
+        parts = np.zeros(max(0, len(words) - size + 1), np.uint64)
+        for j, factor in enumerate(_multipliers(size, 3)):
+            parts += h[j : j + len(parts)] * factor
+        _mixed(parts)
+        least = parts[:n].copy()
+        for j in range(1, window - size + 1):
+            np.minimum(least, parts[j : j + n], out=least)
+
+        first_word = place
+
+        def hashes(chosen):
+            at = first_word[chosen]
+            total = np.zeros(len(at), np.uint64)
+            for j, factor in enumerate(_multipliers(window, 0)):
+                total += h[j:][at] * factor
+            return _mixed(total)
+
+        return numbers + first_text, (place - starts[numbers]).astype(np.int32), least[whole], hashes
 
     words: list[bytes] = []
     counts: list[int] = []
@@ -109,10 +112,19 @@ def window_hashes(texts: Iterable[bytes | None], window: int, sets: int, deal: b
         words += own
         counts.append(len(own))
         if len(words) >= SLICE_WORDS:
-            yield hashed(words, counts, first)
+            yield of_slice(words, counts, first)
             words, counts, first = [], [], i + 1
     if words:
-        yield hashed(words, counts, first)
+        yield of_slice(words, counts, first)
+
+
+def _runs(number, anchor):
+    """Where a stretch of windows of one text with one anchor begins, as a mask."""
+    import numpy as np
+
+    begins = np.ones(len(anchor), bool)
+    begins[1:] = (anchor[1:] != anchor[:-1]) | (number[1:] != number[:-1])
+    return begins
 
 
 def sketch_cells(hashes, cells: int) -> list:
@@ -198,9 +210,10 @@ def _sketch_parts(cells: int, window: int):
 
         held, size, seen = [], 0, 0
         for batch in batches:
-            for number, _, value in window_hashes(_texts(batch), window, 1):
-                held.append((number + seen, value))
-                size += len(value)
+            for number, _, anchor, _ in anchored(_texts(batch), window):
+                begins = _runs(number, anchor)
+                held.append((number[begins] + seen, anchor[begins]))
+                size += len(held[-1][1])
                 if size >= CHUNK:
                     yield counted(held)  # which empties it
                     size = 0
@@ -255,13 +268,11 @@ def repeated_cells(spark: SparkSession, docs: DataFrame, cells: int, window: int
     return bits
 
 
-_CANDIDATES = (
-    "deal bigint, own boolean, id bigint, tag bigint, place int, highs array<bigint>, lows array<int>, places binary"
-)
+_CANDIDATES = "deal bigint, own boolean, id bigint, tag bigint, place int, highs binary, places binary"
 
 
 def _candidates(bits, cells: int, window: int):
-    """Windows estimated repeated, each of a chunk once, with the smallest id it has there.
+    """Windows whose anchor is estimated repeated, each of a chunk once, with the smallest id it has there.
 
     A row holds neighbouring windows of a document that are dealt out alike, from ``place`` on. Places in documents
     with greater ids are removed for certain and are sent as one ``own`` row for each document.
@@ -291,16 +302,16 @@ def _candidates(bits, cells: int, window: int):
             ids, tags = ids[differs], tags[differs]
 
             columns = _columns(held)
-            columns[3] = rank[columns[3]]
-            high, low, deal, document, place = _reordered(columns, np.lexsort([columns[i] for i in (4, 3, 1, 0)]))
+            columns[2] = rank[columns[2]]
+            high, deal, document, place = _reordered(columns, np.lexsort([columns[i] for i in (3, 2, 1, 0)]))
             once = np.ones(len(high), bool)  # rows equal in id and text have the same windows
-            once[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            once[1:] = (high[1:] != high[:-1]) | (deal[1:] != deal[:-1])
             once[1:] |= (document[1:] != document[:-1]) | (place[1:] != place[:-1])
-            del high, low, deal, document, place
-            high, low, deal, document, place = _reordered(columns, once)
+            del high, deal, document, place
+            high, deal, document, place = _reordered(columns, once)
             columns.clear()
             starts = np.ones(len(high), bool)
-            starts[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+            starts[1:] = (high[1:] != high[:-1]) | (deal[1:] != deal[:-1])
             group = np.cumsum(starts, dtype=np.int32) - 1
             later = ids[document] > ids[document[starts]][group]
             del starts, group
@@ -308,9 +319,9 @@ def _candidates(bits, cells: int, window: int):
             first = np.flatnonzero(~later)
             del later
             first = first[np.lexsort((place[first], document[first]))]
-            columns = [high, low, deal, document, place]
-            del high, low, deal, document, place
-            high, low, deal, document, place = _reordered(columns, first)
+            columns = [high, deal, document, place]
+            del high, deal, document, place
+            high, deal, document, place = _reordered(columns, first)
             columns.clear()
             del first
             run = np.ones(len(high), bool)
@@ -330,13 +341,12 @@ def _candidates(bits, cells: int, window: int):
                         pa.array(tags[document[of]]),
                         pa.array(place[of]),
                         pa.ListArray.from_arrays(ends, pa.array(high[sent].view(np.int64))),
-                        pa.ListArray.from_arrays(ends, pa.array(low[sent].view(np.int32))),
                         pa.nulls(len(of), pa.binary()),
                     ],
                     names,
                 )
                 at = until
-            del high, low, deal, document, place, heads
+            del high, deal, document, place, heads
             document, place = own
             if len(document):
                 order = np.lexsort((place, document))
@@ -345,30 +355,29 @@ def _candidates(bits, cells: int, window: int):
                 data = [x.astype("<i4").tobytes() for x in np.split(place, firsts[1:])]
                 ids, tags = ids[document[firsts]], tags[document[firsts]]
                 n = len(firsts)
-                one = pa.array(np.arange(n + 1, dtype=np.int32))  # lists of one element: the row itself
+                none = pa.array(np.zeros(n + 1, np.int32))
                 columns = [
                     pa.array(ids ^ tags),  # documents without an id are many
                     pa.array(np.ones(n, bool)),
                     pa.array(ids),
                     pa.array(tags),
                     pa.nulls(n, pa.int32()),
-                    pa.ListArray.from_arrays(one, pa.array(ids)),
-                    pa.ListArray.from_arrays(one, pa.array(tags.astype(np.int32))),
+                    pa.ListArray.from_arrays(none, pa.array([], pa.int64())),
                     pa.array(data, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-        names = ["deal", "own", "id", "tag", "place", "highs", "lows", "places"]
+        names = ["deal", "own", "id", "tag", "place", "highs", "places"]
         held, size, documents, known = [], 0, [], 0
         for batch in batches:
             if not held:
                 documents, known = [], 0
             documents.append((batch.column("id").to_numpy(), batch.column("tag").to_numpy()))
-            for number, place, high, low, deal in window_hashes(_texts(batch), window, 2, deal=True):
-                keep = repeated(high)
+            for number, place, anchor, hashes in anchored(_texts(batch), window):
+                begins = _runs(number, anchor)
+                keep = np.flatnonzero(repeated(anchor[begins])[np.cumsum(begins) - 1])
                 number = (number[keep] + known).astype(np.int32)
-                low = (low[keep] >> np.uint64(32)).astype(np.uint32)
-                held.append((high[keep], low, deal[keep], number, place[keep]))
+                held.append((hashes(keep), anchor[keep], number, place[keep]))
                 size += len(number)
                 if size >= CANDIDATE_CHUNK:
                     yield from grouped(held, documents)  # which empties the windows
@@ -380,21 +389,119 @@ def _candidates(bits, cells: int, window: int):
     return candidates
 
 
+def _sent(candidates):
+    """``candidates`` with each list of hashes as bytes, which Spark moves in one piece."""
+
+    def sent(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in candidates(batches):
+            highs = batch.column("highs")
+            ends = np.ascontiguousarray(highs.offsets.to_numpy() * 8)
+            data = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(highs.values.to_numpy())]
+            packed = pa.BinaryArray.from_buffers(pa.binary(), len(highs), data)
+            yield batch.set_column(batch.schema.get_field_index("highs"), "highs", packed)
+
+    return sent
+
+
+def _unpacked(column, kind):
+    """All values of a column of bytes, and how many each row has; NULL has none."""
+    import numpy as np
+    import pyarrow as pa
+
+    column = column.cast(pa.binary())
+    data, ends = column.buffers()[2], np.frombuffer(column.buffers()[1], np.int32)
+    ends = ends[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+    return values.view(kind), np.diff(ends) // np.dtype(kind).itemsize
+
+
+_RUNS = "id bigint, tag bigint, runs binary"
+
+
+def _later(batches):
+    """Of candidates sorted by ``deal`` and id, the runs of windows (first place and length) that an earlier document has."""
+    import numpy as np
+    import pyarrow as pa
+
+    held = []
+    at_end = None  # the last deal with its windows and their smallest ids, as its rows may go on in the next batch
+
+    def sent():
+        ids, tags, starts, lengths = _columns(held)
+        order = np.lexsort((starts, tags, ids))
+        ids, tags, runs = ids[order], tags[order], np.stack((starts[order], lengths[order]), axis=1).astype("<i4")
+        firsts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))))
+        ends = (np.append(firsts, len(ids)) * 8).astype(np.int32)
+        data = pa.BinaryArray.from_buffers(pa.binary(), len(firsts), [None, pa.py_buffer(ends), pa.py_buffer(runs.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(ids[firsts]), pa.array(tags[firsts]), data], ["id", "tag", "runs"])
+
+    def hold(rows, places):
+        """Places of rows, ascending in each, as runs."""
+        if len(places):
+            begins = np.ones(len(places), bool)
+            begins[1:] = (rows[1:] != rows[:-1]) | (places[1:] != places[:-1] + 1)
+            at = np.flatnonzero(begins)
+            held.append((ids[rows[at]], tags[rows[at]], places[at], np.diff(np.append(at, len(places)))))
+
+    for batch in batches:
+        deals, ids, tags = (batch.column(c).to_numpy() for c in ("deal", "id", "tag"))
+        own, counts = _unpacked(batch.column("places"), "<i4")
+        hold(np.repeat(np.arange(len(counts)), counts), own)
+        highs, counts = _unpacked(batch.column("highs"), np.uint64)
+        rows = np.flatnonzero(counts)
+        if len(rows):
+            of, last = deals[rows], deals[rows[-1]]
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            ends = np.append(starts[1:], len(of))
+            shared = ids[rows[starts]] < ids[rows[ends - 1]]
+            shared[-1] = True  # it may go on
+            goes_on = at_end is not None and at_end[0] == of[0]
+            shared[0] |= goes_on
+            keep = np.zeros(len(counts), bool)
+            keep[rows[np.repeat(shared, ends - starts)]] = True
+            row = np.repeat(np.arange(len(counts)), counts)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            place += batch.column("place").fill_null(0).to_numpy()[row]
+            keep = keep[row]
+            row, place, high = row[keep], place[keep], highs[keep]
+            deal, least = deals[row], ids[row]
+            seen = len(at_end[1]) if goes_on else 0
+            if seen:
+                deal = np.concatenate((np.full(seen, of[0]), deal))
+                high, least = np.concatenate((at_end[1], high)), np.concatenate((at_end[2], least))
+            order = np.lexsort((least, high, deal))
+            deal, high, least = deal[order], high[order], least[order]
+            begins = np.ones(len(order), bool)
+            begins[1:] = (deal[1:] != deal[:-1]) | (high[1:] != high[:-1])
+            later = order[least > least[begins][np.cumsum(begins) - 1]]
+            later = np.sort(later[later >= seen]) - seen
+            hold(row[later], place[later])
+            begins &= deal == last
+            at_end = last, high[begins], least[begins]
+        if sum(len(part[0]) for part in held) >= RUNS:
+            yield sent()  # which empties it
+    if held:
+        yield sent()
+
+
 def _cut(window: int):
     @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept_text:string>")
-    def of_batch(texts, ones, manys):
+    def of_batch(texts, found):
         import numpy as np
         import pyarrow as pa
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
         counts, removed, kept = [], [], []
-        for text, single, many in zip(texts.to_pylist(), ones.to_pylist(), manys.to_pylist(), strict=True):
+        for text, runs in zip(texts.to_pylist(), found.to_pylist(), strict=True):
             words = unpack(text, max_output_size=1 << 31).split() if text else []
-            starts = np.concatenate([np.array(single or [], np.int64), *(np.frombuffer(b, "<i4") for b in many or ())])
+            starts, lengths = np.frombuffer(b"".join(runs or ()), "<i4").reshape(-1, 2).T
             edge = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edge, starts.astype(np.int64), 1)
-            np.add.at(edge, starts.astype(np.int64) + window, -1)
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + lengths + (window - 1), -1)
             gone = np.cumsum(edge)[: len(words)] > 0
             if gone.any():
                 words = [words[i] for i in np.flatnonzero(~gone)]
@@ -444,22 +551,12 @@ def without_repeats(
     cells = sketch_size(size, max_cells)
     # As bytes, which a worker reads once and uses in place; an array would be held twice while it is unpacked.
     bits = spark.sparkContext.broadcast(repeated_cells(spark, rows, cells, window).tobytes())
-    windows = rows.select("id", "tag", "text").mapInArrow(_candidates(bits, cells, window), _CANDIDATES)
-    # Equal windows are dealt out alike, so one shuffle by ``deal`` serves the grouping by whole hashes. A group has
-    # a row for each chunk at most.
-    single = windows.repartition("deal").select(
-        "deal", "own", "id", "tag", "place", "places", F.posexplode(F.arrays_zip("highs", "lows")).alias("at", "hash")
-    )
-    first = F.min("id").over(Window.partitionBy("deal", "own", "hash.highs", "hash.lows"))
-    places = (
-        single.withColumn("first", first)
-        .filter("own OR id > first")
-        .withColumn("place", F.col("place") + F.col("at"))
-        .groupBy("id", "tag")
-        .agg(F.collect_set("place").alias("place"), F.collect_set("places").alias("places"))
-    )
+    windows = rows.select("id", "tag", "text").mapInArrow(_sent(_candidates(bits, cells, window)), _CANDIDATES)
+    # Equal windows are dealt out alike. A group has a row for each chunk at most.
+    dealt = windows.repartition("deal").sortWithinPartitions("deal", "id")
+    places = dealt.mapInArrow(_later, _RUNS).groupBy("id", "tag").agg(F.collect_list("runs").alias("runs"))
     texts = rows.select("doc_id", "id", "tag", _packed()("text").alias("text"))
-    found = texts.join(places, ["id", "tag"], "left").select("doc_id", _cut(window)("text", "place", "places").alias("f"))
+    found = texts.join(places, ["id", "tag"], "left").select("doc_id", _cut(window)("text", "runs").alias("f"))
     return found.select("doc_id", "f.n_words", "f.n_removed", "f.kept_text")
 
 

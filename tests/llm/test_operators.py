@@ -142,6 +142,67 @@ def test_candidates_are_sent_in_small_batches(monkeypatch):
     assert all(n <= 8 or b.num_rows == 1 for n, b in zip(windows, small, strict=False))
 
 
+def test_sketch_counts_fewer_anchors_than_windows():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 3000)).encode() for _ in range(4)]
+    made = list(repeats._sketch_parts(repeats.PART, 13)([pa.RecordBatch.from_pydict({"text": texts})]))
+    cells = sum(len(repeats.decode_gaps(g.as_py())) for b in made for g in b.column("gaps"))
+    assert 0 < cells < 0.4 * repeats.ROWS * 4 * (3000 - 12)
+
+
+def test_equal_windows_have_equal_anchors():
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(w).encode() for w in (["a", "b", *words, "c"], words, ["x"] * 300 + words)]
+    found = {}
+    for number, place, anchor, hashes in repeats.anchored(texts, 13):
+        for n, at, value, high in zip(number, place, anchor, hashes(np.arange(len(number))), strict=True):
+            found[n, at - (2, 0, 300)[n]] = value, high
+    for at in range(28):
+        assert found[0, at] == found[1, at] == found[2, at]
+    assert len({v for _, v in (found[1, at] for at in range(28))}) == 28
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+@pytest.mark.parametrize("runs", [5, 1 << 19])
+def test_later_windows_however_batches_are_cut(monkeypatch, size, runs):
+    """Few anchors and hashes, so that groups go over batches; against all rows at once."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(repeats, "RUNS", runs)
+    rng = np.random.default_rng(size)
+    rows, expected = [], set()
+    for n in range(150):
+        deal, own, at = int(rng.choice([-9, -9, 4, *range(10, 60)])), bool(rng.random() < 0.1), int(rng.integers(0, 50))
+        doc = {"id": int(rng.integers(0, 20)), "tag": int(rng.integers(0, 3))}
+        if own:
+            places = sorted({int(x) for x in rng.integers(0, 30, 6)})
+            rows.append({"deal": deal, "highs": b"", "place": None, "places": np.array(places, "<i4").tobytes(), **doc})
+            expected |= {(doc["id"], doc["tag"], p) for p in places}
+        else:
+            highs = rng.integers(0, 4, rng.integers(1, 5)).astype(np.uint64)
+            rows.append({"deal": deal, "highs": highs.tobytes(), "place": at, "places": None, **doc})
+    windows = [
+        (r["deal"], h, r["id"], r["tag"], r["place"] + j)
+        for r in rows for j, h in enumerate(np.frombuffer(r["highs"], np.uint64))
+    ]
+    first = {}
+    for deal, high, doc_id, _, _ in windows:
+        first[deal, high] = min(first.get((deal, high), doc_id), doc_id)
+    expected |= {(i, tag, p) for deal, high, i, tag, p in windows if i > first[deal, high]}
+    kinds = {"deal": pa.int64(), "id": pa.int64(), "tag": pa.int64(), "place": pa.int32(), "highs": pa.binary(), "places": pa.binary()}
+    rows.sort(key=lambda r: (r["deal"], r["id"]))
+    table = pa.Table.from_pylist(rows, pa.schema(list(kinds.items())))
+    found = [r for b in repeats._later(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    places = set()
+    for r in found:
+        for start, length in np.frombuffer(r["runs"], "<i4").reshape(-1, 2):
+            places |= {(r["id"], r["tag"], int(start) + k) for k in range(length)}
+    assert places == expected and len(expected) > 100
+    assert list(repeats._later(iter([]))) == []
+
+
 def test_benchmark_in_blocks(spark, odd_dir):
     docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
     items = spark.read.parquet(f"{odd_dir}/benchmark.parquet")
