@@ -45,8 +45,9 @@ CHUNK = 1 << 20
 CANDIDATE_CHUNK = 1 << 20
 #: Windows of a batch of candidates that a task sends on.
 SENT = 1 << 16
-#: Runs to remove held by a task before it sends them on, in a row for each document.
-RUNS = 1 << 19
+#: Runs to remove held by a task, at least, before it sends them on in a row for each document. Few, as a task holds few runs of
+#: one document: with many, rows would grow with documents times tasks.
+RUNS = 1 << 12
 #: Words hashed at once.
 SLICE_WORDS = 1 << 18
 LAST_ID = (1 << 63) - 1
